@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from diagarc.functions.scalar import ntz_to_ms
+from diagarc.functions.scalar import int_div, ntz_to_ms
 from diagarc.operators.encode import MAX_SAMPLES, fill_chunks
 from diagarc.operators.flatten import flatten_struct
 from diagarc.sources.writer import collect_chunks, pack_chunks
@@ -41,3 +42,55 @@ def capture(documents: DataFrame, order: list[str], max_samples=MAX_SAMPLES) ->
 
 def capture_events(events: DataFrame, max_samples=MAX_SAMPLES) -> DataFrame:
     return capture(event_documents(events), ["id_ms", "event_id"], max_samples)
+
+
+USERS_PER_SOURCE = 1000
+WINDOW_HOURS = MAX_SAMPLES
+_HOUR_MS = 3600000
+
+
+def capture_user_activity(events: DataFrame) -> DataFrame:
+    """Wide captures: one source per 1000 users, one sample per hour, two counters per active user.
+
+    ``{start, u<id>: {n, total}, ..., end}`` with ``n`` events in the hour and ``total``
+    since the chunk began. More users give more sources, a longer time more chunks; a
+    chunk stays at 300 samples of at most 2002 keys. Events are counted before they move.
+    """
+    hour = int_div(ntz_to_ms(F.col("ts")), _HOUR_MS)
+    counts = events.select(
+        F.concat(F.lit("users-"), int_div(F.col("user_id"), USERS_PER_SOURCE).cast("string")).alias("path"), "user_id",
+        int_div(hour, WINDOW_HOURS).alias("doc_no"), (hour % WINDOW_HOURS).alias("slot"),
+    ).groupBy("path", "doc_no", "user_id", "slot").agg(F.count(F.lit(1)).alias("n"))
+    # A user has at most 300 slots in a chunk, so this window and list are small.
+    w = W.partitionBy("path", "doc_no", "user_id").orderBy("slot").rowsBetween(W.unboundedPreceding, 0)
+    per_user = counts.withColumn("total", F.sum("n").over(w)).groupBy("path", "doc_no", "user_id").agg(
+        F.array_sort(F.collect_list(F.struct("slot", "n", "total"))).alias("e")
+    )
+    # Each entry holds until the next one; the count itself only in its own slot.
+    stops = F.concat(F.transform(F.slice("e", 2, F.size("e")), lambda x: x["slot"]), F.array(F.lit(WINDOW_HOURS).cast("bigint")))
+    runs = F.zip_with("e", stops, lambda x, stop: F.struct(x["n"], x["total"], (stop - x["slot"]).cast("int").alias("len")))
+    zero = F.lit(0).cast("bigint")
+    lead = F.array_repeat(zero, F.get("e", F.lit(0))["slot"].cast("int"))
+    hourly = F.transform(runs, lambda r: F.concat(F.array(r["n"]), F.array_repeat(zero, r["len"] - 1)))
+    totals = F.transform(runs, lambda r: F.array_repeat(r["total"], r["len"]))
+    per_user = per_user.select(
+        "path", "doc_no", "user_id", F.concat(lead, F.flatten(hourly)).alias("n"), F.concat(lead, F.flatten(totals)).alias("total")
+    )
+    slots = F.sequence(F.lit(0), F.lit(WINDOW_HOURS - 1))
+    grouped = per_user.groupBy("path", "doc_no").agg(F.array_sort(F.collect_list(F.struct("user_id", "n", "total"))).alias("u"))
+    axis = F.transform(slots, lambda s: (F.col("doc_no") * WINDOW_HOURS + s) * _HOUR_MS)
+
+    def keys(x):
+        user = F.concat(F.lit("u"), x["user_id"].cast("string"))
+        return F.array(_key(F.array(user, F.lit("n"))), _key(F.array(user, F.lit("total"))))
+
+    def _key(field, bson_type="int64"):
+        return F.struct(field.alias("field"), F.lit(bson_type).alias("bson_type"))
+
+    ends = [F.array(_key(F.array(F.lit(name)), "datetime")) for name in ("start", "end")]
+    chunks = grouped.select(
+        "path", "doc_no", F.get(axis, F.lit(0)).alias("id_ms"),
+        F.concat(ends[0], F.flatten(F.transform("u", keys)), ends[1]).alias("layout"),
+        F.concat(F.array(axis), F.flatten(F.transform("u", lambda x: F.array(x["n"], x["total"]))), F.array(axis)).alias("series"),
+    )
+    return pack_chunks(chunks)

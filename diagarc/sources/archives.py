@@ -14,6 +14,7 @@ from diagarc.sources import wire
 ARCHIVE_DOCS = (
     "path string, doc_no bigint, byte_offset bigint, doc_type int, id_ms bigint, body binary, error string"
 )
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
 METADATA, METRIC, METADATA_DELTA = 0, 1, 2
 
 # File name grammar of closed archives, UTC start time then uniquifier.
@@ -35,7 +36,7 @@ def list_archives(spark: SparkSession, path, since=None, until=None, interim=Fal
     ``since`` / ``until`` compare the time in the file name. They are filters on
     ``path`` alone and sit below everything that needs ``content``.
     """
-    reader = (spark.readStream if stream else spark.read).format("binaryFile").options(**options)
+    reader = (spark.readStream.schema(_FILES) if stream else spark.read).format("binaryFile").options(**options)
     if not interim:
         reader = reader.option("pathGlobFilter", ARCHIVE_GLOB)
     files = reader.load(path)

@@ -28,25 +28,38 @@ def collect_chunks(rows: DataFrame, order: list[str]) -> DataFrame:
     return grouped.select("path", "doc_no", "id_ms", "layout", F.transform("s", lambda s: s["v"]).alias("samples"))
 
 
+def collect_series(rows: DataFrame) -> DataFrame:
+    """One nested row per (path, doc_no) of series rows: ``key_no``, ``field``, ``bson_type``, ``values``."""
+    one = F.struct("key_no", "field", "bson_type", "values")
+    grouped = rows.groupBy("path", "doc_no").agg(F.array_sort(F.collect_list(one)).alias("k"), F.min("id_ms").alias("id_ms"))
+    layout = F.transform("k", lambda k: F.struct(k["field"].alias("field"), k["bson_type"].alias("bson_type")))
+    return grouped.select("path", "doc_no", "id_ms", layout.alias("layout"), F.transform("k", lambda k: k["values"]).alias("series"))
+
+
 def pack_chunks(chunks: DataFrame) -> DataFrame:
-    """Metric documents of nested chunk rows; one chunk is packed at a time."""
+    """Metric documents of nested chunk rows; one chunk is packed at a time.
+
+    Values come as ``samples`` (one array per sample) or ``series`` (one per field).
+    """
+    by_series = "series" in chunks.columns
+    values_column = "series" if by_series else "samples"
 
     def run(batches):
         for b in batches:
-            layouts, samples = b.column("layout"), b.column("samples")
+            layouts, nested = b.column("layout"), b.column(values_column)
             ids, bodies = b.column("id_ms").to_pylist(), []
             for i in range(b.num_rows):
                 layout = [(f["field"], f["bson_type"]) for f in layouts[i].as_py()]
-                matrix = samples[i].values
-                values = matrix.flatten().to_numpy(zero_copy_only=False)
-                bodies.append(wire.pack_chunk(ids[i], layout, values.reshape(len(matrix), len(layout))))
+                arrays = nested[i].values
+                matrix = arrays.flatten().to_numpy(zero_copy_only=False).reshape(len(arrays), -1)
+                bodies.append(wire.pack_chunk(ids[i], layout, matrix.T if by_series else matrix))
             yield pa.RecordBatch.from_arrays(
                 [b.column("path"), b.column("doc_no"), pa.array([1] * b.num_rows, pa.int32()), b.column("id_ms"),
                  pa.array(bodies, pa.binary())],
                 names=_DOC_NAMES,
             )
 
-    return chunks.select("path", "doc_no", "id_ms", "layout", "samples").mapInArrow(run, DOCS)
+    return chunks.select("path", "doc_no", "id_ms", "layout", values_column).mapInArrow(run, DOCS)
 
 
 def pack_metadata(docs: DataFrame) -> DataFrame:
