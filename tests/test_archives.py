@@ -1,0 +1,166 @@
+"""Files to documents: framing, names, per-kind handling, metadata, outlines, writing."""
+
+import json
+import os
+
+import bson_build as b
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from diagarc.operators.decode import decode_chunks, samples
+from diagarc.operators.routing import route_docs
+from diagarc.sources import archives
+from diagarc.sources.writer import pack_metadata, write_archives
+
+NAME = "metrics.2024-03-08T22-58-41Z-00000"
+
+
+def metric(i=0):
+    return b.metric({"start": b.date(1000 + i)}, 1, 1, [1], id_ms=1000 + i)
+
+
+def meta(doc, i=0, kind=0, **more):
+    return b.doc({"_id": b.date(i), "type": kind, **more, **({} if doc is None else {"doc": doc})})
+
+
+@pytest.fixture
+def folder(tmp_path):
+    def put(content, name=NAME):
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(content)
+        return str(tmp_path)
+
+    return put
+
+
+def rows(spark, directory, **options):
+    return archives.read_archives(spark, directory, mode="permissive", **options).orderBy("path", "doc_no").collect()
+
+
+@pytest.mark.parametrize("content, n, error", [
+    (b"", 0, None), (metric() + b"\x01\x02\x03", 1, None), (metric() + b"\x04\0\0\0" + metric(), 1, None),
+    (metric() + metric(1), 2, None), (metric() + metric()[:-1], 2, "truncated_document"),
+    (metric() + b.doc({"_id": b.date(0), "type": 7}) + metric(), 2, "bad_type"),
+    (metric() + b.doc({"_id": b.date(0), "type": b.int64(1)}), 2, "bad_type"), (b.doc({"_id": b.date(0)}), 1, "bad_type"),
+    (b.doc({"_id": 4, "type": 1}), 1, "bad_id"), (b.doc({"type": 1}), 1, "bad_id"),
+    (metric() + b"\x0c\0\0\0\x10a\0\1\0\0\0\1", 2, "bad_bson"), (b.doc({"_id": b.date(0), "type": 0, "doc": {"a": b.raw(0x55)}}), 1, "bad_bson"),
+])
+def test_framing(spark, folder, content, n, error):
+    got = rows(spark, folder(content))
+    assert len(got) == n
+    assert [r.error for r in got[:-1]] == [None] * max(n - 1, 0)
+    if n:
+        assert (got[-1].error or "").split(":")[0] == (error or "")
+    if error:
+        with pytest.raises(PySparkException, match=error):
+            archives.read_archives(spark, folder(content)).collect()
+
+
+def test_offsets_and_bodies(spark, folder):
+    docs = [meta({"a": 1}), metric(), meta({"b": "x"}, kind=2, index=1), metric(2)]
+    got = rows(spark, folder(b"".join(docs)))
+    assert [bytes(r.body) for r in got] == docs
+    assert [r.byte_offset for r in got] == [sum(map(len, docs[:i])) for i in range(4)]
+    assert [r.doc_type for r in got] == [0, 1, 2, 1]
+
+
+def test_good_files_survive_a_bad_one(spark, folder):
+    folder(metric() + metric()[:-3])
+    directory = folder(metric() * 3, "metrics.2024-03-08T23-00-00Z-00001")
+    docs = archives.read_archives(spark, directory, mode="permissive")
+    assert samples(decode_chunks(docs, mode="permissive")).count() == 4 * 2
+
+
+def test_interim_is_opt_in_and_time_prunes_files(spark, folder):
+    folder(metric())
+    folder(metric(), "metrics.2024-03-09T00-00-00Z-00002")
+    directory = folder(metric(), "metrics.interim")
+    assert len(rows(spark, directory)) == 2
+    assert len(rows(spark, directory, interim=True)) == 3
+    assert len(rows(spark, directory, since="2024-03-09 00:00:00")) == 1
+    assert len(rows(spark, directory, until="2024-03-09 00:00:00")) == 1
+
+
+def test_file_time(spark):
+    names = [f"file:/d/{NAME}", "/d/metrics.interim", "/d/other", "/d/metrics.2024-13-40T00-00-00Z-00001"]
+    start, number = archives.archive_file_time("path")
+    got = spark.createDataFrame([(n,) for n in names], "path string").select(start.cast("string"), number).collect()
+    assert [tuple(r) for r in got] == [("2024-03-08 22:58:41", 0), (None, None), (None, None), (None, 1)]
+
+
+def test_first_metric_doc(spark, folder):
+    directory = folder(meta({"a": 1}) + metric(5) + metric(6))
+    row = archives.first_metric_docs(archives.read_archives(spark, directory)).collect()
+    assert len(row) == 1 and bytes(row[0].body) == metric(5)
+    parsed = json.loads(row[0].json)
+    assert parsed["_id"] == {"$date": {"$numberLong": "1005"}} and parsed["type"] == 1 and "$binary" in parsed["data"]
+
+
+def test_metadata_table(spark, folder):
+    directory = folder(
+        meta({"n": 1, "s": "x", "sub": {"y": [True, None]}}) + meta(None) + metric() + meta({"s": "z"}, kind=2, index=3))
+    got = archives.metadata(archives.read_archives(spark, directory)).orderBy("doc_no").collect()
+    assert [(r.doc_no, r.doc_type, r["index"]) for r in got] == [(0, 0, None), (1, 0, None), (3, 2, 3)]
+    assert [tuple(f) for f in got[0].fields] == [("n", "1"), ("s", '"x"'), ("sub", '{"y":[true,null]}')]
+    assert got[1].fields is None and got[2].fields[0].value == '"z"'
+
+
+def test_routing_keeps_what_handlers_return(spark, folder):
+    directory = folder(meta({"n": 1}) + meta(None) + metric() + meta({"n": 2}, kind=2, index=1) + metric(1))
+    docs = archives.read_archives(spark, directory)
+
+    def tag(name):
+        return lambda d: d.select("doc_no", F.lit(name).alias("kind"))
+
+    def routed(**handlers):
+        return [tuple(r) for r in route_docs(docs, **handlers).orderBy("doc_no").collect()]
+
+    everything = routed(metadata=tag("m"), metric=tag("c"), delta=tag("d"))
+    assert everything == [(0, "m"), (2, "c"), (3, "d"), (4, "c")]  # document 1 has no ``doc``
+    assert routed(metric=tag("c")) == [(2, "c"), (4, "c")]
+    assert routed(metadata=lambda d: tag("m")(d).filter("false"), metric=tag("c")) == [(2, "c"), (4, "c")]
+    with pytest.raises(ValueError):
+        route_docs(docs)
+
+
+def test_outline(spark, folder):
+    reference = {"start": b.date(0), "long": "x" * 60, "short": "y", "arr": [1, 2], "docs": [{"k": 2.5}], "none": [], "sub": {"b": True}}
+    raw = b.metric(reference, 9, 0, [])
+    got = archives.doc_outline(archives.read_archives(spark, folder(raw))).orderBy("ord").collect()
+    assert [(r.depth, r.key, r.preview) for r in got] == [
+        (0, "start", "1970-01-01T00:00:00.000Z"), (0, "long", "x" * 47 + "..."), (0, "short", "y"),
+        (0, "arr", "[Array with 2 items]"), (1, "First item", "1"), (0, "docs", "[Array with 1 items]"), (1, "First item", None),
+        (2, "k", "2.5"), (0, "none", "[Array with 0 items]"), (0, "sub", None), (1, "b", "true")]
+    assert got[1].n_items == 60
+
+
+def test_written_archives_rotate_and_read_back(spark, event_docs, tmp_path):
+    receipts = write_archives(event_docs, str(tmp_path / "a"), max_docs=1).collect()
+    assert len(receipts) == event_docs.count() and not any("_tmp" in f for _, _, fs in os.walk(tmp_path) for f in fs)
+    back = archives.read_archives(spark, str(tmp_path / "a") + "/*")
+    total = F.sum("value"), F.count("*")
+    a = samples(decode_chunks(back), with_ts=False).filter("name = 'event_user_id'").agg(*total).first()
+    c = samples(decode_chunks(event_docs), with_ts=False).filter("name = 'event_user_id'").agg(*total).first()
+    assert tuple(a) == tuple(c)
+    again = write_archives(event_docs, str(tmp_path / "a"), max_docs=1).collect()  # a retry replaces its files
+    assert sorted(r.file for r in again) == sorted(r.file for r in receipts)
+    assert archives.read_archives(spark, str(tmp_path / "a") + "/*").count() == event_docs.count()
+
+
+def test_packed_metadata_reads_back(spark):
+    rows = spark.createDataFrame(
+        [("p", 0, 0, 5, None, [("start", "1"), ("v", "é")]), ("p", 1, 2, 6, 1, [("v", "b")])],
+        "path string, doc_no bigint, doc_type int, id_ms bigint, index bigint, fields array<struct<name:string,value:string>>")
+    got = archives.metadata(pack_metadata(rows)).orderBy("doc_no").collect()
+    assert [(r.doc_type, r["index"], [tuple(f) for f in r.fields]) for r in got] == [
+        (0, None, [("start", '"1"'), ("v", '"é"')]), (2, 1, [("v", '"b"')])]
+
+
+def test_few_files_spread_and_many_do_not(spark, folder):
+    directory = folder(metric() * 40)
+    plan = archives.read_archives(spark, directory)._jdf.queryExecution().toString()
+    assert "RepartitionByExpression" in plan
+    plan = archives.read_archives(spark, directory, spread=False)._jdf.queryExecution().toString()
+    assert "RepartitionByExpression" not in plan
