@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import struct
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from diagarc.operators.labels import drop_empty_series, label_array, remote_samples, with_labels
+from diagarc.operators.labels import NAME_LABEL, SOURCE_LABEL, drop_empty_series, label_array, remote_samples, with_labels
 from diagarc.sources import wire
 
 # Path and headers of the public remote-write protocol.
@@ -21,6 +19,9 @@ HEADERS = {
 }
 
 
+PAYLOADS = "path string, doc_no bigint, n_series bigint, payload binary"
+
+
 def write_requests(chunks: DataFrame, extras=()) -> DataFrame:
     """K1: one request per decoded chunk with all its series, in key order.
 
@@ -46,68 +47,106 @@ def requests_of(series: DataFrame, extras=()) -> DataFrame:
     return grouped.select("path", "doc_no", timeseries.alias("timeseries"))
 
 
-def _varint(n: int) -> bytes:
-    return wire.write_varints(np.array([n], np.uint64))
+def chunk_payloads(chunks: DataFrame, extras=()) -> DataFrame:
+    """Payload bytes of each decoded chunk: those of :func:`write_requests` without the nested rows.
 
+    The change points of a chunk are spread over its samples in the task that builds
+    the payload, so dense samples exist nowhere else.
+    """
+    rest = [(n, v) for n, v in [SOURCE_LABEL, *extras]]
 
-def _field(tag: int, payload: bytes) -> bytes:
-    return bytes((tag,)) + _varint(len(payload)) + payload
+    def run(batches):
+        for b in batches:
+            payload, counts = [], []
+            for axis, keys in zip(b.column("axis"), b.column("keys")):
+                fields, times = keys.values, axis.values.to_numpy(zero_copy_only=False)
+                at, val = fields.field("at"), fields.field("val")
+                starts = at.flatten().to_numpy(zero_copy_only=False)
+                values = val.flatten().to_numpy(zero_copy_only=False)
+                # A change lasts until the next one of its key, the last one to the end.
+                lasts = np.diff(np.append(starts, 0))
+                lasts[lasts <= 0] += len(times)
+                dense = np.repeat(values, lasts).reshape(len(fields), len(times))
+                blocks = _sample_blocks(dense, times)
+                tail = b"".join(_label(n, v) for n, v in rest)
+                names = fields.field("name").to_pylist()
+                parts = [_field(0x0A, _label(NAME_LABEL, n) + tail + block) for n, block in zip(names, blocks)]
+                payload.append(pa.compress(b"".join(parts), codec="snappy", asbytes=True))
+                counts.append(len(parts))
+            yield _payload_batch(b, counts, payload)
 
+    rows = chunks.filter((F.size("keys") > 0) & (F.size("axis") > 0))
+    return rows.select("path", "doc_no", "axis", "keys").mapInArrow(run, PAYLOADS)
 
-def _sample_messages(values: np.ndarray, times: np.ndarray) -> bytes:
-    """Sample messages of one series: field 2 of a series, double 1 and int64 2 inside."""
-    raw = wire.write_varints(times.view(np.uint64))
-    sizes = np.diff(np.concatenate(([0], np.flatnonzero(np.frombuffer(raw, np.uint8) < 0x80) + 1)))
-    if len(sizes) and sizes.min() == sizes.max():  # the usual case: all times have the same width
-        width = int(sizes[0])
-        out = np.empty((len(values), 12 + width), np.uint8)
-        out[:, 0], out[:, 1], out[:, 2], out[:, 11] = 0x12, 10 + width, 0x09, 0x10
-        out[:, 3:11] = values.astype("<f8").view(np.uint8).reshape(-1, 8)
-        out[:, 12:] = np.frombuffer(raw, np.uint8).reshape(-1, width)
-        return out.tobytes()
-    stops = np.cumsum(sizes)
-    return b"".join(
-        _field(0x12, b"\x09" + struct.pack("<d", v) + b"\x10" + raw[stop - size : stop])
-        for v, size, stop in zip(values.tolist(), sizes.tolist(), stops.tolist())
+
+def _payload_batch(b, counts, payload):
+    return pa.RecordBatch.from_arrays(
+        [b.column("path"), b.column("doc_no"), pa.array(counts, pa.int64()), pa.array(payload, pa.binary())],
+        names=["path", "doc_no", "n_series", "payload"],
     )
 
 
+def _label(name: str, value: str) -> bytes:
+    return _field(0x0A, _field(0x0A, name.encode()) + _field(0x12, value.encode()))
+
+
+def _sample_blocks(values: np.ndarray, times: np.ndarray) -> list[bytes]:
+    """Sample messages of each row of ``values``; the time bytes are the same in all of them."""
+    raw = wire.write_varints(times.view(np.uint64))
+    stops = np.flatnonzero(np.frombuffer(raw, np.uint8) < 0x80) + 1
+    sizes = np.diff(np.concatenate(([0], stops)))
+    heads = [bytes((0x12, 10 + size, 0x09)) for size in sizes.tolist()]
+    tails = [b"\x10" + raw[stop - size : stop] for size, stop in zip(sizes.tolist(), stops.tolist())]
+    template = np.frombuffer(b"".join(h + bytes(8) + t for h, t in zip(heads, tails)), np.uint8)
+    first = np.cumsum(sizes + 12) - (sizes + 12) + 3
+    where = (first[:, None] + np.arange(8)).ravel()
+    out = np.tile(template, (len(values), 1))
+    out[:, where] = values.astype("<f8").view(np.uint8).reshape(len(values), -1)
+    return [row.tobytes() for row in out]
+
+
+def _varint(n: int) -> bytes:
+    out = bytearray()
+    while n > 0x7F:
+        out.append(n & 0x7F | 0x80)
+        n >>= 7
+    out.append(n)
+    return bytes(out)
+
+
+def _field(tag: int, payload: bytes) -> bytes:
+    return bytes((tag,)) + _varint(len(payload)) + payload
+
+
 def request_bytes(timeseries: pa.Array) -> bytes:
     """Uncompressed protobuf of one request given its ``timeseries`` array."""
     parts = []
     labels, samples = timeseries.field("labels"), timeseries.field("samples")
     for i in range(len(timeseries)):
-        body = b"".join(
-            _field(0x0A, _field(0x0A, x["name"].encode()) + _field(0x12, x["value"].encode()))
-            for x in labels[i].as_py()
-        )
         points = samples[i].values
         values = points.field("value").to_numpy(zero_copy_only=False)
         times = points.field("timestamp").to_numpy(zero_copy_only=False)
-        parts.append(_field(0x0A, body + _sample_messages(values, times)))
+        head = b"".join(_label(x["name"], x["value"]) for x in labels[i].as_py())
+        parts.append(_field(0x0A, head + _sample_blocks(values[None, :], times)[0]))
     return b"".join(parts)
 
 
 def encode_requests(requests: DataFrame) -> DataFrame:
-    """Payload bytes (protobuf, raw snappy) of each request."""
-    schema = "path string, doc_no bigint, n_series bigint, payload binary"
+    """Payload bytes (protobuf, raw snappy) of each row of :func:`write_requests`."""
 
     def run(batches):
         for b in batches:
-            rows = b.column("timeseries")
-            series = [rows[i].values for i in range(b.num_rows)]
+            series = [row.values for row in b.column("timeseries")]
             payload = [pa.compress(request_bytes(s), codec="snappy", asbytes=True) for s in series]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("path"), b.column("doc_no"), pa.array([len(s) for s in series], pa.int64()),
-                 pa.array(payload, pa.binary())],
-                names=["path", "doc_no", "n_series", "payload"],
-            )
+            yield _payload_batch(b, [len(s) for s in series], payload)
+
+    return requests.select("path", "doc_no", "timeseries").mapInArrow(run, PAYLOADS)
 
-    return requests.select("path", "doc_no", "timeseries").mapInArrow(run, schema)
 
+def remote_write(payloads: DataFrame, base_url: str, send) -> DataFrame:
+    """K2: deliver each payload to ``{base_url}/api/v1/write``.
 
-def remote_write(requests: DataFrame, base_url: str, send) -> DataFrame:
-    """K2: deliver each request to ``{base_url}/api/v1/write``.
+    ``payloads`` come from :func:`chunk_payloads`, or from :func:`encode_requests`.
 
     ``send(url, headers, payload)`` returns ``(status, text)`` and runs in executor
     tasks. A status other than 2xx fails the task; Spark retries it, so delivery is at
@@ -132,4 +171,4 @@ def remote_write(requests: DataFrame, base_url: str, send) -> DataFrame:
                 names=["path", "doc_no", "n_series", "n_bytes", "status"],
             )
 
-    return encode_requests(requests).mapInArrow(run, schema)
+    return payloads.mapInArrow(run, schema)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from diagarc.functions.scalar import int_div, ntz_to_ms
 from diagarc.operators.encode import MAX_SAMPLES, fill_chunks
 from diagarc.operators.flatten import flatten_struct
-from diagarc.sources.writer import collect_chunks, pack_chunks
+from diagarc.sources.writer import by_chunk, collect_chunks, pack_chunks
 
 
 def event_documents(events: DataFrame) -> DataFrame:
@@ -45,21 +45,21 @@ def capture_events(events: DataFrame, max_samples=MAX_SAMPLES) -> DataFrame:
 
 
 USERS_PER_SOURCE = 1000
-WINDOW_HOURS = MAX_SAMPLES
-_HOUR_MS = 3600000
+SLOTS = MAX_SAMPLES
+HOUR_MS = 3600000
 
 
-def capture_user_activity(events: DataFrame) -> DataFrame:
+def capture_user_activity(events: DataFrame, slot_ms: int = HOUR_MS) -> DataFrame:
     """Wide captures: one source per 1000 users, one sample per hour, two counters per active user.
 
-    ``{start, u<id>: {n, total}, ..., end}`` with ``n`` events in the hour and ``total``
+    ``{start, u<id>: {n, total}, ..., end}`` with ``n`` events in the slot and ``total``
     since the chunk began. More users give more sources, a longer time more chunks; a
     chunk stays at 300 samples of at most 2002 keys. Events are counted before they move.
     """
-    hour = int_div(ntz_to_ms(F.col("ts")), _HOUR_MS)
+    slot = int_div(ntz_to_ms(F.col("ts")), slot_ms)
     counts = events.select(
         F.concat(F.lit("users-"), int_div(F.col("user_id"), USERS_PER_SOURCE).cast("string")).alias("path"), "user_id",
-        int_div(hour, WINDOW_HOURS).alias("doc_no"), (hour % WINDOW_HOURS).alias("slot"),
+        int_div(slot, SLOTS).alias("doc_no"), (slot % SLOTS).alias("slot"),
     ).groupBy("path", "doc_no", "user_id", "slot").agg(F.count(F.lit(1)).alias("n"))
     # A user has at most 300 slots in a chunk, so this window and list are small.
     w = W.partitionBy("path", "doc_no", "user_id").orderBy("slot").rowsBetween(W.unboundedPreceding, 0)
@@ -67,7 +67,7 @@ def capture_user_activity(events: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("slot", "n", "total"))).alias("e")
     )
     # Each entry holds until the next one; the count itself only in its own slot.
-    stops = F.concat(F.transform(F.slice("e", 2, F.size("e")), lambda x: x["slot"]), F.array(F.lit(WINDOW_HOURS).cast("bigint")))
+    stops = F.concat(F.transform(F.slice("e", 2, F.size("e")), lambda x: x["slot"]), F.array(F.lit(SLOTS).cast("bigint")))
     runs = F.zip_with("e", stops, lambda x, stop: F.struct(x["n"], x["total"], (stop - x["slot"]).cast("int").alias("len")))
     zero = F.lit(0).cast("bigint")
     lead = F.array_repeat(zero, F.get("e", F.lit(0))["slot"].cast("int"))
@@ -76,9 +76,9 @@ def capture_user_activity(events: DataFrame) -> DataFrame:
     per_user = per_user.select(
         "path", "doc_no", "user_id", F.concat(lead, F.flatten(hourly)).alias("n"), F.concat(lead, F.flatten(totals)).alias("total")
     )
-    slots = F.sequence(F.lit(0), F.lit(WINDOW_HOURS - 1))
-    grouped = per_user.groupBy("path", "doc_no").agg(F.array_sort(F.collect_list(F.struct("user_id", "n", "total"))).alias("u"))
-    axis = F.transform(slots, lambda s: (F.col("doc_no") * WINDOW_HOURS + s) * _HOUR_MS)
+    slots = F.sequence(F.lit(0), F.lit(SLOTS - 1))
+    grouped = by_chunk(per_user).groupBy("path", "doc_no").agg(F.array_sort(F.collect_list(F.struct("user_id", "n", "total"))).alias("u"))
+    axis = F.transform(slots, lambda s: (F.col("doc_no") * SLOTS + s) * slot_ms)
 
     def keys(x):
         user = F.concat(F.lit("u"), x["user_id"].cast("string"))

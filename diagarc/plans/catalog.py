@@ -15,7 +15,7 @@ from diagarc.functions.scalar import clean_key, double_to_i64, int_div, ntz_to_m
 from diagarc.operators import check, encode, labels, long_tables, metadata as meta
 from diagarc.operators import store
 from diagarc.operators.decode import chunk_keys, chunk_tokens, change_points, decode_chunks, samples, series, value_changes
-from diagarc.operators.delivery import remote_write, requests_of, write_requests
+from diagarc.operators.delivery import chunk_payloads, remote_write, requests_of, write_requests
 from diagarc.operators.flatten import explode_fields, flatten_struct, split_timestamp
 from diagarc.operators.routing import route_docs
 from diagarc.plans.capture import capture_events, capture_user_activity, event_documents
@@ -354,7 +354,7 @@ def remote_write_receipts(spark, d):
     def send(url, headers, payload):
         return (204, "") if payload and url.endswith("/api/v1/write") else (500, "empty")
 
-    return remote_write(write_requests(_chunks(spark, d)), "http://collector", send).select("path", "doc_no", "n_series", "status")
+    return remote_write(chunk_payloads(_chunks(spark, d)), "http://collector", send).select("path", "doc_no", "n_series", "status")
 
 
 def write_samples(spark, d):
@@ -365,6 +365,13 @@ def write_samples(spark, d):
         F.count(F.lit(1)).alias("n"), F.sum("value").alias("sum_value"))
 
 
+def write_series(spark, d):
+    """Stored as one row per metric and chunk, read back as samples."""
+    table = run_dir(spark, "series")
+    store.import_archives(_docs(spark, d), table, layout="series")
+    return long_tables.samples_of(spark.read.parquet(table))
+
+
 def _labelled_table(spark, d):
     """Stored samples of two sources: imports, and rows of another origin."""
     rows = _event_numbers(spark, d)
@@ -492,7 +499,7 @@ QUERIES = {
         to_i64, split_timestamps, delta_encode, zero_run_encode, varint_size, chunk_boundaries, read_archives,
         file_samples, archive_file_time, first_metric_docs, metric_docs, doc_outline, doc_types, route_docs_by_kind,
         decode_error_classes, stream_archive_samples, parse_labels, with_labels, write_request_rows,
-        requests_of_series, remote_write_receipts, write_samples, delete_series, delete_labelled_series, reimport,
+        requests_of_series, remote_write_receipts, write_samples, write_series, delete_series, delete_labelled_series, reimport,
         import_summary, check_totals, metric_examples, metric_names, import_progress, type_distribution, axis_audit,
         shape_audit, verify_stored, metadata_delta, metadata_as_of, metadata_as_of_archive, metadata_history,
     )

@@ -194,6 +194,7 @@ ORACLES = {
     "remote_write_receipts": f"{_E} select path, doc_no, 6::bigint as n_series, 204 as status from c",
     "write_samples": f"""{_E} select 'mongodb_ftdc' as source, path as date, name, count(*)::bigint as n,
         sum(value)::bigint as sum_value from s group by path, name""",
+    "write_series": _SAMPLES,
     "delete_series": f"""select {_LABELLED} as source, event_type as name, count(*)::bigint as n, sum(user_id)::bigint as sum_value
         from events where event_type = 'error' group by 1, 2""",
     "delete_labelled_series": f"""select {_LABELLED} as source, event_type as name, count(*)::bigint as n,

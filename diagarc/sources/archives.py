@@ -91,9 +91,15 @@ def read_archives(spark: SparkSession, path, mode="failfast", spread="auto", **o
     return spread_docs(docs) if spread else docs
 
 
-def spread_docs(docs: DataFrame) -> DataFrame:
-    """Hash documents over all tasks; a third of them in one file still spreads evenly."""
-    return docs.repartition("path", "doc_no")
+def spread_docs(docs: DataFrame, n: int | None = None) -> DataFrame:
+    """Hash documents over ``n`` tasks; a third of them in one file still spreads evenly.
+
+    The count is explicit because a compressed chunk unfolds about a hundredfold:
+    coalescing by shuffled bytes would put all decoding into a few tasks.
+    """
+    if n is None:
+        n = 4 * docs.sparkSession.sparkContext.defaultParallelism
+    return docs.repartition(n, "path", "doc_no")
 
 
 def metric_docs(docs: DataFrame) -> DataFrame:

@@ -93,16 +93,25 @@ def test_payload_holds_the_request(spark):
 
     assert parse(bytes(row.payload)) == [want("start", times), want("x", [BIG] * 3), want("é", [-3, -8, -8])]
     again = delivery.encode_requests(delivery.requests_of(series(chunks(spark, body)), [("h", "v")])).first()
-    assert again.payload == row.payload and row.n_series == 3
+    direct = delivery.chunk_payloads(chunks(spark, body), [("h", "v")]).first()
+    assert again.payload == row.payload == direct.payload and row.n_series == direct.n_series == 3
 
 
 def test_times_of_different_width(spark):
     body = b.metric({"start": b.int64(1)}, 1, 2, [1 << 40, -(1 << 41)])
     row = delivery.encode_requests(delivery.write_requests(chunks(spark, body))).first()
+    assert row.payload == delivery.chunk_payloads(chunks(spark, body)).first().payload
     samples = parse(bytes(row.payload))[0][1]
     assert [(v, t - 2**64 if t >= 2**63 else t) for v, t in samples] == [(1.0, 1), (float(2**40 + 1), 2**40 + 1), (float(1 - 2**40), 1 - 2**40)]
 
 
+def test_direct_payloads_equal_requests(spark, event_docs):
+    decoded = decode_chunks(event_docs)
+    a = delivery.chunk_payloads(decoded, [("k", "v")]).collect()
+    c = delivery.encode_requests(delivery.write_requests(decoded, [("k", "v")])).collect()
+    assert len(a) == event_docs.count() and sorted(map(tuple, a)) == sorted(map(tuple, c))
+
+
 def test_empty_series_are_dropped(spark):
     df = spark.createDataFrame(
         [("p", 0, 0, "a", [1], [5]), ("p", 0, 1, "b", [], [5]), ("p", 0, 2, "c", [1], []), ("q", 0, 0, "d", [], [])],
@@ -121,7 +130,7 @@ def test_send_gets_url_headers_and_payload(spark, event_docs, tmp_path):
             f.write(url.encode() + b"\n" + headers["Content-Encoding"].encode() + b"\n" + payload)
         return 204, ""
 
-    receipts = delivery.remote_write(delivery.write_requests(decode_chunks(event_docs)), "http://c:1/", send).collect()
+    receipts = delivery.remote_write(delivery.chunk_payloads(decode_chunks(event_docs)), "http://c:1/", send).collect()
     sent = [p.read_bytes().split(b"\n", 2) for p in tmp_path.iterdir()]
     assert len(sent) == len(receipts) == event_docs.count()
     assert {s[0] for s in sent} == {b"http://c:1/api/v1/write"} and {s[1] for s in sent} == {b"snappy"}
@@ -129,7 +138,7 @@ def test_send_gets_url_headers_and_payload(spark, event_docs, tmp_path):
 
 
 def test_refusal_fails_the_job_with_status_and_text(spark, event_docs):
-    requests = delivery.write_requests(decode_chunks(event_docs))
+    requests = delivery.chunk_payloads(decode_chunks(event_docs))
     with pytest.raises(PySparkException, match="503 - too busy"):
         delivery.remote_write(requests, "http://c", lambda *a: (503, "too busy")).collect()
 
