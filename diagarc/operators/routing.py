@@ -5,17 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from diagarc.plans.shared import run_dir
 from diagarc.sources.archives import METADATA, METADATA_DELTA, METRIC, metadata as read_metadata
 
 
-def route_docs(docs: DataFrame, metadata=None, metric=None, delta=None) -> DataFrame:
+def stage_docs(docs: DataFrame) -> DataFrame:
+    """Documents as a table in the shared folder, partitioned by type: framed once, read per type."""
+    spark = docs.sparkSession
+    table = run_dir(spark, "docs")
+    docs.write.partitionBy("doc_type").parquet(table)
+    return spark.read.schema(docs.schema).parquet(table)
+
+
+def route_docs(docs: DataFrame, metadata=None, metric=None, delta=None, stage=False) -> DataFrame:
     """Union of the handlers' outputs; each handler maps a DataFrame to a DataFrame.
 
     ``metadata`` gets parsed documents that have a ``doc`` (others are skipped),
     ``metric`` and ``delta`` get whole documents. A kind without a handler is left out,
     so its documents are filtered away right after framing. Order by (path, doc_no)
-    to see results in archive order.
+    to see results in archive order. Every handler reads ``docs`` on its own; ``stage``
+    lets them share one pass over the files.
     """
+    if stage:
+        docs = stage_docs(docs)
     parts = []
     if metadata is not None:
         own = docs.filter(F.col("doc_type") == METADATA)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -12,36 +12,35 @@ from diagarc.operators.flatten import flatten_struct
 from diagarc.sources.writer import by_chunk, collect_chunks, pack_chunks
 
 
-def event_documents(events: DataFrame) -> DataFrame:
-    """One document per event; the source is its calendar day.
-
-    ``{start, event: {user_id, value, is_error, props: {k}}, end}``
-    """
-    props = F.from_json("props", "k bigint")
-    document = F.struct(
-        F.col("ts").alias("start"),
-        F.struct("user_id", "value", (F.col("event_type") == "error").alias("is_error"), props.alias("props")).alias("event"),
-        F.col("ts").alias("end"),
-    )
+def event_rows(events: DataFrame) -> DataFrame:
+    """Events with their source (the calendar day) and time in epoch milliseconds."""
     return events.select(
-        F.date_format("ts", "yyyy-MM-dd").alias("path"), ntz_to_ms(F.col("ts")).alias("id_ms"), "event_id",
-        document.alias("document"),
+        F.date_format("ts", "yyyy-MM-dd").alias("path"), ntz_to_ms(F.col("ts")).alias("id_ms"), "event_id", "ts",
+        "user_id", "event_type", "value", "props",
     )
 
 
-def capture(documents: DataFrame, order: list[str], max_samples=MAX_SAMPLES) -> DataFrame:
-    """Archive documents of rows (path, id_ms, order columns, struct ``document``).
+def event_document() -> Column:
+    """``{start, event: {user_id, value, is_error, props: {k}}, end}`` of an event row."""
+    props = F.from_json("props", "k bigint")
+    is_error = (F.col("event_type") == "error").alias("is_error")
+    event = F.struct("user_id", "value", is_error, props.alias("props"))
+    return F.struct(F.col("ts").alias("start"), event.alias("event"), F.col("ts").alias("end"))
+
+
+def capture(rows: DataFrame, order: list[str], document: Column, max_samples=MAX_SAMPLES) -> DataFrame:
+    """Archive documents of rows (path, id_ms, order columns) with one ``document`` each.
 
-    Leaves are taken out of the struct before anything moves, so the ordered
-    numbering and the one shuffle per chunk carry flat rows.
+    Rows are numbered as they come and turned into documents afterwards: the ordered
+    numbering then moves the small rows, and the shuffle per chunk only values.
     """
-    rows = flatten_struct(documents, "document").drop("document")
     numbered = fill_chunks(rows, ["path"], order, max_samples)
-    return pack_chunks(collect_chunks(numbered, ["sample_no"]))
+    documents = numbered.select("path", "doc_no", "sample_no", "id_ms", document.alias("document"))
+    return pack_chunks(collect_chunks(flatten_struct(documents, "document").drop("document")))
 
 
 def capture_events(events: DataFrame, max_samples=MAX_SAMPLES) -> DataFrame:
-    return capture(event_documents(events), ["id_ms", "event_id"], max_samples)
+    return capture(event_rows(events), ["id_ms", "event_id"], event_document(), max_samples)
 
 
 USERS_PER_SOURCE = 1000

@@ -18,7 +18,7 @@ from diagarc.operators.decode import chunk_keys, chunk_tokens, change_points, de
 from diagarc.operators.delivery import chunk_payloads, remote_write, requests_of, write_requests
 from diagarc.operators.flatten import explode_fields, flatten_struct, split_timestamp
 from diagarc.operators.routing import route_docs
-from diagarc.plans.capture import capture_events, capture_user_activity, event_documents
+from diagarc.plans.capture import capture_events, capture_user_activity, event_document
 from diagarc.plans.shared import run_dir
 from diagarc.sources import archives
 from diagarc.sources.writer import pack_metadata, write_archives
@@ -144,8 +144,8 @@ def samples_of_series(spark, d):
 
 
 def flatten_struct_keys(spark, d):
-    rows = flatten_struct(event_documents(_table(spark, d, "events")), "document").drop("document", "path", "id_ms")
-    return explode_fields(rows)
+    rows = _table(spark, d, "events").select("event_id", event_document().alias("document"))
+    return explode_fields(flatten_struct(rows, "document").drop("document"))
 
 
 def flatten_array_keys(spark, d):

@@ -24,16 +24,21 @@ def by_chunk(rows: DataFrame) -> DataFrame:
     return rows.repartition(n, "path", "doc_no")
 
 
-def collect_chunks(rows: DataFrame, order: list[str]) -> DataFrame:
+def collect_chunks(rows: DataFrame) -> DataFrame:
     """One nested row per (path, doc_no): the field layout and a samples-by-fields matrix.
 
-    ``rows`` hold one sample each with ``fields``, as :func:`diagarc.operators.flatten.flatten_struct`
-    makes them. Chunks are bounded by whoever numbered them (``chunk_boundaries``).
+    ``rows`` hold one sample each: ``sample_no`` from 0, ``id_ms``, and ``fields`` as
+    :func:`diagarc.operators.flatten.flatten_struct` makes them. Chunks are bounded by
+    whoever numbered them. Only values move; the layout travels with the first sample.
     """
-    sample = F.struct(*order, F.transform("fields", lambda f: f["value"]).alias("v"))
     layout = F.transform("fields", lambda f: F.struct(f["field"].alias("field"), f["bson_type"].alias("bson_type")))
-    grouped = by_chunk(rows).groupBy("path", "doc_no").agg(
-        F.array_sort(F.collect_list(sample)).alias("s"), F.first(layout).alias("layout"), F.min("id_ms").alias("id_ms")
+    thin = rows.select(
+        "path", "doc_no", "id_ms", F.struct("sample_no", F.transform("fields", lambda f: f["value"]).alias("v")).alias("s"),
+        F.when(F.col("sample_no") == 0, layout).alias("layout"),
+    )
+    grouped = by_chunk(thin).groupBy("path", "doc_no").agg(
+        F.array_sort(F.collect_list("s")).alias("s"), F.first("layout", ignorenulls=True).alias("layout"),
+        F.min("id_ms").alias("id_ms"),
     )
     return grouped.select("path", "doc_no", "id_ms", "layout", F.transform("s", lambda s: s["v"]).alias("samples"))
 

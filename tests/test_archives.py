@@ -119,6 +119,7 @@ def test_routing_keeps_what_handlers_return(spark, folder):
 
     everything = routed(metadata=tag("m"), metric=tag("c"), delta=tag("d"))
     assert everything == [(0, "m"), (2, "c"), (3, "d"), (4, "c")]  # document 1 has no ``doc``
+    assert routed(metadata=tag("m"), metric=tag("c"), delta=tag("d"), stage=True) == everything
     assert routed(metric=tag("c")) == [(2, "c"), (4, "c")]
     assert routed(metadata=lambda d: tag("m")(d).filter("false"), metric=tag("c")) == [(2, "c"), (4, "c")]
     with pytest.raises(ValueError):
