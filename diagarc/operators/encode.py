@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from diagarc.functions.scalar import int_div, varint_size
-from diagarc.plans.ordered import number_rows, previous_row, running, slice_rows
+from diagarc.plans.ordered import SLICE, number_rows, refreeze, running, slice_rows
 
 MAX_SAMPLES = 300  # reference sample and 299 deltas
 
@@ -32,17 +32,17 @@ def chunk_boundaries(rows: DataFrame, keys: list[str], order: list[str], schema_
                      max_samples=MAX_SAMPLES) -> DataFrame:
     """``doc_no`` and ``sample_no`` per row; a chunk ends when the schema changes or it is full.
 
-    All four ordered steps share one slicing of the rows.
+    Three ordered steps on one slicing: row numbers and the schema before; the row the
+    current schema began at; the chunks begun so far.
     """
-    sliced = slice_rows(rows, keys, order)
-    a = previous_row(sliced, keys, order, [schema_column], "_previous")
-    changed = F.col("_previous").isNull() | ~F.col("_previous")[schema_column].eqNullSafe(F.col(schema_column))
-    a = a.withColumn("_changed", changed).withColumn("_one", F.lit(1).cast("bigint"))
-    b = running(a, keys, order, {"_row": ("sum", "_one")})
-    b = b.withColumn("_mark", F.when(F.col("_changed"), F.col("_row")))
-    c = running(b, keys, order, {"_from": ("max", "_mark")})
-    at = F.col("_row") - F.col("_from")
-    c = c.withColumn("sample_no", (at % max_samples).cast("int"))
-    c = c.withColumn("_starts", F.when(F.col("sample_no") == 0, F.lit(1)).otherwise(0).cast("bigint"))
-    d = running(c, keys, order, {"_doc": ("sum", "_starts")})
-    return d.withColumn("doc_no", F.col("_doc") - 1).select(*rows.columns, "doc_no", "sample_no")
+    rows_in = rows.columns
+    schema = F.struct(F.col(schema_column).alias("v"))
+    a = slice_rows(rows, keys, order).withColumn("_one", F.lit(1).cast("bigint")).withColumn("_schema", schema)
+    a = running(a, keys, order, {"_row": ("sum", "_one"), "_previous": ("lag", "_schema")})
+    changed = F.col("_previous").isNull() | ~F.col("_previous")["v"].eqNullSafe(F.col(schema_column))
+    a = a.select(*rows_in, SLICE, "_row", F.when(changed, F.col("_row")).alias("_mark"))
+    b = running(refreeze(a), keys, order, {"_from": ("max", "_mark")})
+    at = (F.col("_row") - F.col("_from")) % max_samples
+    b = b.select(*rows_in, SLICE, at.cast("int").alias("sample_no"), F.when(at == 0, 1).otherwise(0).cast("bigint").alias("_starts"))
+    c = running(refreeze(b), keys, order, {"_doc": ("sum", "_starts")})
+    return c.select(*rows_in, (F.col("_doc") - 1).alias("doc_no"), "sample_no")

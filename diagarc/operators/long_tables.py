@@ -49,7 +49,7 @@ def zero_run_encode(deltas: DataFrame) -> DataFrame:
     A group is one non-zero delta and the zeros after it, so a group gives at most
     three tokens.
     """
-    w = W.partitionBy(*CHUNK).orderBy("cell")
+    w = W.partitionBy(*CHUNK).orderBy("cell").rowsBetween(W.unboundedPreceding, 0)
     grouped = deltas.withColumn("grp", F.count(F.when(F.col("delta") != 0, 1)).over(w))
     runs = grouped.groupBy(*CHUNK, "grp").agg(
         F.max(F.when(F.col("delta") != 0, F.col("delta"))).alias("head"),
@@ -68,7 +68,7 @@ def _token_spans(tokens: DataFrame) -> DataFrame:
     starting with the first, is a marker; the token after a marker is its count."""
     rows = tokens.select(*CHUNK, "n_keys_found", "n_deltas", F.posexplode("tokens").alias("pos", "token"))
     w = W.partitionBy(*CHUNK).orderBy("pos")
-    other = F.max(F.when(F.col("token") != 0, F.col("pos"))).over(w)
+    other = F.max(F.when(F.col("token") != 0, F.col("pos"))).over(w.rowsBetween(W.unboundedPreceding, 0))
     rows = rows.withColumn("marker", (F.col("token") == 0) & ((F.col("pos") - F.coalesce(other, F.lit(-1))) % 2 == 1))
     need = F.col("n_keys_found") * F.col("n_deltas")
     count = F.lead("token").over(w)
@@ -77,7 +77,7 @@ def _token_spans(tokens: DataFrame) -> DataFrame:
         "*", need.alias("need"), F.coalesce(F.lag("marker").over(w), F.lit(False)).alias("is_count"),
         F.when(F.col("marker"), count + 1).otherwise(F.lit(1).cast("bigint")).alias("span"),
     ).filter(~F.col("is_count"))
-    before = W.partitionBy(*CHUNK).orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
+    before = w.rowsBetween(W.unboundedPreceding, -1)
     return rows.withColumn("cell", F.coalesce(F.sum("span").over(before), F.lit(0).cast("bigint")))
 
 

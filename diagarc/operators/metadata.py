@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from diagarc.plans.ordered import previous_row, running, slice_rows
+from diagarc.plans.ordered import previous_row, refreeze, running, slice_rows
 
 ALWAYS_KEPT = ("start", "end")  # fixed values: fields every delta repeats
 
@@ -34,10 +34,13 @@ def metadata_delta(docs: DataFrame, keys: list[str], order: list[str]) -> DataFr
     a = a.withColumn("_hit", F.when(~F.col("_reset") & (F.size(differs) > 0), 1).otherwise(0).cast("bigint"))
     # Deltas so far, less those before the latest reset. The count never falls, so
     # the latest reset's count is the largest one seen at a reset.
-    b = running(a.drop("_previous"), keys, order, {"_hits": ("sum", "_hit")})
+    # Documents without changes have given what they can: they were someone's
+    # predecessor. They leave before the counting.
+    a = a.filter(F.col("_reset") | (F.col("_hit") == 1)).drop("_previous")
+    b = running(refreeze(a), keys, order, {"_hits": ("sum", "_hit")})
     b = b.withColumn("_at_reset", F.when(F.col("_reset"), F.col("_hits")))
-    c = running(b, keys, order, {"_base": ("max", "_at_reset")})
-    return c.filter(F.col("_reset") | (F.col("_hit") == 1)).select(
+    c = running(refreeze(b), keys, order, {"_base": ("max", "_at_reset")})
+    return c.select(
         *[x for x in docs.columns if x != "fields"],
         F.when(F.col("_reset"), 0).otherwise(2).alias("doc_type"),
         (F.col("_hits") - F.col("_base")).alias("index"),

@@ -81,42 +81,50 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], out="row_no",
 
 def previous_row(df: DataFrame, keys: list[str], order: list[str], columns: list[str], out="previous", n=None):
     """Struct of ``columns`` of the row before, NULL at the start of a group."""
-    sliced = slice_rows(df, keys, order, n)
-    row = F.struct(*columns)
-    last = F.max_by(row, F.struct(*order)).alias("_last")
-    carry = _carry(sliced, keys, [last], {"_prev": ("last", "_last")})
-    local = sliced.withColumn(out, F.lag(row).over(_local(keys, order)))
-    return _bring(local, keys, carry).withColumn(out, F.coalesce(out, "_prev")).drop("_prev", *_own_slice(df))
+    rows = df.withColumn("_row_struct", F.struct(*columns))
+    return running(rows, keys, order, {out: ("lag", "_row_struct")}, n).drop("_row_struct")
 
 
 def running(df: DataFrame, keys: list[str], order: list[str], outs: dict[str, tuple[str, str]], n=None) -> DataFrame:
-    """Running aggregates per group, current row included.
+    """Running values per group, several at once.
+
+    ``outs`` maps a new column to (how, input column): ``"sum"`` and ``"max"`` up to and
+    with the row, ``"last"`` the latest value that is not NULL, ``"lag"`` the value of the
+    row before (of a column without NULLs, such as a struct).
 
-    ``outs`` maps a new column to (``"sum"``, ``"max"`` or ``"last"``, input column);
-    ``"last"`` is the latest value that is not NULL.
+    The result reads the slices twice. A step on top of another step therefore starts
+    from :func:`refreeze`, or the work would double with every step.
     """
     sliced = slice_rows(df, keys, order, n)
-    w = _local(keys, order).rowsBetween(W.unboundedPreceding, 0)
+    w = _local(keys, order)
+    upto = w.rowsBetween(W.unboundedPreceding, 0)
     parts, carried, local = [], {}, sliced
     for out, (how, c) in outs.items():
-        if how == "last":
-            seen = F.max_by(F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"))),
-                            F.when(F.col(c).isNotNull(), F.struct(*order)))
-            parts.append(seen["v"].alias(f"_p_{out}"))
-            local = local.withColumn(out, F.last(c, ignorenulls=True).over(w))
-        else:
+        if how == "sum" or how == "max":
             agg = F.sum if how == "sum" else F.max
-            parts.append(agg(c).alias(f"_p_{out}"))
-            local = local.withColumn(out, agg(c).over(w))
-        carried[f"_in_{out}"] = (how, f"_p_{out}")
+            part, value = agg(c), agg(c).over(upto)
+        elif how == "last":
+            known = F.col(c).isNotNull()
+            part = F.max_by(F.when(known, F.struct(F.col(c).alias("v"))), F.when(known, F.struct(*order)))["v"]
+            value = F.last(c, ignorenulls=True).over(upto)
+        else:
+            part, value = F.max_by(c, F.struct(*order)), F.lag(c).over(w)
+        parts.append(part.alias(f"_p_{out}"))
+        local = local.withColumn(out, value)
+        carried[f"_in_{out}"] = ("last" if how == "lag" else how, f"_p_{out}")
     joined = _bring(local, keys, _carry(sliced, keys, parts, carried))
     for out, (how, _) in outs.items():
-        before = F.col(f"_in_{out}")
+        before, own = F.col(f"_in_{out}"), F.col(out)
         if how == "sum":
-            total = F.when(before.isNull(), F.col(out)).otherwise(before + F.coalesce(F.col(out), before - before))
+            total = F.when(before.isNull(), own).otherwise(before + F.coalesce(own, before - before))
         elif how == "max":
-            total = F.greatest(F.col(out), before)
+            total = F.greatest(own, before)
         else:
-            total = F.coalesce(F.col(out), before)
+            total = F.coalesce(own, before)
         joined = joined.withColumn(out, total)
     return joined.drop(*_own_slice(df), *carried)
+
+
+def refreeze(sliced: DataFrame) -> DataFrame:
+    """Materialise a step that kept its slices, for the next step to start from."""
+    return freeze(sliced)

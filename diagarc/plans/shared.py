@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors share, as named by ``spark.checkpoint.dir``.
+    """This application's folder below ``spark.checkpoint.dir``, which all executors share.
 
     Only a local session without that setting gets a folder of its own.
     """
@@ -23,7 +23,14 @@ def shared_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
-    return base
+    return spark.sparkContext.getCheckpointDir()
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme Spark itself would use, so that tasks write where Spark reads."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return file_system.makeQualified(hadoop_path).toString()
 
 
 def run_dir(spark: SparkSession, label: str) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from diagarc.functions.scalar import int_div
+from diagarc.plans.shared import qualified
 from diagarc.sources import wire
 
 DOCS = "path string, doc_no bigint, doc_type int, id_ms bigint, body binary"
@@ -106,6 +107,7 @@ def write_archives(docs: DataFrame, directory: str, max_docs: int = 100) -> Data
     temporary name and moved into place, so a retried task leaves one whole file.
     Returns one receipt row per file; the write happens when it is evaluated.
     """
+    target = qualified(docs.sparkSession, directory)
     # Uniquifier: the low digits of the file number, so files of one second stay apart.
     docs = docs.withColumn("file_no", int_div(F.col("doc_no"), max_docs))
     ordered = docs.repartition("path", "file_no").sortWithinPartitions("path", "file_no", "doc_no")
@@ -116,8 +118,10 @@ def write_archives(docs: DataFrame, directory: str, max_docs: int = 100) -> Data
 
         from pyarrow import fs
 
-        store, root = fs.FileSystem.from_uri(directory) if "://" in directory or directory.startswith("file:") else (
-            fs.LocalFileSystem(), directory)
+        if target.startswith("file:"):
+            store, root = fs.LocalFileSystem(), "/" + target.removeprefix("file:").lstrip("/")
+        else:
+            store, root = fs.FileSystem.from_uri(target)
         current, out, receipt = None, None, None
 
         def close():
