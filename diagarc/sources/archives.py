@@ -14,6 +14,7 @@ from diagarc.sources import wire
 ARCHIVE_DOCS = (
     "path string, doc_no bigint, byte_offset bigint, doc_type int, id_ms bigint, body binary, error string"
 )
+LARGE_FILE = 64 << 20
 _FILES = "path string, modificationTime timestamp, length bigint, content binary"
 METADATA, METRIC, METADATA_DELTA = 0, 1, 2
 
@@ -45,7 +46,7 @@ def list_archives(spark: SparkSession, path, since=None, until=None, interim=Fal
         files = files.filter(start >= F.lit(since).cast("timestamp_ntz"))
     if until is not None:
         files = files.filter(start < F.lit(until).cast("timestamp_ntz"))
-    return files.select("path", "content")
+    return files.select("path", "length", "content")
 
 
 def _frame_batches(batches):
@@ -81,13 +82,17 @@ def read_archives(spark: SparkSession, path, mode="failfast", spread="auto", **o
     """Documents of all archives under ``path``.
 
     Archives are closed at a size cap, so a file is a small unit of work and no
-    shuffle is needed while there are more file splits than cores. With fewer,
-    documents are spread by hash so that the chunks of one file decode in parallel.
+    shuffle is needed while there are more file splits than cores. With fewer splits, or
+    with a file above ``LARGE_FILE`` that would hold up its task, compressed documents
+    are spread by hash so that the chunks of one file decode in parallel. The check
+    lists files and reads no content.
     """
     files = list_archives(spark, path, **options)
     docs = apply_mode(frame_archives(files), mode)
     if spread == "auto":
         spread = files.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
+        if not spread:
+            spread = (files.agg(F.max("length")).first()[0] or 0) > LARGE_FILE
     return spread_docs(docs) if spread else docs
 
 

@@ -165,3 +165,20 @@ def test_few_files_spread_and_many_do_not(spark, folder):
     assert "RepartitionByExpression" in plan
     plan = archives.read_archives(spark, directory, spread=False)._jdf.queryExecution().toString()
     assert "RepartitionByExpression" not in plan
+
+
+def test_one_large_file_spreads(spark, folder, monkeypatch):
+    for i in range(40):
+        directory = folder(metric() * 3, f"metrics.2024-03-08T22-58-{i:02d}Z-00000")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
+    try:
+        def spread():
+            return "RepartitionByExpression" in archives.read_archives(spark, directory)._jdf.queryExecution().toString()
+
+        assert not spread()
+        monkeypatch.setattr(archives, "LARGE_FILE", 100)
+        assert spread()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
