@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from diagarc.llm import topk
+from diagarc.llm.langid import op4_language_id
 from diagarc.llm.mixing import op2_mix_sources
 from diagarc.llm.packing import op6_pack_best_fit
+from diagarc.llm.sketches import op5_fingerprints
 from diagarc.llm.token_counts import op10_token_counts
 from diagarc.llm.topk import op7_pivot_top_k
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op6_pack_best_fit, op7_pivot_top_k, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op2_mix_sources, op4_language_id, op5_fingerprints, op6_pack_best_fit, op7_pivot_top_k, op10_token_counts)}
 
 ORACLES = {"op7_pivot_top_k": topk.SQL}
