@@ -14,7 +14,7 @@ block is k rows per query, never pairs.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,53 +32,70 @@ def quantised(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embe
         F.col(vec_id).alias("vec_id"), F.transform(x, lambda c: c.cast("double") * scale).alias("v"))
 
 
-def _matrix(values, width):
+def _matrix(column: pa.ChunkedArray, width: int = 0) -> np.ndarray:
     """Whole numbers, held in doubles; shorter vectors end in zeros."""
-    out = np.zeros((len(values), width))
-    for i, v in enumerate(values):
-        out[i, : len(v)] = v
-    return np.floor(out)
+    lists = column.combine_chunks()
+    sizes = np.diff(lists.offsets.to_numpy())
+    out = np.zeros((len(sizes), max(width, sizes.max(initial=0))))
+    out[np.arange(out.shape[1])[None] < sizes[:, None]] = np.floor(lists.flatten().to_numpy(zero_copy_only=False))
+    return out
+
+
+def _wide(matrix: np.ndarray, width: int) -> np.ndarray:
+    return np.pad(matrix, ((0, 0), (0, width - matrix.shape[1])))
 
 
 def _scores(q, x, exact):
     if exact:  # below 2^52 in magnitude, where doubles hold every integer
-        return x @ q
+        return (x @ q).astype(np.int64)
     own = [int(c) for c in q]
-    return [max(-(2**63), min(2**63 - 1, sum(a * int(c) for a, c in zip(own, row)))) for row in x]
+    return np.array([max(-(2**63), min(2**63 - 1, sum(a * int(c) for a, c in zip(own, row)))) for row in x], dtype=np.int64)
 
 
-def _best_of_block(queries: pd.DataFrame, cands: pd.DataFrame, pivots: np.ndarray, k: int, step: int) -> pd.DataFrame:
-    width = max([pivots.shape[1], *map(len, queries["v"]), *map(len, cands["v"])])
-    qs, xs = _matrix(queries["v"], width), _matrix(cands["v"], width)
-    pv = np.zeros((len(pivots), width))
-    pv[:, : pivots.shape[1]] = pivots
+def _best_of_block(queries: pa.Table, cands: pa.Table, pivots: np.ndarray, k: int, step: int) -> pa.Table:
+    qs, xs = _matrix(queries["v"]), _matrix(cands["v"])
+    width = max(pivots.shape[1], qs.shape[1], xs.shape[1])
+    qs, xs, pv = _wide(qs, width), _wide(xs, width), _wide(pivots, width)
     exact = np.abs(qs).max(initial=0) * np.abs(xs).max(initial=0) * max(1, width) < EXACT
-    q2, x2 = (qs * qs).sum(1), (xs * xs).sum(1)
-    dq = np.sqrt(((qs[:, None, :] - pv[None]) ** 2).sum(2)) if len(pv) else np.zeros((len(qs), 0))
-    dx = np.sqrt(np.maximum(0, x2[:, None] + (pv * pv).sum(1)[None] - 2 * xs @ pv.T))
-    ids = np.array([2**63 - 1 if pd.isna(i) else int(i) for i in cands["vec_id"]], dtype=np.int64)
-    known = np.array([not pd.isna(i) for i in cands["vec_id"]])
-    rows = []
-    for n, query in enumerate(queries["vec_id"].astype("int64")):
-        low = np.abs(dx - dq[n]).max(1) if len(pv) else np.zeros(len(xs))
+    q2, x2, p2 = (qs * qs).sum(1), (xs * xs).sum(1), (pv * pv).sum(1)
+    dq = np.sqrt(np.maximum(0, q2[:, None] + p2[None] - 2 * qs @ pv.T))
+    dx = np.sqrt(np.maximum(0, x2[:, None] + p2[None] - 2 * xs @ pv.T))
+    # What rounding may have added to a bound on the distance.
+    slack = 1e-6 * (np.sqrt(q2.max(initial=0)) + np.sqrt(x2.max(initial=0)) + np.sqrt(p2.max(initial=0))) + 1e-3
+    named = ~np.asarray(cands["vec_id"].is_null())
+    ids = np.asarray(cands["vec_id"].fill_null(2**63 - 1))
+    out = []
+    for n, query in enumerate(queries["vec_id"].to_pylist()):
+        low = np.zeros(len(xs))
+        for p in range(len(pv)):
+            np.maximum(low, np.abs(dx[:, p] - dq[n, p]), out=low)
+        low = np.maximum(0, low - slack)
         bound = (q2[n] + x2 - low * low) / 2
-        bound += 1e-9 * (q2[n] + x2) + 1  # what rounding may have taken from the bound
-        order = np.argsort(-bound, kind="stable")
-        order = order[(ids[order] != query) | ~known[order]]
-        found, at = [], 0
-        while at < len(order) and (len(found) < k or bound[order[at]] >= found[k - 1][0] * -1):
-            part = order[at : at + step]
-            score = _scores(qs[n], xs[part], exact)
-            found += [(-int(s), not known[j], int(ids[j]), 0) for s, j in zip(score, part)]
-            found = sorted(found)[:k]
-            at += step
-        rows += [(int(query), int(-f[0]), None if f[1] else f[2]) for f in found]
-    return pd.DataFrame({"query_id": pd.Series([r[0] for r in rows], dtype="int64"), "score": pd.Series([r[1] for r in rows], dtype="int64"),
-                         "vec_id": pd.Series([r[2] for r in rows], dtype="Int64")})
-
-
-def top_k(vectors: DataFrame, every: int = 50, k: int = 5, n_pivots: int = 48, block_rows: int = 4096,
-          query_rows: int = 512, step: int = 64) -> DataFrame:
+        bound += 1e-12 * np.abs(bound) + 1e-12 * (q2[n] + x2) + 1
+        bound[(ids == query) & named] = -np.inf
+        first = np.argpartition(-bound, step)[:step] if len(bound) > step else np.arange(len(bound))
+        own = first[bound[first] > -np.inf]
+        score = _scores(qs[n], xs[own], exact)
+        best = np.lexsort((ids[own], ~named[own], -score))[:k]
+        own, score = own[best], score[best]
+        # Only candidates whose bound reaches the k-th score are left; they are taken by falling bound.
+        rest = np.setdiff1d(np.flatnonzero(bound >= (score[-1] if len(score) == k else -np.inf)), first)
+        rest = rest[bound[rest] > -np.inf]
+        rest = rest[np.argsort(-bound[rest], kind="stable")]
+        at, size = 0, 4 * step
+        while at < len(rest) and (len(score) < k or bound[rest[at]] >= score[-1]):
+            part = rest[at : at + size]
+            own, score = np.append(own, part), np.append(score, _scores(qs[n], xs[part], exact))
+            best = np.lexsort((ids[own], ~named[own], -score))[:k]
+            own, score = own[best], score[best]
+            at, size = at + size, 2 * size
+        out.append((np.full(len(own), query), score, ids[own], ~named[own]))
+    query, score, vec, unnamed = (np.concatenate(c) for c in zip(*out))
+    return pa.table({"query_id": pa.array(query, pa.int64()), "score": pa.array(score, pa.int64()), "vec_id": pa.array(vec, pa.int64(), mask=unnamed)})
+
+
+def top_k(vectors: DataFrame, every: int = 50, k: int = 5, n_pivots: int = 32, block_rows: int = 8192,
+          query_rows: int = 2048, step: int = 64) -> DataFrame:
     """The k best candidates of every query: query_id, rank, vec_id, score.
 
     Queries are the distinct ids divisible by ``every`` (of repeated ids the smallest vector
@@ -93,8 +110,7 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, n_pivots: int = 48, b
     blocks, groups = max(1, -(-n // block_rows)), max(1, -(-n // every // query_rows))
     # A stated number of pivots: the vectors with the smallest hashes.
     chosen = rows.select("v").orderBy(F.xxhash64("v")).limit(n_pivots).collect()
-    width = max([len(r.v) for r in chosen], default=0)
-    pivots = _matrix([r.v for r in chosen], width)
+    pivots = _matrix(pa.chunked_array([pa.array([r.v for r in chosen], pa.list_(pa.float64()))]))
 
     # By place in the staged files: copies of a vector, and whole repeated rows, are dealt evenly.
     cands = rows.withColumn("block", F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).cast("int"))
@@ -102,12 +118,12 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, n_pivots: int = 48, b
     left = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("group", "block", "vec_id", "v")
     right = cands.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).select("group", "block", "vec_id", "v")
 
-    def search(q, c):
-        if not len(q) or not len(c):
-            return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="Int64")})
-        return _best_of_block(q, c, pivots, k, step)
+    def search(q: pa.Table, c: pa.Table) -> pa.Table:
+        if q.num_rows and c.num_rows:
+            return _best_of_block(q, c, pivots, k, step)
+        return pa.table({n: pa.array([], pa.int64()) for n in ("query_id", "score", "vec_id")})
 
-    best = left.groupBy("group", "block").cogroup(right.groupBy("group", "block")).applyInPandas(search, "query_id bigint, score bigint, vec_id bigint")
+    best = left.groupBy("group", "block").cogroup(right.groupBy("group", "block")).applyInArrow(search, "query_id bigint, score bigint, vec_id bigint")
     ranked = best.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
