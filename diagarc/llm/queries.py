@@ -7,11 +7,12 @@ from diagarc.llm.html_main import op1_main_text
 from diagarc.llm.langid import op4_language_id
 from diagarc.llm.mixing import op2_mix_sources
 from diagarc.llm.packing import op6_pack_best_fit
+from diagarc.llm.repeats import op8_remove_repeats
 from diagarc.llm.secrets import op3_secrets
 from diagarc.llm.sketches import op5_fingerprints
 from diagarc.llm.token_counts import op10_token_counts
 from diagarc.llm.topk import op7_pivot_top_k
 
-QUERIES = {f.__name__: f for f in (op1_main_text, op2_mix_sources, op3_secrets, op4_language_id, op5_fingerprints, op6_pack_best_fit, op7_pivot_top_k, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_main_text, op2_mix_sources, op3_secrets, op4_language_id, op5_fingerprints, op6_pack_best_fit, op7_pivot_top_k, op8_remove_repeats, op10_token_counts)}
 
 ORACLES = {"op7_pivot_top_k": topk.SQL}
