@@ -2,9 +2,59 @@
 
 from __future__ import annotations
 
-from diagarc.plans.shared import run_dir
+from pyspark.sql import functions as F
 
-STAGES = []
+from diagarc.llm import jaccard, langid, mixing, packing, secrets
+from diagarc.plans.shared import run_dir, ship_package
+
+#: Least share of a document's words that its language must have.
+LEAST_SCORE = 0.4
+
+
+def by_language(spark, docs, sf_dir):
+    """Documents without letters go, and those in which no language has LEAST_SCORE of the words."""
+    labelled = langid.label_documents(docs, langid.fit(docs))
+    return labelled.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+
+
+def one_of_each_group(spark, docs, sf_dir):
+    """Of documents that links of shingle similarity connect, the one with the smallest id stays.
+
+    Of several rows with that id the one with the smallest text hash stays, of equal rows one.
+    Documents without words are linked with nothing and stay.
+    """
+    groups = jaccard.alike_groups(docs)
+    heads = groups.filter("n_shingles > 0 and doc_id <=> component_id")
+    heads = heads.groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_rows"))
+    heads = heads.groupBy("component").agg(F.min(F.struct("text_hash", "doc_id", "_rows")).alias("one"))
+    heads = heads.select(F.col("one.doc_id").alias("_id"), "one.text_hash", "one._rows")
+    wordless = groups.filter("n_shingles = 0").select(F.col("doc_id").alias("_id"), "text_hash").distinct()
+    wanted = heads.unionByName(wordless.withColumn("_rows", F.lit(1).cast("bigint")))
+    kept = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("text_hash")))
+    single, several = kept.filter("_rows = 1"), kept.filter("_rows > 1").dropDuplicates(["_id", "text_hash"])
+    return single.unionByName(several).select(*docs.columns)
+
+
+def without_secrets(spark, docs, sf_dir):
+    """Every finding is replaced by a mark; all documents stay."""
+    return secrets.redacted(docs, secrets.fit(docs))
+
+
+def to_mix(spark, docs, sf_dir):
+    """As many copies of each document as the mix takes of it, to the nearest whole copy; none where it takes less than half."""
+    taken = mixing.mix(docs).groupBy("doc_id", "text_hash").agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
+    copies = taken.withColumn("_copies", F.round(F.col("_taken") / F.col("_size")).cast("int")).filter("_copies > 0")
+    copies = copies.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_copies")
+    met = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")))
+    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+
+
+def to_sequences(spark, docs, sf_dir):
+    """Pieces of the documents and their places in sequences; copies of a document are packed one by one."""
+    return packing.pack(docs)
+
+
+STAGES = [("language", by_language), ("similar", one_of_each_group), ("secrets", without_secrets), ("mix", to_mix), ("pack", to_sequences)]
 
 #: Stages of learned models and hashed orders are beyond SQL.
 ORACLE_SQL = None
@@ -12,6 +62,7 @@ ORACLE_SQL = None
 
 def run(spark, sf_dir):
     """The stages over ``documents``, each written as Parquet and read again by the next."""
+    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = run_dir(spark, f"stage-{name}")

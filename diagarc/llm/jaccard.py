@@ -79,10 +79,10 @@ def _sets(docs: DataFrame, width: int, least: int) -> DataFrame:
             counted.append(below)
             first.append(own[: max(below, prefix_size(len(own), least))].view(np.int64) if len(own) else [])
         columns = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(counted, pa.int32()), pa.array(first, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays([batch.column(0), *columns], ["d", "n", "set", "counted", "first"])
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], ["d", "text_hash", "n", "set", "counted", "first"])
 
-    rows = docs.select(F.col("doc_id").alias("d"), "text")
-    return map_batches(rows, run, "d bigint, n bigint, set binary, counted int, first array<bigint>")
+    rows = docs.select(F.col("doc_id").alias("d"), "text", F.xxhash64("text").alias("text_hash"))
+    return map_batches(rows, run, "d bigint, text_hash bigint, n bigint, set binary, counted int, first array<bigint>")
 
 
 def _candidate_groups(sets: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
@@ -206,10 +206,10 @@ def _tiles(texts: DataFrame, width: int, least: int) -> DataFrame:
 
 
 def alike_groups(docs: DataFrame, width: int = SHINGLE, least: int = LEAST) -> DataFrame:
-    """doc_id, n_shingles, component_id, set of every row.
+    """doc_id, n_shingles, component_id, component, text_hash of every row.
 
-    ``component_id`` is the smallest id that links reach, the row's own included; ``set`` identifies
-    its shingle set. Rows without words are linked with nothing. Null ids take part: their group
+    ``component_id`` is the smallest id that links reach, the row's own included; ``component`` tells
+    groups apart where ids repeat, and is null without words; ``text_hash`` is ``xxhash64(text)``. Rows without words are linked with nothing. Null ids take part: their group
     has the smallest other id, or null. Rows that repeat an id are rows of their own; other
     columns are ignored.
     """
@@ -232,11 +232,12 @@ def alike_groups(docs: DataFrame, width: int = SHINGLE, least: int = LEAST) -> D
     named = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = staged(named, "named")
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_set = named.join(smallest, "component").select("set", "component_id")
-    own = filled.select("d", "n", "set").join(by_set, "set").select(F.col("d").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", "set")
-    empty = sets.filter("n = 0").select(F.col("d").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("d").alias("component_id"), "set")
+    by_set = named.join(smallest, "component").select("set", "component_id", "component")
+    names = F.col("d").alias("doc_id"), F.col("n").alias("n_shingles")
+    own = filled.select("d", "n", "set", "text_hash").join(by_set, "set").select(*names, "component_id", "component", "text_hash")
+    empty = sets.filter("n = 0").select(*names, F.col("d").alias("component_id"), F.lit(None).cast("bigint").alias("component"), "text_hash")
     return own.unionByName(empty)
 
 
 def op9_jaccard_join(spark, directory):
-    return alike_groups(table(spark, directory, "documents")).drop("set")
+    return alike_groups(table(spark, directory, "documents")).drop("component", "text_hash")

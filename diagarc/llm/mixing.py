@@ -69,9 +69,9 @@ def slot_schedule(targets: DataFrame, n_slots: int, block: int = BLOCK) -> DataF
     ordered = W.partitionBy().orderBy("k")
     upto = F.sum("words").over(ordered.rowsBetween(W.unboundedPreceding, 0))
     all_words = F.sum("words").over(W.partitionBy())
-    bounds = targets.withColumn("hi", F.floor(upto / all_words * GRID).cast("bigint"))
+    bounds = targets.filter("words > 0").withColumn("hi", F.floor(upto / all_words * GRID).cast("bigint"))
     bounds = bounds.withColumn("lo", F.coalesce(F.lag("hi").over(ordered), F.lit(0).cast("bigint")))
-    bounds = bounds.withColumn("need", F.ceil(F.col("words") / block).cast("bigint")).filter("words > 0")
+    bounds = bounds.withColumn("need", F.ceil(F.col("words") / block).cast("bigint"))
     cells = bounds.filter("hi > lo").select(
         "k", "lo", "hi", "need",
         F.explode(F.sequence(F.shiftright("lo", CELL_BITS), F.shiftright(F.col("hi") - 1, CELL_BITS))).alias("cell"))
