@@ -213,7 +213,7 @@ def test_sketches_merge_and_contain():
     whole = sketches.sketch(book)
     assert sketches.containment(sketches.sketch(part), whole) > 0.98 and sketches.containment(sketches.sketch(other), whole) < 0.02
     assert set(sketches.sketch(part)) | set(sketches.sketch(other)) == set(sketches.merged(sketches.sketch(part), sketches.sketch(other)))
-    half = sketches.sketch(book[:30_000] + other * 5)
+    half = sketches.sketch(book[:30_000] + "".join(rng.choice("pqrstuv ") for _ in range(30_000)))
     assert abs(sketches.containment(half, whole) - 0.5) < 0.05
 
 
