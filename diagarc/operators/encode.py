@@ -4,10 +4,11 @@ E5 in ``sources.writer``.)"""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from diagarc.functions.scalar import int_div, varint_size
-from diagarc.plans.ordered import SLICE, number_rows, refreeze, running, slice_rows
+from diagarc.plans.ordered import SLICE, number_rows, slice_rows
 
 MAX_SAMPLES = 300  # reference sample and 299 deltas
 
@@ -32,17 +33,52 @@ def chunk_boundaries(rows: DataFrame, keys: list[str], order: list[str], schema_
                      max_samples=MAX_SAMPLES) -> DataFrame:
     """``doc_no`` and ``sample_no`` per row; a chunk ends when the schema changes or it is full.
 
-    Three ordered steps on one slicing: row numbers and the schema before; the row the
-    current schema began at; the chunks begun so far.
+    One slicing, frozen once. Each slice counts its own runs of equal schema; one row per group
+    and slice says how it begins and ends, and those few rows are folded in order into what
+    each slice starts with: the schema before, how long its run is already, the chunks begun.
     """
-    rows_in = rows.columns
+    sliced = slice_rows(rows, keys, order)
     schema = F.struct(F.col(schema_column).alias("v"))
-    a = slice_rows(rows, keys, order).withColumn("_one", F.lit(1).cast("bigint")).withColumn("_schema", schema)
-    a = running(a, keys, order, {"_row": ("sum", "_one"), "_previous": ("lag", "_schema")})
-    changed = F.col("_previous").isNull() | ~F.col("_previous")["v"].eqNullSafe(F.col(schema_column))
-    a = a.select(*rows_in, SLICE, "_row", F.when(changed, F.col("_row")).alias("_mark"))
-    b = running(refreeze(a), keys, order, {"_from": ("max", "_mark")})
-    at = (F.col("_row") - F.col("_from")) % max_samples
-    b = b.select(*rows_in, SLICE, at.cast("int").alias("sample_no"), F.when(at == 0, 1).otherwise(0).cast("bigint").alias("_starts"))
-    c = running(refreeze(b), keys, order, {"_doc": ("sum", "_starts")})
-    return c.select(*rows_in, (F.col("_doc") - 1).alias("doc_no"), "sample_no")
+    here = W.partitionBy(SLICE, *keys).orderBy(*order)
+    upto = here.rowsBetween(W.unboundedPreceding, 0)
+    previous = F.lag(schema).over(here)
+    new = previous.isNull() | ~previous["v"].eqNullSafe(F.col(schema_column))
+    local = sliced.withColumn("_run", F.sum(new.cast("bigint")).over(upto))
+    local = local.withColumn("_at", F.row_number().over(W.partitionBy(SLICE, *keys, "_run").orderBy(*order)).cast("bigint") - 1)
+
+    place = F.struct(*order)
+    ends = local.groupBy(SLICE, *keys).agg(
+        F.min_by(schema, place).alias("head"), F.max_by(schema, place).alias("tail"), F.max("_run").alias("runs"),
+        F.sum((F.col("_run") == 1).cast("bigint")).alias("first"), (F.max_by("_at", place) + 1).alias("last"),
+        F.sum(((F.col("_run") > 1) & (F.col("_at") % max_samples == 0)).cast("bigint")).alias("begun"))
+    one = F.struct(F.col(SLICE).alias("slice"), "head", "tail", "runs", "first", "last", "begun")
+    groups = ends.groupBy(*keys).agg(F.array_sort(F.collect_list(one)).alias("all")).filter(F.size("all") > 1)
+    tail_type = ends.schema["tail"].dataType
+    none = F.lit(None)
+    start = F.struct(none.cast(tail_type).alias("tail"), F.lit(0).cast("bigint").alias("length"), F.lit(0).cast("bigint").alias("docs"))
+    entry = F.struct(F.lit(-1).alias("slice"), start["tail"].alias("tail"), start["length"].alias("length"), start["docs"].alias("docs"))
+
+    def follow(states, e):
+        s = F.element_at(states, -1)
+        before = F.when(s["tail"]["v"].eqNullSafe(e["head"]["v"]) & s["tail"].isNotNull(), s["length"]).otherwise(F.lit(0).cast("bigint"))
+        chunks = int_div(before + e["first"] + (max_samples - 1), max_samples) - int_div(before + (max_samples - 1), max_samples)
+        length = F.when(e["runs"] == 1, before + e["first"]).otherwise(e["last"])
+        mine = F.struct(e["slice"].alias("slice"), e["tail"].alias("tail"), length.alias("length"), (s["docs"] + chunks + e["begun"]).alias("docs"))
+        return F.concat(states, F.array(mine))
+
+    states = F.aggregate("all", F.array(entry), follow)
+    carried = groups.select(*keys, F.col("all"), states.alias("states")).select(
+        *[F.col(k).alias(f"_c_{k}") for k in keys],
+        F.explode(F.zip_with("all", F.slice("states", 1, F.size("all")), lambda e, s: F.struct(
+            e["slice"].alias("slice"), F.when(s["tail"]["v"].eqNullSafe(e["head"]["v"]) & s["tail"].isNotNull(), s["length"]).otherwise(
+                F.lit(0).cast("bigint")).alias("before"), s["docs"].alias("docs")))).alias("c"))
+    carried = carried.select("*", F.col("c.slice").alias("_cs"), "c.before", "c.docs").drop("c")
+    on = local[SLICE] == carried["_cs"]
+    for k in keys:
+        on = on & local[k].eqNullSafe(carried[f"_c_{k}"])
+    # Fewer rows than slices: only the first group of a slice began before it, and one row begins it.
+    joined = local.join(carried, on, "left")
+    at = F.col("_at") + F.when(F.col("_run") == 1, F.coalesce("before", F.lit(0))).otherwise(0)
+    joined = joined.withColumn("sample_no", (at % max_samples).cast("int"))
+    doc = F.sum((F.col("sample_no") == 0).cast("bigint")).over(upto) + F.coalesce("docs", F.lit(0)) - 1
+    return joined.withColumn("doc_no", doc).select(*rows.columns, "doc_no", "sample_no")

@@ -7,9 +7,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from diagarc.functions.scalar import int_div, ntz_to_ms
-from diagarc.operators.encode import MAX_SAMPLES, fill_chunks
+from diagarc.operators.encode import MAX_SAMPLES, chunk_boundaries
 from diagarc.operators.flatten import flatten_struct
-from diagarc.sources.writer import by_chunk, collect_chunks, pack_chunks
+from diagarc.sources.writer import by_chunk, collect_chunks, layout_id, pack_chunks
 
 
 def event_rows(events: DataFrame) -> DataFrame:
@@ -31,10 +31,13 @@ def event_document() -> Column:
 def capture(rows: DataFrame, order: list[str], document: Column, max_samples=MAX_SAMPLES) -> DataFrame:
     """Archive documents of rows (path, id_ms, order columns) with one ``document`` each.
 
-    Rows are numbered as they come and turned into documents afterwards: the ordered
-    numbering then moves the small rows, and the shuffle per chunk only values.
+    A chunk ends when it is full or when other fields are present than before. Rows are
+    numbered as they come and turned into documents afterwards: the ordered numbering then
+    moves the small rows, and the shuffle per chunk only values.
     """
-    numbered = fill_chunks(rows, ["path"], order, max_samples)
+    shaped = flatten_struct(rows.withColumn("_document", document), "_document", "_fields")
+    shaped = shaped.withColumn("_layout", layout_id("_fields")).drop("_document", "_fields")
+    numbered = chunk_boundaries(shaped, ["path"], order, "_layout", max_samples)
     documents = numbered.select("path", "doc_no", "sample_no", "id_ms", document.alias("document"))
     return pack_chunks(collect_chunks(flatten_struct(documents, "document").drop("document")))
 

@@ -14,13 +14,12 @@ from diagarc.sources import wire
 ARCHIVE_DOCS = (
     "path string, doc_no bigint, byte_offset bigint, doc_type int, id_ms bigint, body binary, error string"
 )
-LARGE_FILE = 64 << 20
 _FILES = "path string, modificationTime timestamp, length bigint, content binary"
 METADATA, METRIC, METADATA_DELTA = 0, 1, 2
 
 # File name grammar of closed archives, UTC start time then uniquifier.
 ARCHIVE_GLOB = "metrics.*Z-*"
-_FILE_TIME = r"metrics\.(\d{4}-\d{2}-\d{2}T\d{2}-\d{2}-\d{2})Z-(\d{5})$"
+_FILE_TIME = r"metrics\.(\d{4}-\d{2}-\d{2}T\d{2}-\d{2}-\d{2})Z-(\d{5,})$"
 
 
 def archive_file_time(path="path"):
@@ -35,13 +34,14 @@ def list_archives(spark: SparkSession, path, since=None, until=None, interim=Fal
     """``binaryFile`` rows of closed archives (or all files with ``interim``).
 
     ``since`` / ``until`` compare the time in the file name. They are filters on
-    ``path`` alone and sit below everything that needs ``content``.
+    ``_metadata.file_name``, which Spark applies while it lists files: what they exclude
+    is never opened.
     """
     reader = (spark.readStream.schema(_FILES) if stream else spark.read).format("binaryFile").options(**options)
     if not interim:
         reader = reader.option("pathGlobFilter", ARCHIVE_GLOB)
     files = reader.load(path)
-    start, _ = archive_file_time("path")
+    start, _ = archive_file_time("_metadata.file_name")
     if since is not None:
         files = files.filter(start >= F.lit(since).cast("timestamp_ntz"))
     if until is not None:
@@ -78,32 +78,24 @@ def frame_archives(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInArrow(_frame_batches, ARCHIVE_DOCS)
 
 
-def read_archives(spark: SparkSession, path, mode="failfast", spread="auto", **options) -> DataFrame:
+def read_archives(spark: SparkSession, path, mode="failfast", spread: int | None = None, **options) -> DataFrame:
     """Documents of all archives under ``path``.
 
-    Archives are closed at a size cap, so a file is a small unit of work and no
-    shuffle is needed while there are more file splits than cores. With fewer splits, or
-    with a file above ``LARGE_FILE`` that would hold up its task, compressed documents
-    are spread by hash so that the chunks of one file decode in parallel. The check
-    lists files and reads no content.
+    Archives are closed at a size cap, so a file is a small unit of work and documents stay in
+    the task that read them. ``spread`` hashes compressed documents over that many tasks
+    instead, for inputs of few or long files. The plan depends on this argument alone, and
+    nothing is listed or run to make it.
     """
-    files = list_archives(spark, path, **options)
-    docs = apply_mode(frame_archives(files), mode)
-    if spread == "auto":
-        spread = files.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
-        if not spread:
-            spread = (files.agg(F.max("length")).first()[0] or 0) > LARGE_FILE
-    return spread_docs(docs) if spread else docs
+    docs = apply_mode(frame_archives(list_archives(spark, path, **options)), mode)
+    return docs if spread is None else spread_docs(docs, spread)
 
 
-def spread_docs(docs: DataFrame, n: int | None = None) -> DataFrame:
+def spread_docs(docs: DataFrame, n: int) -> DataFrame:
     """Hash documents over ``n`` tasks; a third of them in one file still spreads evenly.
 
     The count is explicit because a compressed chunk unfolds about a hundredfold:
     coalescing by shuffled bytes would put all decoding into a few tasks.
     """
-    if n is None:
-        n = 4 * docs.sparkSession.sparkContext.defaultParallelism
     return docs.repartition(n, "path", "doc_no")
 
 

@@ -30,32 +30,36 @@ def collect_chunks(rows: DataFrame) -> DataFrame:
 
     ``rows`` hold one sample each: ``sample_no`` from 0, ``id_ms``, and ``fields`` as
     :func:`diagarc.operators.flatten.flatten_struct` makes them. Chunks are bounded by
-    whoever numbered them. Only values move; the layout travels with the first sample.
+    whoever numbered them. Only values move; the layout travels with the first sample. Absent
+    values are left out of the document, and a chunk whose samples differ in layout is an
+    error: :func:`layout_id` and ``chunk_boundaries`` begin a new chunk there.
     """
-    layout = F.transform("fields", lambda f: F.struct(f["field"].alias("field"), f["bson_type"].alias("bson_type")))
+    present = F.filter("fields", lambda f: f["value"].isNotNull())
+    layout = F.transform(present, lambda f: F.struct(f["field"].alias("field"), f["bson_type"].alias("bson_type")))
     thin = rows.select(
-        "path", "doc_no", "id_ms", F.struct("sample_no", F.transform("fields", lambda f: f["value"]).alias("v")).alias("s"),
-        F.when(F.col("sample_no") == 0, layout).alias("layout"),
+        "path", "doc_no", "id_ms", F.struct("sample_no", F.transform(present, lambda f: f["value"]).alias("v")).alias("s"),
+        F.when(F.col("sample_no") == 0, layout).alias("layout"), layout_id("fields").alias("layout_id"),
     )
     grouped = by_chunk(thin).groupBy("path", "doc_no").agg(
         F.array_sort(F.collect_list("s")).alias("s"), F.first("layout", ignorenulls=True).alias("layout"),
-        F.min("id_ms").alias("id_ms"),
+        F.min("id_ms").alias("id_ms"), F.min("layout_id").alias("lo"), F.max("layout_id").alias("hi"),
     )
-    return grouped.select("path", "doc_no", "id_ms", "layout", F.transform("s", lambda s: s["v"]).alias("samples"))
+    message = F.concat_ws(" ", F.lit("samples of different layout in chunk"), "path", F.col("doc_no").cast("string"))
+    same = F.when(F.col("lo") == F.col("hi"), F.col("id_ms")).otherwise(F.raise_error(message).cast("bigint"))
+    return grouped.select("path", "doc_no", same.alias("id_ms"), "layout", F.transform("s", lambda s: s["v"]).alias("samples"))
 
 
-def collect_series(rows: DataFrame) -> DataFrame:
-    """One nested row per (path, doc_no) of series rows: ``key_no``, ``field``, ``bson_type``, ``values``."""
-    one = F.struct("key_no", "field", "bson_type", "values")
-    grouped = by_chunk(rows).groupBy("path", "doc_no").agg(F.array_sort(F.collect_list(one)).alias("k"), F.min("id_ms").alias("id_ms"))
-    layout = F.transform("k", lambda k: F.struct(k["field"].alias("field"), k["bson_type"].alias("bson_type")))
-    return grouped.select("path", "doc_no", "id_ms", layout.alias("layout"), F.transform("k", lambda k: k["values"]).alias("series"))
+def layout_id(fields) -> F.Column:
+    """Digest of the names and types of the fields that have a value."""
+    present = F.filter(fields, lambda f: f["value"].isNotNull())
+    return F.md5(F.to_json(F.transform(present, lambda f: F.struct(f["field"].alias("field"), f["bson_type"].alias("bson_type")))))
 
 
 def pack_chunks(chunks: DataFrame) -> DataFrame:
     """Metric documents of nested chunk rows; one chunk is packed at a time.
 
-    Values come as ``samples`` (one array per sample) or ``series`` (one per field).
+    Values come as ``samples`` (one array per sample) or ``series`` (one per field). A missing
+    value, or arrays whose lengths do not fit the layout, are an error.
     """
     by_series = "series" in chunks.columns
     values_column = "series" if by_series else "samples"
@@ -67,7 +71,11 @@ def pack_chunks(chunks: DataFrame) -> DataFrame:
             for i in range(b.num_rows):
                 layout = [(f["field"], f["bson_type"]) for f in layouts[i].as_py()]
                 arrays = nested[i].values
-                matrix = arrays.flatten().to_numpy(zero_copy_only=False).reshape(len(arrays), -1)
+                sizes, values = np.diff(arrays.offsets.to_numpy()), arrays.flatten()
+                fits = len(sizes) == len(layout) and len(set(sizes.tolist())) == 1 if by_series else (sizes == len(layout)).all()
+                if not fits or values.null_count or arrays.null_count:
+                    raise ValueError(f"chunk {b.column('path')[i]} {b.column('doc_no')[i]}: values do not fit the layout")
+                matrix = values.to_numpy(zero_copy_only=False).reshape(len(arrays), -1)
                 bodies.append(wire.pack_chunk(ids[i], layout, matrix.T if by_series else matrix))
             yield pa.RecordBatch.from_arrays(
                 [b.column("path"), b.column("doc_no"), pa.array([1] * b.num_rows, pa.int32()), b.column("id_ms"),
@@ -104,11 +112,12 @@ def write_archives(docs: DataFrame, directory: str, max_docs: int = 100) -> Data
 
     A source's documents rotate to a new file every ``max_docs``, so no task ever
     holds more than one file's share of a source. A file is written under a
-    temporary name and moved into place, so a retried task leaves one whole file.
-    Returns one receipt row per file; the write happens when it is evaluated.
+    temporary name and moved into place, so a retried task leaves one whole file. A file
+    of that name that holds other bytes is never replaced: the write fails. Returns one
+    receipt row per file; the write happens when it is evaluated. Local paths and the
+    schemes that ``pyarrow.fs.FileSystem.from_uri`` knows work; others raise.
     """
     target = qualified(docs.sparkSession, directory)
-    # Uniquifier: the low digits of the file number, so files of one second stay apart.
     docs = docs.withColumn("file_no", int_div(F.col("doc_no"), max_docs))
     ordered = docs.repartition("path", "file_no").sortWithinPartitions("path", "file_no", "doc_no")
     schema = "path string, file string, n_docs bigint, n_bytes bigint"
@@ -126,7 +135,19 @@ def write_archives(docs: DataFrame, directory: str, max_docs: int = 100) -> Data
 
         def close():
             out.close()
-            store.move(receipt["_tmp"], receipt["_final"])
+            tmp, final = receipt["_tmp"], receipt["_final"]
+            there = store.get_file_info(final)
+            if there.type == fs.FileType.NotFound:
+                store.move(tmp, final)
+            else:  # an earlier attempt of this task, or somebody else's file
+                same = there.size == receipt["n_bytes"]
+                if same:
+                    with store.open_input_stream(tmp) as a, store.open_input_stream(final) as b:
+                        while same and (part := a.read(1 << 20)):
+                            same = part == b.read(len(part))
+                store.delete_file(tmp)
+                if not same:
+                    raise FileExistsError(f"{final} exists with other contents")
             done = {k: v for k, v in receipt.items() if not k.startswith("_")}
             return pa.RecordBatch.from_pylist([done], schema=pa.schema(
                 [("path", pa.string()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_bytes", pa.int64())]))
@@ -138,7 +159,7 @@ def write_archives(docs: DataFrame, directory: str, max_docs: int = 100) -> Data
                     if out is not None:
                         yield close()
                     current = (path, file_no)
-                    name = f"metrics.{_file_stamp(id_ms)}Z-{file_no % 100000:05d}"
+                    name = f"metrics.{_file_stamp(id_ms)}Z-{file_no:05d}"
                     store.create_dir(f"{root}/{path}", recursive=True)
                     final, tmp = f"{root}/{path}/{name}", f"{root}/{path}/_tmp-{uuid.uuid4().hex}"
                     receipt = {"path": path, "file": final, "n_docs": 0, "n_bytes": 0, "_tmp": tmp, "_final": final}

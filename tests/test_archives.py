@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from diagarc.operators.decode import decode_chunks, samples
 from diagarc.operators.routing import route_docs
 from diagarc.sources import archives
-from diagarc.sources.writer import pack_metadata, write_archives
+from diagarc.plans.capture import capture
+from diagarc.sources.writer import collect_chunks, pack_chunks, pack_metadata, write_archives
 
 NAME = "metrics.2024-03-08T22-58-41Z-00000"
 
@@ -159,26 +160,59 @@ def test_packed_metadata_reads_back(spark):
         (0, None, [("start", '"1"'), ("v", '"é"')]), (2, 1, [("v", '"b"')])]
 
 
-def test_few_files_spread_and_many_do_not(spark, folder):
-    directory = folder(metric() * 40)
-    plan = archives.read_archives(spark, directory)._jdf.queryExecution().toString()
-    assert "RepartitionByExpression" in plan
-    plan = archives.read_archives(spark, directory, spread=False)._jdf.queryExecution().toString()
-    assert "RepartitionByExpression" not in plan
+def test_the_argument_alone_decides_the_plan(spark, folder):
+    for directory in (folder(metric() * 40), folder(metric() * 3000, "metrics.2024-03-08T22-58-50Z-00000")):
+        def plan(**options):
+            return archives.read_archives(spark, directory, **options)._jdf.queryExecution().toString()
 
+        assert "RepartitionByExpression" not in plan() and "RepartitionByExpression" in plan(spread=3)
+        assert archives.read_archives(spark, directory, spread=3).rdd.getNumPartitions() == 3
 
-def test_one_large_file_spreads(spark, folder, monkeypatch):
-    for i in range(40):
-        directory = folder(metric() * 3, f"metrics.2024-03-08T22-58-{i:02d}Z-00000")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
-    spark.conf.set("spark.sql.files.openCostInBytes", "100")
-    try:
-        def spread():
-            return "RepartitionByExpression" in archives.read_archives(spark, directory)._jdf.queryExecution().toString()
 
-        assert not spread()
-        monkeypatch.setattr(archives, "LARGE_FILE", 100)
-        assert spread()
+def test_excluded_files_are_not_opened(spark, folder):
+    folder(metric() * 40)
+    directory = folder(metric(), "metrics.2024-03-09T00-00-00Z-00002")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", str(len(metric()) + 1))
+    try:
+        assert len(rows(spark, directory, since="2024-03-09 00:00:00")) == 1
+        with pytest.raises(Exception, match="max length"):
+            rows(spark, directory)
     finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
+def test_other_files_are_not_replaced(spark, event_docs, tmp_path):
+    docs = event_docs.filter("path = '2024-01-02'")
+    write_archives(docs, str(tmp_path / "a"), max_docs=1).collect()
+    before = {p: p.read_bytes() for p in (tmp_path / "a").rglob("metrics.*")}
+    with pytest.raises(PySparkException, match="exists with other contents"):
+        write_archives(docs.withColumn("body", F.substring("body", 1, 4)), str(tmp_path / "a"), max_docs=1).collect()
+    assert before and {p: p.read_bytes() for p in (tmp_path / "a").rglob("metrics.*")} == before
+
+
+def test_a_new_shape_begins_a_new_chunk(spark):
+    rows = [(i, 2**53 + 1 + i, None if 3 <= i < 5 else i, [1] * (2 if i < 7 else 3)) for i in range(10)]
+    table = spark.createDataFrame(rows, "i bigint, big bigint, k bigint, a array<bigint>").withColumn("path", F.lit("p")).withColumn("id_ms", F.col("i"))
+    start = F.timestamp_millis("i").cast("timestamp_ntz").alias("start")
+    docs = capture(table, ["i"], F.struct(start, "big", "k", "a"))
+    got = samples(decode_chunks(docs)).select("doc_no", "sample_no", "name", "value").collect()
+    at = {0: (0, 0), 1: (0, 1), 2: (0, 2), 3: (1, 0), 4: (1, 1), 5: (2, 0), 6: (2, 1), 7: (3, 0), 8: (3, 1), 9: (3, 2)}
+    want = set()
+    for i, big, k, a in rows:
+        fields = [("start", i), ("big", big), *([("k", k)] if k is not None else []), *((f"a_{j}", v) for j, v in enumerate(a))]
+        want |= {(*at[i], name, value) for name, value in fields}
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+def test_values_that_do_not_fit_are_refused(spark):
+    fields = "path string, doc_no bigint, sample_no int, id_ms bigint, fields array<struct<field:array<string>,name:string,bson_type:string,value:bigint>>"
+    one = lambda *v: [(["x", str(i)], f"x_{i}", "int64", n) for i, n in enumerate(v)]
+    for second in (one(1, None), one(1), one(1, 2, 3)):
+        bad = spark.createDataFrame([("p", 0, 0, 1, one(1, 2)), ("p", 0, 1, 2, second)], fields)
+        with pytest.raises(PySparkException, match="different layout"):
+            pack_chunks(collect_chunks(bad)).collect()
+    nested = "path string, doc_no bigint, id_ms bigint, layout array<struct<field:array<string>,bson_type:string>>, samples array<array<bigint>>"
+    for values in ([[1, 2], [1, None]], [[1, 2], [1]], [[1, 2, 3], [4]]):
+        bad = spark.createDataFrame([("p", 0, 1, [(["x"], "int64"), (["y"], "int64")], values)], nested)
+        with pytest.raises(PySparkException, match="do not fit"):
+            pack_chunks(bad).collect()
