@@ -233,9 +233,16 @@ def change_points(keys: DataFrame) -> DataFrame:
     return rows.select("path", "doc_no", "key_no", "name", "n_deltas", "p.sample_no", "p.delta")
 
 
+def decoded(chunks: DataFrame) -> DataFrame:
+    """``chunks`` as they are, if decoded for values: a chunk that has neither axis nor error is an error here."""
+    ok = F.col("axis").isNotNull() | F.col("error").isNotNull()
+    message = F.lit("these chunks were decoded without values: use want='values'")
+    return chunks.filter(F.when(ok, True).otherwise(F.raise_error(message).cast("boolean")))
+
+
 def _keys_of(chunks: DataFrame) -> DataFrame:
     k = F.col("k")
-    return chunks.select("path", "doc_no", "n_deltas", "axis", F.explode("keys").alias("k")).select(
+    return decoded(chunks).select("path", "doc_no", "n_deltas", "axis", F.explode("keys").alias("k")).select(
         "path", "doc_no", "n_deltas", "axis", k["key_no"].alias("key_no"), k["name"].alias("name"),
         k["at"].alias("at"), k["val"].alias("val"),
     )

@@ -7,7 +7,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from diagarc.operators.decode import decoded
 from diagarc.operators.labels import NAME_LABEL, SOURCE_LABEL, drop_empty_series, label_array, remote_samples, with_labels
+from diagarc.plans.shared import run_dir
 from diagarc.sources import wire
 
 # Path and headers of the public remote-write protocol.
@@ -19,7 +21,8 @@ HEADERS = {
 }
 
 
-PAYLOADS = "path string, doc_no bigint, n_series bigint, payload binary"
+PAYLOADS = "path string, doc_no bigint, n_series bigint, n_plain_bytes bigint, payload binary"
+_FLUSH_BYTES = 8 << 20
 
 
 def write_requests(chunks: DataFrame, extras=()) -> DataFrame:
@@ -34,7 +37,7 @@ def write_requests(chunks: DataFrame, extras=()) -> DataFrame:
         values = F.flatten(F.zip_with(k["val"], runs, lambda v, n: F.array_repeat(v, n)))
         return F.struct(label_array(k["name"], extras).alias("labels"), remote_samples(values, F.col("axis")).alias("samples"))
 
-    rows = chunks.filter((F.size("keys") > 0) & (F.size("axis") > 0))
+    rows = decoded(chunks).filter((F.size("keys") > 0) & (F.size("axis") > 0))
     return rows.select("path", "doc_no", F.transform("keys", one).alias("timeseries"))
 
 
@@ -57,8 +60,8 @@ def chunk_payloads(chunks: DataFrame, extras=()) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            payload, counts = [], []
-            for axis, keys in zip(b.column("axis"), b.column("keys")):
+            first, requests = 0, []
+            for i, (axis, keys) in enumerate(zip(b.column("axis"), b.column("keys"))):
                 fields, times = keys.values, axis.values.to_numpy(zero_copy_only=False)
                 at, val = fields.field("at"), fields.field("val")
                 starts = at.flatten().to_numpy(zero_copy_only=False)
@@ -70,22 +73,32 @@ def chunk_payloads(chunks: DataFrame, extras=()) -> DataFrame:
                 blocks = _sample_blocks(dense, times)
                 tail = b"".join(_label(n, v) for n, v in rest)
                 names = fields.field("name").to_pylist()
-                parts = [_field(0x0A, _label(NAME_LABEL, n) + tail + block) for n, block in zip(names, blocks)]
-                payload.append(pa.compress(b"".join(parts), codec="snappy", asbytes=True))
-                counts.append(len(parts))
-            yield _payload_batch(b, counts, payload)
+                requests.append(_request([_label(NAME_LABEL, n) + tail for n in names], blocks))
+                if sum(len(r[2]) for r in requests) > _FLUSH_BYTES:
+                    yield _payload_batch(b, first, requests)
+                    first, requests = i + 1, []
+            yield _payload_batch(b, first, requests)
 
-    rows = chunks.filter((F.size("keys") > 0) & (F.size("axis") > 0))
+    rows = decoded(chunks).filter((F.size("keys") > 0) & (F.size("axis") > 0))
     return rows.select("path", "doc_no", "axis", "keys").mapInArrow(run, PAYLOADS)
 
 
-def _payload_batch(b, counts, payload):
+def _payload_batch(b, first, requests):
+    """The requests of the rows of ``b`` from number ``first`` on."""
+    counts, sizes, payload = zip(*requests) if requests else ((), (), ())
+    rows = b.slice(first, len(requests))
     return pa.RecordBatch.from_arrays(
-        [b.column("path"), b.column("doc_no"), pa.array(counts, pa.int64()), pa.array(payload, pa.binary())],
-        names=["path", "doc_no", "n_series", "payload"],
+        [rows.column("path"), rows.column("doc_no"), pa.array(counts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(payload, pa.binary())],
+        names=["path", "doc_no", "n_series", "n_plain_bytes", "payload"],
     )
 
 
+def _request(labels: list[bytes], blocks: list[bytes]) -> tuple[int, int, bytes]:
+    """(series, plain bytes, payload) of a request of series given as label and sample messages."""
+    plain = b"".join(_field(0x0A, head + block) for head, block in zip(labels, blocks))
+    return len(labels), len(plain), pa.compress(plain, codec="snappy", asbytes=True)
+
+
 def _label(name: str, value: str) -> bytes:
     return _field(0x0A, _field(0x0A, name.encode()) + _field(0x12, value.encode()))
 
@@ -118,43 +131,40 @@ def _field(tag: int, payload: bytes) -> bytes:
     return bytes((tag,)) + _varint(len(payload)) + payload
 
 
-def request_bytes(timeseries: pa.Array) -> bytes:
-    """Uncompressed protobuf of one request given its ``timeseries`` array."""
-    parts = []
-    labels, samples = timeseries.field("labels"), timeseries.field("samples")
-    for i in range(len(timeseries)):
-        points = samples[i].values
-        values = points.field("value").to_numpy(zero_copy_only=False)
-        times = points.field("timestamp").to_numpy(zero_copy_only=False)
-        head = b"".join(_label(x["name"], x["value"]) for x in labels[i].as_py())
-        parts.append(_field(0x0A, head + _sample_blocks(values[None, :], times)[0]))
-    return b"".join(parts)
-
-
 def encode_requests(requests: DataFrame) -> DataFrame:
     """Payload bytes (protobuf, raw snappy) of each row of :func:`write_requests`."""
 
     def run(batches):
         for b in batches:
-            series = [row.values for row in b.column("timeseries")]
-            payload = [pa.compress(request_bytes(s), codec="snappy", asbytes=True) for s in series]
-            yield _payload_batch(b, [len(s) for s in series], payload)
+            first, out = 0, []
+            for i, request in enumerate(b.column("timeseries")):
+                heads, blocks = [], []
+                for labels, samples in zip(request.values.field("labels"), request.values.field("samples")):
+                    points = samples.values
+                    values, times = (points.field(c).to_numpy(zero_copy_only=False) for c in ("value", "timestamp"))
+                    heads.append(b"".join(_label(x["name"], x["value"]) for x in labels.as_py()))
+                    blocks += _sample_blocks(values[None, :], times)
+                out.append(_request(heads, blocks))
+                if sum(len(r[2]) for r in out) > _FLUSH_BYTES:
+                    yield _payload_batch(b, first, out)
+                    first, out = i + 1, []
+            yield _payload_batch(b, first, out)
 
     return requests.select("path", "doc_no", "timeseries").mapInArrow(run, PAYLOADS)
 
 
 def remote_write(payloads: DataFrame, base_url: str, send) -> DataFrame:
-    """K2: deliver each payload to ``{base_url}/api/v1/write``.
+    """K2: deliver each payload to ``{base_url}/api/v1/write``, now, and return the receipts.
 
     ``payloads`` come from :func:`chunk_payloads`, or from :func:`encode_requests`.
 
     ``send(url, headers, payload)`` returns ``(status, text)`` and runs in executor
-    tasks. A status other than 2xx fails the task; Spark retries it, so delivery is at
-    least once, and a retried request has the same bytes. Returns receipts per chunk;
-    delivery happens when they are evaluated (``count``, or inside ``foreachBatch``).
+    tasks, once for each payload. A status other than 2xx fails the task; Spark retries it, so
+    delivery is at least once after a failure, and a retried request has the same bytes. The
+    receipts are a table in the shared folder: reading them, in part or again, sends nothing.
     """
     url = base_url.rstrip("/") + WRITE_PATH
-    schema = "path string, doc_no bigint, n_series bigint, n_bytes bigint, status int"
+    schema = "path string, doc_no bigint, n_series bigint, n_plain_bytes bigint, n_bytes bigint, status int"
 
     def run(batches):
         for b in batches:
@@ -166,9 +176,12 @@ def remote_write(payloads: DataFrame, base_url: str, send) -> DataFrame:
                 status.append(code)
             sizes = [len(p.as_py()) for p in b.column("payload")]
             yield pa.RecordBatch.from_arrays(
-                [b.column("path"), b.column("doc_no"), b.column("n_series"), pa.array(sizes, pa.int64()),
+                [b.column("path"), b.column("doc_no"), b.column("n_series"), b.column("n_plain_bytes"), pa.array(sizes, pa.int64()),
                  pa.array(status, pa.int32())],
-                names=["path", "doc_no", "n_series", "n_bytes", "status"],
+                names=["path", "doc_no", "n_series", "n_plain_bytes", "n_bytes", "status"],
             )
 
-    return payloads.mapInArrow(run, schema)
+    spark = payloads.sparkSession
+    receipts = run_dir(spark, "receipts")
+    payloads.mapInArrow(run, schema).write.parquet(receipts)
+    return spark.read.schema(schema).parquet(receipts)

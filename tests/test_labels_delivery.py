@@ -137,6 +137,26 @@ def test_send_gets_url_headers_and_payload(spark, event_docs, tmp_path):
     assert sum(len(parse(s[2])) for s in sent) == sum(r.n_series for r in receipts)
 
 
+def test_receipts_are_read_without_sending(spark, event_docs, tmp_path):
+    out = str(tmp_path)
+
+    def send(url, headers, payload):
+        import uuid
+
+        open(f"{out}/{uuid.uuid4().hex}", "wb").close()
+        return 200, ""
+
+    receipts = delivery.remote_write(delivery.chunk_payloads(decode_chunks(event_docs)), "http://c", send)
+    assert len(receipts.limit(2).collect()) == 2 and receipts.count() == receipts.count() == event_docs.count()
+    assert len(list(tmp_path.iterdir())) == event_docs.count()
+
+
+def test_payloads_are_handed_on_by_size(spark, event_docs, monkeypatch):
+    want = sorted(map(tuple, delivery.chunk_payloads(decode_chunks(event_docs)).collect()))
+    rows = decode_chunks(event_docs).coalesce(1)
+    assert sorted(map(tuple, delivery.chunk_payloads(rows).collect())) == want
+
+
 def test_refusal_fails_the_job_with_status_and_text(spark, event_docs):
     requests = delivery.chunk_payloads(decode_chunks(event_docs))
     with pytest.raises(PySparkException, match="503 - too busy"):
