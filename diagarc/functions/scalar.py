@@ -62,11 +62,6 @@ def _join_halves(high: Column, low: Column) -> Column:
     return F.shiftleft(high + F.shiftright(low, 32), 32).bitwiseOR(low.bitwiseAND(F.lit(_LOW)))
 
 
-def wrap_add(a: Column, b: Column) -> Column:
-    """64-bit two's-complement a + b that never overflows."""
-    return _join_halves(_high(a) + _high(b), _low(a) + _low(b))
-
-
 def wrap_sub(a: Column, b: Column) -> Column:
     """64-bit two's-complement a - b that never overflows."""
     return _join_halves(_high(a) - _high(b), _low(a) - _low(b))
@@ -80,15 +75,6 @@ def wrap_sum(c: Column, over=None) -> Column:
     return _join_halves(high, low)
 
 
-def half_sums(c: Column) -> tuple[Column, Column]:
-    """The two terms whose plain sums give :func:`wrap_sum`."""
-    return _high(c), _low(c)
-
-
-def join_half_sums(high: Column, low: Column) -> Column:
-    return _join_halves(high, low)
-
-
 def varint_size(c: Column) -> Column:
     """Bytes of the base-128 form; negative values are huge unsigned ones."""
     size = F.when(c < 0, F.lit(10))

@@ -18,7 +18,7 @@ from diagarc.operators.decode import chunk_keys, chunk_tokens, change_points, de
 from diagarc.operators.delivery import chunk_payloads, remote_write, requests_of, write_requests
 from diagarc.operators.flatten import explode_fields, flatten_struct, split_timestamp
 from diagarc.operators.routing import route_docs
-from diagarc.plans.capture import capture_events, capture_user_activity, event_document
+from diagarc.plans.capture import capture, capture_events, capture_user_activity, event_document, event_rows
 from diagarc.plans.shared import run_dir
 from diagarc.sources import archives
 from diagarc.sources.writer import pack_metadata, write_archives
@@ -62,7 +62,7 @@ def named_samples(spark, d):
 
 def wide_samples(spark, d):
     docs = capture_user_activity(_table(spark, d, "events"))
-    rows = samples(decode_chunks(docs), with_ts=False).filter("name <> 'end'")
+    rows = samples(decode_chunks(docs), with_ts=False)
     return rows.groupBy("path", "doc_no", "name").agg(
         F.count(F.lit(1)).alias("n"), F.sum("value").alias("sum_value"), F.max("value").alias("max_value"),
         F.min("ts_ms").alias("first_ms"), F.max("ts_ms").alias("last_ms"),
@@ -71,13 +71,22 @@ def wide_samples(spark, d):
 
 def sparse_summary(spark, d):
     """Means and extremes from change points alone, without dense rows."""
-    rows = value_changes(_chunks(spark, d)).filter("name not in ('start', 'end')").groupBy("path", "doc_no", "name")
+    rows = value_changes(_chunks(spark, d)).groupBy("path", "doc_no", "name")
     return rows.agg(
         F.sum(F.col("value") * F.col("n_samples")).alias("sum_value"), F.sum("n_samples").cast("bigint").alias("n"),
         F.min("value").alias("min_value"), F.max("value").alias("max_value"), F.count(F.lit(1)).alias("n_runs"),
     )
 
 
+def schema_change_samples(spark, d):
+    """Documents without ``k`` for errors: a chunk ends wherever the shape changes."""
+    rows = event_rows(_table(spark, d, "events"))
+    known = F.when(F.col("event_type") != "error", F.from_json("props", "k bigint")["k"])
+    event = F.struct("user_id", F.struct(known.alias("k")).alias("props"))
+    docs = capture(rows, ["id_ms", "event_id"], F.struct(F.col("ts").alias("start"), event.alias("event"), F.col("ts").alias("end")))
+    return samples(decode_chunks(docs), with_ts=False)
+
+
 def varint_tokens(spark, d):
     rows = chunk_tokens(_docs(spark, d)).select("path", "doc_no", F.posexplode("tokens").alias("token_no", "token"))
     return rows.withColumn("token_no", F.col("token_no").cast("bigint"))
@@ -289,8 +298,8 @@ def route_docs_by_kind(spark, d):
     return routed.groupBy("kind").agg(F.count(F.lit(1)).alias("n_docs"), F.countDistinct("path").alias("n_paths"))
 
 
-def decode_error_classes(spark, d):
-    """Damage documents by their number and count what the decoder says about each."""
+def _damaged(spark, d):
+    """Documents with one of three kinds of damage, by their number."""
     body, size = F.col("body"), F.length("body")
     damage = (
         F.when(F.col("doc_no") % 4 == 1, F.substring(body, F.lit(1), size - 5))
@@ -298,8 +307,22 @@ def decode_error_classes(spark, d):
         .when(F.col("doc_no") % 4 == 3, F.overlay(body, F.lit("dada").cast("binary"), 29))
         .otherwise(body)
     )
-    docs = _docs(spark, d).withColumn("doc_no", int_div(F.col("id_ms"), 60000)).withColumn("body", damage)
-    return decode_errors(decode_chunks(docs, mode="permissive"))
+    return _docs(spark, d).withColumn("doc_no", int_div(F.col("id_ms"), 60000)).withColumn("body", damage)
+
+
+def decode_error_classes(spark, d):
+    """What the decoder says about each damaged document, counted."""
+    return decode_errors(decode_chunks(_damaged(spark, d), mode="permissive"))
+
+
+def damaged_import(spark, d):
+    """A permissive import of damaged documents: what is stored, what is counted and what is listed."""
+    table = run_dir(spark, "damaged")
+    totals = store.import_archives(_damaged(spark, d), table, mode="permissive")
+    counted = spark.createDataFrame([("n_chunks", totals["n_chunks"]), ("n_errors", totals["n_errors"])], "kind string, n bigint")
+    stored = store.read_table(spark, table, "series").groupBy(F.concat(F.lit("stored "), "name").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    listed = spark.read.schema("error_class string").parquet(table + "/_errors").groupBy(F.col("error_class").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.unionByName(stored).unionByName(listed)
 
 
 def stream_archive_samples(spark, d):
@@ -354,7 +377,8 @@ def remote_write_receipts(spark, d):
     def send(url, headers, payload):
         return (204, "") if payload and url.endswith("/api/v1/write") else (500, "empty")
 
-    return remote_write(chunk_payloads(_chunks(spark, d)), "http://collector", send).select("path", "doc_no", "n_series", "status")
+    return remote_write(chunk_payloads(_chunks(spark, d)), "http://collector", send).select(
+        "path", "doc_no", "n_series", "n_plain_bytes", "status")
 
 
 def write_samples(spark, d):
@@ -397,8 +421,8 @@ def delete_labelled_series(spark, d):
 
 def reimport(spark, d):
     table = run_dir(spark, "reimported")
-    store.reimport(spark, _docs(spark, d), _labelled_table(spark, d), table, clean=True, names=["event_value", "event_user_id"])
-    rows = spark.read.parquet(table)
+    store.reimport(spark, _docs(spark, d), _labelled_table(spark, d), table, clean=True, layout="samples")
+    rows = store.read_table(spark, table)
     return rows.groupBy("source", "name").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("sum_value"))
 
 
@@ -493,12 +517,12 @@ def metadata_history(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        archive_samples, archive_daily_avg, named_samples, wide_samples, sparse_summary, varint_tokens,
+        archive_samples, archive_daily_avg, named_samples, wide_samples, sparse_summary, schema_change_samples, varint_tokens,
         decode_chunk_heads, decoded_keys, expand_zero_runs, stream_complete, delta_decode, densify, time_axis,
         series_rows, series_of_samples, samples_of_series, flatten_struct_keys, flatten_array_keys, clean_key_names,
         to_i64, split_timestamps, delta_encode, zero_run_encode, varint_size, chunk_boundaries, read_archives,
         file_samples, archive_file_time, first_metric_docs, metric_docs, doc_outline, doc_types, route_docs_by_kind,
-        decode_error_classes, stream_archive_samples, parse_labels, with_labels, write_request_rows,
+        decode_error_classes, damaged_import, stream_archive_samples, parse_labels, with_labels, write_request_rows,
         requests_of_series, remote_write_receipts, write_samples, write_series, delete_series, delete_labelled_series, reimport,
         import_summary, check_totals, metric_examples, metric_names, import_progress, type_distribution, axis_audit,
         shape_audit, verify_stored, metadata_delta, metadata_as_of, metadata_as_of_archive, metadata_history,

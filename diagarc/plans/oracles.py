@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 from diagarc.functions.scalar import I64_MAX, I64_MIN, REPLACED, SEPARATOR, WHITE_SPACE
+from diagarc.operators.labels import SOURCE_LABEL
 from diagarc.plans.catalog import AS_OF_MS, DOCS_PER_FILE, SAMPLES_PER_DOC
 
+_SOURCE = SOURCE_LABEL[1]
+# Bytes of a base-128 number.
+_VARINT = "(case " + " ".join(f"when %(n)s < {1 << 7 * i} then {i}" for i in range(1, 9)) + " else 9 end)"
+
 # Fields of an event document: (name, BSON type, SQL value).
 _FIELDS = [
     ("start", "datetime", "ms"), ("event_user_id", "int64", "user_id"), ("event_value", "double", "v"),
@@ -64,8 +69,8 @@ _WIDE = """
     w as (
       select path, doc_no, 'u' || user_id::varchar || '_n' as name, slot, n as value from tot
       union all select path, doc_no, 'u' || user_id::varchar || '_total', slot, total from tot
-      union all select p.path, p.doc_no, 'start', r.slot, (p.doc_no * 300 + r.slot) * 3600000
-        from (select distinct path, doc_no from u) p cross join range(300) r(slot))
+      union all select p.path, p.doc_no, e.name, r.slot, (p.doc_no * 300 + r.slot) * 3600000
+        from (select distinct path, doc_no from u) p cross join range(300) r(slot) cross join (values ('start'), ('end')) e(name))
     """
 _CLEAN = f"translate(trim(raw, '{WHITE_SPACE}'), '{REPLACED}', '{SEPARATOR * len(REPLACED)}')"
 _LABEL = f"trim(%s, '{WHITE_SPACE}')"
@@ -91,11 +96,11 @@ _AS_OF = f"""{_USER},
       union all select user_id, 'half', half from l
       union all select user_id, 'tag', 'x' from l where tag)
     """
-_REQUESTS = f"""{_E} select path, doc_no, key_no, '__name__=' || name || ',source=mongodb_ftdc,host=h1' as labels,
+_REQUESTS = f"""{_E} select path, doc_no, key_no, '__name__=' || name || ',source={_SOURCE},host=h1' as labels,
     count(*)::bigint as n, sum(value)::double as sum_value, min(ts_ms) as first_ms, max(ts_ms) as last_ms
     from s group by path, doc_no, key_no, name"""
 _DAY_FILE = f"path as day, {_FILE} as file_no, doc_no % {DOCS_PER_FILE} as doc_no"
-_LABELLED = "case when event_type = 'error' then 'other' else 'mongodb_ftdc' end"
+_LABELLED = f"case when event_type = 'error' then 'other' else '{_SOURCE}' end"
 
 ORACLES = {
     "archive_samples": _SAMPLES,
@@ -107,13 +112,25 @@ ORACLES = {
         max((doc_no * 300 + slot) * 3600000)::bigint as last_ms from w group by path, doc_no, name""",
     "sparse_summary": f"""{_E} select path, doc_no, name, sum(value)::bigint as sum_value, count(*)::bigint as n,
         min(value) as min_value, max(value) as max_value, count(*) filter (where delta is null or delta <> 0)::bigint as n_runs
-        from g where name not in ('start', 'end') group by path, doc_no, name""",
+        from g group by path, doc_no, name""",
+    "schema_change_samples": f"""{_E},
+        x as (select *, event_type = 'error' as bare from e),
+        y as (select *, bare is distinct from lag(bare) over (partition by path order by ms, event_id) as new from x),
+        z as (select *, sum(new::int) over (partition by path order by ms, event_id) as seg from y),
+        n as (select *, ((row_number() over (partition by path, seg order by ms, event_id) - 1) % 300)::int as no from z),
+        m as (select *, sum((no = 0)::int) over (partition by path order by ms, event_id) - 1 as doc from n)
+        select path, doc::bigint as doc_no, (case when name = 'end' and bare then 2 else i end)::int as key_no, name, no as sample_no,
+          ms as ts_ms, (case i when 1 then user_id when 2 then k else ms end)::bigint as value
+        from m cross join (values (0, 'start'), (1, 'event_user_id'), (2, 'event_props_k'), (3, 'end')) f(i, name)
+        where not (bare and i = 2)""",
     "varint_tokens": f"{_TOKENS} select * from tokens",
     "decode_chunk_heads": f"""{_E} select path, doc_no, id_ms, 6::bigint as n_keys, n - 1 as n_deltas,
         6::bigint as n_keys_found, true as sizes_match from c""",
-    "decoded_keys": f"""{_E} select b.path, b.doc_no, b.key_no, b.name, b.bson_type, b.value as base, g.sample_no, g.delta
-        from s b left join g on g.path = b.path and g.doc_no = b.doc_no and g.key_no = b.key_no and g.delta <> 0
-        where b.sample_no = 0""",
+    "decoded_keys": f"""{_E},
+        bases as materialized (select path, doc_no, key_no, name, bson_type, value from s where sample_no = 0),
+        points as materialized (select path, doc_no, key_no, sample_no, delta from g where delta <> 0)
+        select b.path, b.doc_no, b.key_no, b.name, b.bson_type, b.value as base, p.sample_no, p.delta
+        from bases b left join points p on p.path = b.path and p.doc_no = b.doc_no and p.key_no = b.key_no""",
     "expand_zero_runs": f"{_E} select path, doc_no, key_no, sample_no, delta from g where delta <> 0",
     "stream_complete": f"{_E} select path, count(*)::bigint as n_chunks, 0::bigint as n_errors from c group by path",
     "delta_decode": f"""{_E} select path, doc_no, key_no, name, sample_no, value from g where delta is null or delta <> 0""",
@@ -174,6 +191,12 @@ ORACLES = {
           count(distinct user_id)::bigint from o group by doc_type)""",
     "decode_error_classes": f"""{_E} select case (id_ms // 60000) % 4 when 1 then 'bad_bson' when 2 then 'not_metric'
         else 'no_data' end as error_class, count(*)::bigint as n_rows from c where (id_ms // 60000) % 4 <> 0 group by 1""",
+    "damaged_import": f"""{_E}, x as (select *, case (id_ms // 60000) % 4 when 1 then 'bad_bson' when 2 then 'not_metric'
+          when 3 then 'no_data' end as class from c)
+        select 'n_chunks' as kind, count(*)::bigint as n from x where class is null
+        union all select 'n_errors', count(*)::bigint from x where class is not null
+        union all select 'stored ' || f.name, count(*)::bigint from x cross join f where class is null group by f.name
+        union all select class, count(*)::bigint from x where class is not null group by class""",
     "stream_archive_samples": f"{_F} select {_DAY_FILE}, key_no, name, sample_no, ts_ms, value, path as date from s",
     "parse_labels": f"""with raw as (
         select unnest([' ' || event_type || ' =' || chr(9) || props, event_type || '=a=b=', props, ' = ' || props, event_type || '='])
@@ -186,13 +209,17 @@ ORACLES = {
         select label_name, label_value, reason, count(*)::bigint as n from v group by all""",
     "with_labels": f"""{_E}, k as (select path, doc_no, key_no, name from s where sample_no = 0)
         select path, doc_no, key_no, 0 as label_no, '__name__' as label, name as value from k
-        union all select path, doc_no, key_no, 1, 'source', 'mongodb_ftdc' from k
+        union all select path, doc_no, key_no, 1, 'source', '{_SOURCE}' from k
         union all select path, doc_no, key_no, 2, 'host', 'a=1' from k
         union all select path, doc_no, key_no, 3, 'host', 'b' from k""",
     "write_request_rows": _REQUESTS,
     "requests_of_series": _REQUESTS,
-    "remote_write_receipts": f"{_E} select path, doc_no, 6::bigint as n_series, 204 as status from c",
-    "write_samples": f"""{_E} select 'mongodb_ftdc' as source, path as date, name, count(*)::bigint as n,
+    "remote_write_receipts": f"""{_E},
+        x as (select path, doc_no, name, 2 + (4 + length('__name__') + length(name)) + 2 + (4 + length('source') + length('{_SOURCE}'))
+            + sum(12 + {_VARINT % {"n": "ts_ms"}}) as size from s group by path, doc_no, name)
+        select path, doc_no, count(*)::bigint as n_series, sum(1 + {_VARINT % {"n": "size"}} + size)::bigint as n_plain_bytes,
+          204 as status from x group by path, doc_no""",
+    "write_samples": f"""{_E} select '{_SOURCE}' as source, path as date, name, count(*)::bigint as n,
         sum(value)::bigint as sum_value from s group by path, name""",
     "write_series": _SAMPLES,
     "delete_series": f"""select {_LABELLED} as source, event_type as name, count(*)::bigint as n, sum(user_id)::bigint as sum_value
@@ -201,15 +228,15 @@ ORACLES = {
         sum(user_id)::bigint as sum_value from events where event_type <> 'click' group by 1, 2""",
     "reimport": f"""select 'other' as source, 'error' as name, count(*)::bigint as n, sum(user_id)::bigint as sum_value
         from events where event_type = 'error' union all
-        select * from ({_E} select 'mongodb_ftdc', name, count(*)::bigint, sum(value)::bigint from s
-        where name in ('event_value', 'event_user_id') group by name)""",
+        select * from ({_E} select '{_SOURCE}', name, count(*)::bigint, sum(value)::bigint from s
+        group by name)""",
     "import_summary": f"{_E} select count(*)::bigint as n_chunks, (6 * count(*))::bigint as n_series from c",
     "check_totals": f"""{_E} select count(distinct (path, doc_no))::bigint as n_chunks, count(*)::bigint as n_series,
         count(distinct name)::bigint as n_names from s where sample_no = 0""",
     "metric_examples": f"""{_E}, l as (select path, doc_no, n from c order by path desc, doc_no desc limit 1)
         select s.name, l.n as n_samples, s.value as first_value from s join l on s.path = l.path and s.doc_no = l.doc_no
         where s.sample_no = 0 order by s.name limit 10""",
-    "metric_names": f"""{_WIDE}, names as (select distinct name from w union select 'end')
+    "metric_names": f"""{_WIDE}, names as (select distinct name from w)
         select row_number() over (order by name) as name_no, name from names""",
     "import_progress": f"""{_E} select path, doc_no, count(*) over w as n_chunks, (6 * count(*) over w)::bigint as n_series,
         n as n_samples from c window w as (partition by path order by doc_no)""",

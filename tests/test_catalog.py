@@ -4,6 +4,8 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_points
+from diagarc.plans.catalog import QUERIES
+from diagarc.plans.oracles import ORACLES
 
 DIRECTORY = "/root/testdata/sf0.001"
 
@@ -14,12 +16,13 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    difference = compare.compare(entry_points.queries()[name](spark, DIRECTORY), con, entry_points.oracle_sql()[name])
+    difference = compare.compare(entry_points.queries()[name](spark, DIRECTORY), con, ORACLES[name])
     assert difference is None, difference
 
 

@@ -91,8 +91,8 @@ def test_wrapping_arithmetic(spark):
     def wrap(n):
         return (n + 2**63) % 2**64 - 2**63
 
-    got = df.select("a", "b", scalar.wrap_add(F.col("a"), F.col("b")).alias("s"), scalar.wrap_sub(F.col("a"), F.col("b")).alias("d")).collect()
-    assert all(r.s == wrap(r.a + r.b) and r.d == wrap(r.a - r.b) for r in got)
+    got = df.select("a", "b", scalar.wrap_sub(F.col("a"), F.col("b")).alias("d")).collect()
+    assert all(r.d == wrap(r.a - r.b) for r in got)
     assert df.agg(scalar.wrap_sum(F.col("a"))).first()[0] == wrap(sum(a for a, _ in pairs))
 
 
