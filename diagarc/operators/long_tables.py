@@ -130,15 +130,13 @@ def densify(values: DataFrame) -> DataFrame:
 def time_axis(samples: DataFrame) -> DataFrame:
     """Give every sample of a chunk the value of its ``start`` series as ``ts_ms``.
 
-    The axis is one array per chunk. With repeated ``start`` keys the last one wins;
-    a chunk without one has no row in the result of the inner join.
+    With repeated ``start`` keys the last one wins; samples of a chunk without one are left out.
+    A window over the keys of one sample: it keeps the partitioning of the chunk windows before
+    it, and its input is computed once.
     """
-    starts = samples.filter(F.col("name") == AXIS_NAME).groupBy(*CHUNK, "key_no").agg(
-        F.array_sort(F.collect_list(F.struct("sample_no", "value"))).alias("a")
-    )
-    axis = starts.groupBy(*CHUNK).agg(F.transform(F.max_by("a", "key_no"), lambda p: p["value"]).alias("axis"))
-    joined = samples.join(axis, CHUNK)
-    return joined.withColumn("ts_ms", F.get("axis", F.col("sample_no"))).drop("axis")
+    start = F.when(F.col("name") == AXIS_NAME, F.struct("key_no", "value"))
+    axis = F.max(start).over(W.partitionBy(*CHUNK, "sample_no"))
+    return samples.withColumn("ts_ms", axis["value"]).filter("ts_ms is not null")
 
 
 def series_of(samples: DataFrame) -> DataFrame:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from diagarc.plans.ordered import previous_row, refreeze, running, slice_rows
+from diagarc.plans.ordered import SLICE, previous_row, running, slice_rows
 
 ALWAYS_KEPT = ("start", "end")  # fixed values: fields every delta repeats
 
@@ -32,18 +33,35 @@ def metadata_delta(docs: DataFrame, keys: list[str], order: list[str]) -> DataFr
     )
     a = a.withColumn("_reset", reset).withColumn("_delta", F.when(~reset, kept))
     a = a.withColumn("_hit", F.when(~F.col("_reset") & (F.size(differs) > 0), 1).otherwise(0).cast("bigint"))
-    # Deltas so far, less those before the latest reset. The count never falls, so
-    # the latest reset's count is the largest one seen at a reset.
     # Documents without changes have given what they can: they were someone's
     # predecessor. They leave before the counting.
     a = a.filter(F.col("_reset") | (F.col("_hit") == 1)).drop("_previous")
-    b = running(refreeze(a), keys, order, {"_hits": ("sum", "_hit")})
-    b = b.withColumn("_at_reset", F.when(F.col("_reset"), F.col("_hits")))
-    c = running(refreeze(b), keys, order, {"_base": ("max", "_at_reset")})
+    # Deltas so far in the slice, less those before the latest reset. The count never falls, so
+    # the latest reset's count is the largest one seen at a reset.
+    upto = W.partitionBy(SLICE, *keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    a = a.withColumn("_hits", F.sum("_hit").over(upto))
+    a = a.withColumn("_base", F.max(F.when(F.col("_reset"), F.col("_hits"))).over(upto))
+    # Until its first reset a slice goes on counting where the slices before it ended.
+    ends = a.groupBy(SLICE, *keys).agg(F.max("_hits").alias("hits"), F.max("_base").alias("base"))
+    one = F.struct(F.col(SLICE).alias("slice"), "hits", "base")
+    groups = ends.groupBy(*keys).agg(F.array_sort(F.collect_list(one)).alias("all")).filter(F.size("all") > 1)
+    zero = F.lit(0).cast("bigint")
+
+    def follow(counts, e):
+        return F.concat(counts, F.array(F.coalesce(e["hits"] - e["base"], F.element_at(counts, -1) + e["hits"])))
+
+    counts = F.slice(F.aggregate("all", F.array(zero), follow), 1, F.size("all"))
+    carried = groups.select(*[F.col(k).alias(f"_c_{k}") for k in keys], F.explode(F.arrays_zip(
+        F.transform("all", lambda e: e["slice"]).alias("slice"), counts.alias("count"))).alias("c"))
+    carried = carried.select("*", F.col("c.slice").alias("_cs"), F.col("c.count").alias("_count")).drop("c")
+    on = a[SLICE] == carried["_cs"]
+    for k in keys:
+        on = on & a[k].eqNullSafe(carried[f"_c_{k}"])
+    c = a.join(carried, on, "left")
     return c.select(
         *[x for x in docs.columns if x != "fields"],
         F.when(F.col("_reset"), 0).otherwise(2).alias("doc_type"),
-        (F.col("_hits") - F.col("_base")).alias("index"),
+        (F.col("_hits") - F.coalesce("_base", -F.coalesce("_count", zero))).alias("index"),
         F.when(F.col("_reset"), F.col("fields")).otherwise(F.col("_delta")).alias("fields"),
     )
 
