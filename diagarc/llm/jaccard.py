@@ -239,5 +239,19 @@ def alike_groups(docs: DataFrame, width: int = SHINGLE, least: int = LEAST) -> D
     return own.unionByName(empty)
 
 
+SQL = f"""
+with recursive t as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') as w from documents),
+s as (select distinct doc_id, array_to_string(w[i : i + {SHINGLE - 1}], ' ') as shingle from (
+  select doc_id, w, unnest(range(1, greatest(len(w) - {SHINGLE - 2}, 2))) as i from t where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+c as (select a.doc_id as a, b.doc_id as b, count(*) as o from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id group by 1, 2),
+l as (select c.a, c.b from c join n x on x.doc_id = c.a join n y on y.doc_id = c.b where 100 * o >= {LEAST} * (x.n + y.n - o)),
+e as (select a, b from l union all select b, a from l),
+r as (select a as doc_id, a as seen from e union select r.doc_id, e.b from r join e on e.a = r.seen)
+select t.doc_id, coalesce(any_value(n.n), 0)::bigint as n_shingles, least(t.doc_id, min(r.seen)) as component_id
+from t left join n on n.doc_id = t.doc_id left join r on r.doc_id = t.doc_id group by t.doc_id"""
+
+
 def op9_jaccard_join(spark, directory):
     return alike_groups(table(spark, directory, "documents")).drop("component", "text_hash")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from diagarc.llm import topk
+from diagarc.llm import jaccard, repeats, topk
 from diagarc.llm.html_main import op1_main_text
 from diagarc.llm.jaccard import op9_jaccard_join
 from diagarc.llm.langid import op4_language_id
@@ -16,4 +16,4 @@ from diagarc.llm.topk import op7_pivot_top_k
 
 QUERIES = {f.__name__: f for f in (op1_main_text, op2_mix_sources, op3_secrets, op4_language_id, op5_fingerprints, op6_pack_best_fit, op7_pivot_top_k, op8_remove_repeats, op9_jaccard_join, op10_token_counts)}
 
-ORACLES = {"op7_pivot_top_k": topk.SQL}
+ORACLES = {"op7_pivot_top_k": topk.SQL, "op8_remove_repeats": repeats.SQL, "op9_jaccard_join": jaccard.SQL}

@@ -224,6 +224,23 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR) -
     return map_batches(joined, run, "doc_id bigint, n_bytes bigint, removed array<struct<begin:bigint,end:bigint>>, kept binary")
 
 
+SQL = f"""
+with t as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+w as (select doc_id, i, md5(substr(h, 2 * i + 1, {2 * WIDTH})) as k from (
+  select doc_id, h, unnest(range(length(h) // 2 - {WIDTH - 1})) as i from t where length(h) >= {2 * WIDTH})),
+r as (select doc_id, i from (select doc_id, i, count(*) over (partition by k) as c from w) where c > 1),
+m as (select *, sum(new) over (partition by doc_id order by i) as g from (
+  select *, (i - coalesce(lag(i) over (partition by doc_id order by i), -{WIDTH} - 1) > {WIDTH})::int as new from r)),
+s as (select doc_id, min(i) as a, max(i) + {WIDTH} as b from m group by doc_id, g),
+p as (select doc_id, coalesce(lag(b) over (partition by doc_id order by a), 0) as x, a as y from s
+  union all select t.doc_id, coalesce(max(b), 0), length(any_value(h)) // 2 from t left join s on s.doc_id = t.doc_id group by t.doc_id),
+k as (select p.doc_id, string_agg(substr(h, 2 * x + 1, 2 * (y - x)), '' order by x) as kept from p join t on t.doc_id = p.doc_id group by p.doc_id),
+n as (select doc_id, count(*) as spans from s group by doc_id)
+select t.doc_id, (length(h) // 2)::bigint as n_bytes, ((length(h) - length(kept)) // 2)::bigint as n_removed,
+  coalesce(spans, 0)::bigint as n_spans, sha256(unhex(kept)) as kept_sha256
+from t join k on k.doc_id = t.doc_id left join n on n.doc_id = t.doc_id"""
+
+
 def op8_remove_repeats(spark, directory):
     kept = without_repeats(table(spark, directory, "documents"))
     return kept.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
