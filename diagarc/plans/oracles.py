@@ -125,14 +125,15 @@ ORACLES = {
         where not (bare and i = 2)""",
     "varint_tokens": f"{_TOKENS} select * from tokens",
     "decode_chunk_heads": f"""{_E} select path, doc_no, id_ms, 6::bigint as n_keys, n - 1 as n_deltas,
-        6::bigint as n_keys_found, true as sizes_match from c""",
+        6::bigint as n_keys_found, (id_ms // 60000) % 4 <> 1 as sizes_match from c""",
     "decoded_keys": f"""{_E},
         bases as materialized (select path, doc_no, key_no, name, bson_type, value from s where sample_no = 0),
         points as materialized (select path, doc_no, key_no, sample_no, delta from g where delta <> 0)
         select b.path, b.doc_no, b.key_no, b.name, b.bson_type, b.value as base, p.sample_no, p.delta
         from bases b left join points p on p.path = b.path and p.doc_no = b.doc_no and p.key_no = b.key_no""",
     "expand_zero_runs": f"{_E} select path, doc_no, key_no, sample_no, delta from g where delta <> 0",
-    "stream_complete": f"{_E} select path, count(*)::bigint as n_chunks, 0::bigint as n_errors from c group by path",
+    "stream_complete": f"""{_E} select path, case right(path, 2)::int % 3 when 1 then case when n > 1 then 'bad_varint' end
+        when 2 then 'tokens_left' end as error, count(*)::bigint as n_chunks from c group by all""",
     "delta_decode": f"""{_E} select path, doc_no, key_no, name, sample_no, value from g where delta is null or delta <> 0""",
     "densify": f"{_E} select path, doc_no, key_no, name, sample_no, value from s",
     "time_axis": _SAMPLES,
@@ -153,7 +154,8 @@ ORACLES = {
         when 2 then {I64_MAX} when 3 then ({I64_MIN + 1} - 1) when 4 then trunc(-l_extendedprice)::bigint
         else trunc(l_extendedprice)::bigint end::bigint as v from lineitem""",
     "split_timestamps": """select event_id, 'oplog_t' as name, (epoch_us(ts) // 1000000)::bigint as value from events
-        union all select event_id, 'oplog_i', user_id from events""",
+        union all select event_id, 'oplog_i', user_id from events
+        union all select event_id, 'stored_t', 0 from events union all select event_id, 'stored_i', 0 from events""",
     "delta_encode": """select event_type, event_id, user_id, user_id - lag(user_id) over (partition by event_type
         order by epoch_us(ts) // 1000, event_id) as delta from events""",
     "zero_run_encode": f"{_TOKENS} select * from tokens",
@@ -241,10 +243,12 @@ ORACLES = {
     "import_progress": f"""{_E} select path, doc_no, count(*) over w as n_chunks, (6 * count(*) over w)::bigint as n_series,
         n as n_samples from c window w as (partition by path order by doc_no)""",
     "type_distribution": f"""{_E} select bson_type, count(*)::bigint as n_series from s where sample_no = 0 group by bson_type""",
-    "axis_audit": f"""{_E}, a as (select path, doc_no, ms, ms - lag(ms) over (partition by path, doc_no order by sample_no) as step from d)
-        select path, doc_no, count(*)::bigint as n_samples, min(ms) as first_ms, max(ms) as last_ms,
-        count(*) filter (where step <= 0)::bigint as n_violations, max(ms) - min(ms) as span_ms,
-        (max(ms) - min(ms))::double / nullif(count(*) - 1, 0) as mean_step_ms from a group by path, doc_no""",
+    "axis_audit": f"""{_E},
+        o as (select path, ms, row_number() over (partition by path order by event_id % 7, event_id) - 1 as rn from e),
+        a as (select path, rn // 300 as doc_no, rn, ms, ms - lag(ms) over (partition by path, rn // 300 order by rn) as step from o)
+        select path, doc_no, count(*)::bigint as n_samples, arg_min(ms, rn) as first_ms, arg_max(ms, rn) as last_ms,
+        count(*) filter (where step <= 0)::bigint as n_violations, arg_max(ms, rn) - arg_min(ms, rn) as span_ms,
+        (arg_max(ms, rn) - arg_min(ms, rn))::double / nullif(count(*) - 1, 0) as mean_step_ms from a group by path, doc_no""",
     "shape_audit": f"""{_E} select path, doc_no, 6::bigint as n_keys, 6::bigint as n_keys_found, n as n_samples,
         6 * (n - 1) as n_cells, true as keys_match from c""",
     "verify_stored": f"""{_E} select path, doc_no, 6::bigint as n_keys_found, 5::bigint as stored_series from c
