@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import functions as F
 
 from diagarc.llm import jaccard, langid, mixing, packing, secrets
@@ -54,7 +56,17 @@ def to_sequences(spark, docs, sf_dir):
     return packing.pack(docs)
 
 
-STAGES = [("language", by_language), ("similar", one_of_each_group), ("secrets", without_secrets), ("mix", to_mix), ("pack", to_sequences)]
+def _shipped(stage):
+    @wraps(stage)
+    def run_stage(spark, docs, sf_dir):
+        ship_package(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [(name, _shipped(stage)) for name, stage in (
+    ("language", by_language), ("similar", one_of_each_group), ("secrets", without_secrets), ("mix", to_mix), ("pack", to_sequences))]
 
 #: Stages of learned models and hashed orders are beyond SQL.
 ORACLE_SQL = None
@@ -62,7 +74,6 @@ ORACLE_SQL = None
 
 def run(spark, sf_dir):
     """The stages over ``documents``, each written as Parquet and read again by the next."""
-    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = run_dir(spark, f"stage-{name}")

@@ -213,7 +213,8 @@ def alike_groups(docs: DataFrame, width: int = SHINGLE, least: int = LEAST) -> D
     has the smallest other id, or null. Rows that repeat an id are rows of their own; other
     columns are ignored.
     """
-    sets = staged(_sets(docs, width, least), "sets").withColumn("sid", F.monotonically_increasing_id())
+    # Written with the rows: later reads may be split otherwise.
+    sets = staged(_sets(docs, width, least).withColumn("sid", F.monotonically_increasing_id()), "sets")
     filled = sets.filter("n > 0")
     nodes = staged(filled.groupBy("set").agg(F.min("sid").alias("node"), F.min("d").alias("least")), "nodes")
     # By way of the staged row: its id and set lead back to its text.
