@@ -303,7 +303,7 @@ def test_top_k_odd_rows(spark):
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn("score", F.lit("x")).withColumn("block", F.lit(1))
     assert in_any_order(topk.top_k(df).collect()) == in_any_order([
         (50, 1, 100, 2**63 - 1), (50, 2, 3, 16384), (50, 3, 3, 16384), (50, 4, None, 16384), (50, 5, 4, 0),
-        (100, 1, 50, 2**63 - 1), (100, 2, 3, 2**63 - 1), (100, 3, 3, 2**63 - 1), (100, 4, None, 2**63 - 1), (100, 5, 4, 0)])
+        (100, 1, 3, 2**63 - 1), (100, 2, 3, 2**63 - 1), (100, 3, 50, 2**63 - 1), (100, 4, None, 2**63 - 1), (100, 5, 4, 0)])
     assert topk.top_k(df.limit(0)).count() == 0
 
 
