@@ -23,7 +23,7 @@ BITS = 18
 GRAMS = (2, 3, 4)
 #: The bound of the training sample: documents, and words of each (a run at a hashed place).
 SAMPLE_DOCS, SAMPLE_WORDS = 3000, 60
-_CACHE_WORDS = 500_000
+_CACHE_WORDS, _WORDS_AT_ONCE = 300_000, 8192
 _START, _END = 0x110000, 0x110001
 
 
@@ -183,7 +183,9 @@ class Labeller:
         for token, word in zip(fresh, words):
             self.rows[token] = at if word else -1
             at += bool(word)
-        self.table = np.concatenate([self.table, emissions(lettered, self.weights).astype(np.float32)])
+        # A few words at a time: the list of their features is a hundred times their size.
+        fresh_rows = [emissions(lettered[i : i + _WORDS_AT_ONCE], self.weights) for i in range(0, len(lettered), _WORDS_AT_ONCE)]
+        self.table = np.concatenate([self.table, *fresh_rows])
 
     def label(self, texts: list[str | None]) -> list[tuple[str, float]]:
         out: list[tuple[str, float]] = []
