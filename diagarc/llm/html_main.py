@@ -192,13 +192,17 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
 
     def read(batch: pa.RecordBatch) -> pa.RecordBatch:
         hosts, blobs, found = [], [], []
-        pack = zstandard.ZstdCompressor(level=3).compress
+        pack = zstandard.ZstdCompressor(level=12).compress
         for own_url, own_html in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             blocks, hashes = parse(own_html or "")
-            named = [(text, [hashes[n] for n in numbers if hashes[n] is not None], refused, main) for text, numbers, refused, main in blocks]
+            own = sorted({hashes[n] for _, numbers, _, _ in blocks for n in numbers if hashes[n] is not None})
+            place = {h: i for i, h in enumerate(own)}
+            # Containers by their place in the page's list of hashes; a refused block is only counted, so its text stays here.
+            named = [("" if refused else text, [place[hashes[n]] for n in numbers if hashes[n] is not None], int(refused), int(main))
+                     for text, numbers, refused, main in blocks]
             hosts.append(host_of(own_url))
-            blobs.append(pack(json.dumps(named, ensure_ascii=False).encode("utf-8", "surrogatepass")))
-            found.append(sorted({h for _, own, _, _ in named for h in own}))
+            blobs.append(pack(json.dumps(named, ensure_ascii=False, separators=(",", ":")).encode("utf-8", "surrogatepass")))
+            found.append(own)
         columns = [batch.column(3), batch.column(0), batch.column(1), pa.array(hosts), pa.array(blobs, pa.binary()), pa.array(found, pa.list_(pa.int64()))]
         return pa.RecordBatch.from_arrays(columns, ["row", "page_id", "url", "host", "blocks", "hashes"])
 
@@ -211,7 +215,10 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
     counts = each.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages)
     template = counts.join(sizes, "host").filter(F.col("n") >= least_share * F.col("n_pages")).select("host", "hash")
     gone = each.join(template, ["host", "hash"]).groupBy("row").agg(F.collect_set("hash").alias("gone"))
-    rest = read_pages.select("row", "page_id", "url", "blocks").join(gone, "row", "left").select("page_id", "url", "blocks", "gone")
+    rest = read_pages.select("row", "page_id", "url", "blocks", "hashes").join(gone, "row", "left")
+    # Places in the page's list of the containers that go.
+    places = F.transform(F.coalesce("gone", F.array().cast("array<bigint>")), lambda h: F.array_position("hashes", h) - 1)
+    rest = rest.select("page_id", "url", "blocks", places.alias("gone"))
 
     def choose(batch: pa.RecordBatch) -> pa.RecordBatch:
         unpack = zstandard.ZstdDecompressor().decompress
