@@ -1,13 +1,16 @@
 """Main text of web pages by removing the template of each site.
 
 Every page is parsed in its task into blocks of text, each with the hashes of the containers it
-stands in. A container's hash covers its whole subtree. Spark counts on how many pages of the
-host each hash occurs; containers that recur on many are the site's template and go, with what
-they hold. What is left loses the parts that their markup itself declares to be no article
+stands in. A container's hash covers its whole subtree. Spark counts on how many different pages of
+the host each hash occurs; containers that recur on several are the site's template and go, with what
+they hold. Pages with the same main part are one page, however often and under whatever address it
+is met. What is left loses the parts that their markup itself declares to be no article
 (navigation, forms, adverts, comments and so on), and text outside the article, if there is one.
 
-Paragraphs, headings and the article itself are never taken for template: a passage that many
-articles share is still part of each.
+Paragraphs, headings, the article itself and what is inside it are never taken for template: a
+passage, list or table that many articles share is still part of each. On a page without article
+markup that holds for the innermost container with more than half of the text, for what it stands
+in, and for lists, tables and figures inside it.
 """
 
 from __future__ import annotations
@@ -38,6 +41,8 @@ INLINE = _words("a abbr acronym b bdi bdo big cite code data del dfn em font i i
                 "span strike strong sub sup time tt u var wbr")
 CONTAINERS = _words("div section ul ol dl table aside nav header footer form figure menu details fieldset center")
 MAIN = _words("article main")
+#: Containers that are part of the text around them.
+CONTENT = _words("ul ol dl table figure")
 #: Elements that never hold article text.
 DROPPED = _words("head script style noscript template iframe object svg canvas audio video map math nav footer aside form button "
                  "select textarea input dialog menu noembed noframes")
@@ -90,9 +95,9 @@ class _Element:
         self.digest = blake2b(f"<{tag} {names}>".encode(), digest_size=8)
 
 
-def parse(html: str) -> tuple[list[tuple[str, list[int], bool, bool]], list[int]]:
-    """Blocks (text, numbers of the containers around it, refused by markup, in an article), and container hashes by number."""
-    blocks, hashes, parts = [], [], []
+def parse(html: str) -> tuple[list[tuple[str, list[int], bool, bool]], list[int], list[str]]:
+    """Blocks (text, numbers of the containers around it, refused by markup, in an article), and container hashes and tags by number."""
+    blocks, hashes, tags, parts = [], [], [], []
     stack = [_Element("#page", "", None)]
 
     def close(depth):
@@ -154,8 +159,10 @@ def parse(html: str) -> tuple[list[tuple[str, list[int], bool, bool]], list[int]
             continue
         element = _Element(tag, attributes, stack[-1])
         if tag in CONTAINERS:
-            element.number = len(hashes)
-            hashes.append(0)
+            if element.refused or not element.main:  # what an article holds is no template
+                element.number = len(hashes)
+                hashes.append(0)
+                tags.append(tag)
         elif tag in MAIN:  # what holds an article is no template
             for e in stack:
                 if e.number is not None:
@@ -173,7 +180,39 @@ def parse(html: str) -> tuple[list[tuple[str, list[int], bool, bool]], list[int]
     write(html[at:])
     block()
     close(1)
-    return blocks, hashes
+    return blocks, hashes, tags
+
+
+def _digest(texts: list[str]) -> int:
+    return int.from_bytes(blake2b("\n".join(texts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def page_parts(blocks, hashes, tags) -> tuple[list[int], int, int, int]:
+    """Hashes of containers that may be template, how many of them count by the whole text, and the digests of whole text and body.
+
+    The whole text is the article's, or else all that markup does not refuse. The body is the
+    innermost container with more than half of it, if no article is marked; containers inside the
+    body come last and count by its digest, so that copies of a page which differ elsewhere are one page there.
+    """
+    kept = [b for b in blocks if not b[2]]
+    main = [b for b in kept if b[3]]
+    whole = _digest([b[0] for b in main or kept])
+    size, total = [0] * len(hashes), sum(len(b[0]) for b in kept)
+    for text, numbers, _, _ in kept:
+        for n in numbers:
+            size[n] += len(text)
+    around = [] if main else max(([n for n in b[1] if 2 * size[n] > total] for b in kept), key=len, default=[])
+    safe, inside, core = {hashes[n] for n in around}, set(), whole
+    if around:
+        body = [b for b in kept if around[-1] in b[1]]
+        core = _digest([b[0] for b in body])
+        held = {n for b in blocks for n in b[1] if around[-1] in b[1]}
+        safe |= {hashes[n] for n in held if tags[n] in CONTENT}
+        safe |= {hashes[n] for b in body for n in b[1] if CONTENT.intersection(tags[m] for m in b[1][len(around) : b[1].index(n)])}
+        inside = {hashes[n] for n in held}
+    own = {hashes[n] for b in blocks for n in b[1] if hashes[n] is not None} - safe
+    outside = sorted(own - inside)
+    return outside + sorted(own & inside), len(outside), whole, core
 
 
 def host_of(url: str | None) -> str:
@@ -185,36 +224,39 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
     """page_id, url, text, n_chars, n_template of every row.
 
     A container is template where it recurs on ``least_pages`` pages of the host and ``least_share``
-    of them; ``n_template`` counts the blocks that went with it. Null or empty html has an empty
-    text. Pages without a readable host count as one host. Repeated rows are pages of their own;
-    other columns are ignored.
+    of them, pages with equal text counted once; ``n_template`` counts the blocks that went with it.
+    Null or empty html has an empty text. Pages without a readable host count as one host. Every
+    row has a result of its own; other columns are ignored.
     """
 
     def read(batch: pa.RecordBatch) -> pa.RecordBatch:
-        hosts, blobs, found = [], [], []
+        hosts, blobs, found, parts = [], [], [], []
         pack = zstandard.ZstdCompressor(level=12).compress
         for own_url, own_html in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            blocks, hashes = parse(own_html or "")
-            own = sorted({hashes[n] for _, numbers, _, _ in blocks for n in numbers if hashes[n] is not None})
+            blocks, hashes, tags = parse(own_html or "")
+            own, *part = page_parts(blocks, hashes, tags)
             place = {h: i for i, h in enumerate(own)}
             # Containers by their place in the page's list of hashes; a refused block is only counted, so its text stays here.
-            named = [("" if refused else text, [place[hashes[n]] for n in numbers if hashes[n] is not None], int(refused), int(main))
+            named = [("" if refused else text, [place[hashes[n]] for n in numbers if hashes[n] in place], int(refused), int(main))
                      for text, numbers, refused, main in blocks]
             hosts.append(host_of(own_url))
             blobs.append(pack(json.dumps(named, ensure_ascii=False, separators=(",", ":")).encode("utf-8", "surrogatepass")))
             found.append(own)
+            parts.append(part)
         columns = [batch.column(3), batch.column(0), batch.column(1), pa.array(hosts), pa.array(blobs, pa.binary()), pa.array(found, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays(columns, ["row", "page_id", "url", "host", "blocks", "hashes"])
+        columns += [pa.array([p[i] for p in parts], pa.int64()) for i in range(3)]
+        return pa.RecordBatch.from_arrays(columns, ["row", "page_id", "url", "host", "blocks", "hashes", "n_outside", "whole", "core"])
 
     kind = pages.schema[page_id].dataType.simpleString()
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), F.monotonically_increasing_id().alias("row"))
-    read_pages = staged(map_batches(rows, read, f"row bigint, page_id {kind}, url string, host string, blocks binary, hashes array<bigint>"), "pages")
+    read_pages = staged(map_batches(rows, read, f"row bigint, page_id {kind}, url string, host string, blocks binary, hashes array<bigint>, "
+                                          "n_outside bigint, whole bigint, core bigint"), "pages")
 
-    sizes = read_pages.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
-    each = read_pages.select("row", "host", F.explode("hashes").alias("hash"))
-    counts = each.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages)
+    sizes = read_pages.groupBy("host").agg(F.countDistinct("whole").alias("n_pages"))
+    each = read_pages.select("row", "host", F.posexplode("hashes").alias("at", "hash"), F.when(F.col("at") < F.col("n_outside"), F.col("whole")).otherwise(F.col("core")).alias("page"))
+    counts = each.groupBy("host", "hash").agg(F.countDistinct("page").alias("n")).filter(F.col("n") >= least_pages)
     template = counts.join(sizes, "host").filter(F.col("n") >= least_share * F.col("n_pages")).select("host", "hash")
-    gone = each.join(template, ["host", "hash"]).groupBy("row").agg(F.collect_set("hash").alias("gone"))
+    gone = each.select("row", "host", "hash").join(template, ["host", "hash"]).groupBy("row").agg(F.collect_set("hash").alias("gone"))
     rest = read_pages.select("row", "page_id", "url", "blocks", "hashes").join(gone, "row", "left")
     # Places in the page's list of the containers that go.
     places = F.transform(F.coalesce("gone", F.array().cast("array<bigint>")), lambda h: F.array_position("hashes", h) - 1)

@@ -72,6 +72,28 @@ def test_template_goes(spark):
     assert html_main.main_text(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
 
+def main_texts(spark, pages):
+    return {r.page_id: r.text for r in html_main.main_text(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+
+
+@pytest.mark.parametrize("copies", [3, 1000])
+def test_copies_keep_their_text(spark, copies):
+    body = "<div id=content><h1>Head</h1><div class=entry><p>One of two parts</p></div><div class=entry><p>Two of the parts</p></div></div>"
+    url = lambda i: f"http://h.example/a?page={i}#top"
+    pages = [(i, url(i), f"<body>{body}</body>") for i in range(copies)]
+    pages += [(10_000 + i, url(i), f"<body><article><div class=entry><p>Marked</p></div></article><div>of {i}</div></body>") for i in range(copies)]
+    pages += [(20_000 + i, f"http://i.example/{i}", f"<body>{body}<div><p>Copy {i}</p></div></body>") for i in range(copies)]
+    got, text = main_texts(spark, pages), "Head\nOne of two parts\nTwo of the parts"
+    assert all(got[i] == text and got[10_000 + i] == "Marked" and got[20_000 + i] == f"{text}\nCopy {i}" for i in range(copies))
+
+
+def test_shared_table_stays(spark):
+    table, box = "<table><tr><td><div>Cell</div></table>", "<div class=x><p>Box</p></div>"
+    pages = [(i, f"http://h.example/{i}", f"<body>{box}<article><p>Text {i}</p>{table}</article></body>") for i in range(4)]
+    pages += [(10 + i, f"http://h.example/{i}", f"<body>{box}<div><p>Longer text {i}</p>{table}</div></body>") for i in range(4)]
+    assert main_texts(spark, pages) == {i: f"Text {i}\nCell" for i in range(4)} | {10 + i: f"Longer text {i}\nCell" for i in range(4)}
+
+
 # Mixing.
 
 
