@@ -220,11 +220,11 @@ def host_of(url: str | None) -> str:
     return found.group(1).lower() if found else ""
 
 
-def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least_pages: int = 3, least_share: float = 0.01) -> DataFrame:
+def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least_pages: int = 3) -> DataFrame:
     """page_id, url, text, n_chars, n_template of every row.
 
-    A container is template where it recurs on ``least_pages`` pages of the host and ``least_share``
-    of them, pages with equal text counted once; ``n_template`` counts the blocks that went with it.
+    A container is template where it recurs on ``least_pages`` pages of the host, of whatever size, pages
+    with equal text counted once; ``n_template`` counts the blocks that went with it.
     Null or empty html has an empty text. Pages without a readable host count as one host. Every
     row has a result of its own; other columns are ignored.
     """
@@ -252,11 +252,12 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
     read_pages = staged(map_batches(rows, read, f"row bigint, page_id {kind}, url string, host string, blocks binary, hashes array<bigint>, "
                                           "n_outside bigint, whole bigint, core bigint"), "pages")
 
-    sizes = read_pages.groupBy("host").agg(F.countDistinct("whole").alias("n_pages"))
-    each = read_pages.select("row", "host", F.posexplode("hashes").alias("at", "hash"), F.when(F.col("at") < F.col("n_outside"), F.col("whole")).otherwise(F.col("core")).alias("page"))
-    counts = each.groupBy("host", "hash").agg(F.countDistinct("page").alias("n")).filter(F.col("n") >= least_pages)
-    template = counts.join(sizes, "host").filter(F.col("n") >= least_share * F.col("n_pages")).select("host", "hash")
-    gone = each.select("row", "host", "hash").join(template, ["host", "hash"]).groupBy("row").agg(F.collect_set("hash").alias("gone"))
+    # One number for the host and the container's hash.
+    page = F.when(F.col("at") < F.col("n_outside"), F.col("whole")).otherwise(F.col("core"))
+    each = read_pages.select("row", "host", "n_outside", "whole", "core", F.posexplode("hashes").alias("at", "hash"))
+    each = each.select("row", "hash", F.xxhash64("host", "hash").alias("key"), page.alias("page"))
+    template = each.groupBy("key").agg(F.countDistinct("page").alias("n")).filter(F.col("n") >= least_pages).select("key")
+    gone = each.select("row", "hash", "key").join(template, "key").groupBy("row").agg(F.collect_set("hash").alias("gone"))
     rest = read_pages.select("row", "page_id", "url", "blocks", "hashes").join(gone, "row", "left")
     # Places in the page's list of the containers that go.
     places = F.transform(F.coalesce("gone", F.array().cast("array<bigint>")), lambda h: F.array_position("hashes", h) - 1)

@@ -94,6 +94,12 @@ def test_shared_table_stays(spark):
     assert main_texts(spark, pages) == {i: f"Text {i}\nCell" for i in range(4)} | {10 + i: f"Longer text {i}\nCell" for i in range(4)}
 
 
+def test_template_goes_on_hosts_of_any_size(spark):
+    box = "<div class=x><p>Section box</p></div>"
+    pages = [(i, f"http://h.example/{i}", f"<body>{box if i < 3 else ''}<div><p>A text of its own {i}</p></div></body>") for i in range(400)]
+    assert main_texts(spark, pages) == {i: f"A text of its own {i}" for i in range(400)}
+
+
 # Mixing.
 
 
