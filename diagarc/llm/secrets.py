@@ -1,8 +1,9 @@
 """Secret scans: exact patterns, and a small convolutional network over every other candidate.
 
 Runs of token characters are candidates. The patterns' findings always stand. Each candidate that
-they leave is shown to a character network together with the text around it; it adds a finding
-where the calibrated probability reaches a threshold. The network is trained on labelled
+they leave, and what they leave of one, is shown to a character network together with the text
+around it, a long one in overlapping windows of which the highest counts; it adds a finding where
+the calibrated probability reaches a threshold. The network is trained on labelled
 findings: a bounded sample of the corpus's own candidates, labelled by the patterns, and
 generated ones of kinds that the patterns do not name. Its threshold is the largest that still
 finds the asked share of held-out labelled secrets.
@@ -26,11 +27,13 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-_DIGIT = re.compile(r"[0-9]")
+RUN_LEAST = 16
+RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{RUN_LEAST},}}")
 #: Characters shown before a candidate, of it, and after it.
 BEFORE, INSIDE, AFTER = 24, 48, 12
 WIDTH = BEFORE + INSIDE + AFTER
+#: Longer candidates are shown in windows that begin so far apart; so many windows are held at once.
+SLIDE, SHOWN = 16, 4096
 #: The bound of the training sample: documents that are scanned, findings that are kept, findings that are generated.
 SAMPLE_DOCS, SAMPLE_FINDINGS, GENERATED = 4000, 2000, 1600
 
@@ -69,34 +72,74 @@ class _Other(dict):
         return code if code < 128 else 127
 
 
-def candidates(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, bool]]]:
-    """Pattern findings; and (begin, end, found already) of every run with a digit."""
+def windows(text: str, begin: int, end: int) -> list[tuple[int, bytes]]:
+    """Where each window on a candidate begins, and what it shows."""
+    starts = [*range(begin, end - INSIDE, SLIDE), end - INSIDE] if end - begin > INSIDE else [begin]
+    return [(at, window(text, at, min(end, at + INSIDE))) for at in starts]
+
+
+def candidates(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]], list[tuple[int, int]]]:
+    """Pattern findings; runs that hold none of them; and of the others what they leave, if long enough for a run."""
     spans, runs = base_spans(text)
-    return spans, [(a, b, any(s < b and a < e for s, _, e in spans)) for a, b in runs if _DIGIT.search(text, a, b)]
+    free, left = [], []
+    for begin, end in runs:
+        met = [(s, e) for s, _, e in spans if s < end and begin < e]
+        if not met:
+            free.append((begin, end))
+            continue
+        at = begin
+        for s, e in [*met, (end, end)]:
+            if s - at >= RUN_LEAST:
+                left.append((at, s))
+            at = max(at, e)
+    return spans, free, left
+
+
+def labelled(text: str) -> list[tuple[bytes, int]]:
+    """What the network may learn from a text: runs without findings, and windows on others that show much of a finding."""
+    spans, free, _ = candidates(text)
+    out = [(seen, 0) for a, b in free for _, seen in windows(text, a, b)]
+    for a, b in {r.span() for r in RUN.finditer(text)}.difference(free):
+        shows = lambda at: max(min(e, b, at + INSIDE) - max(s, at) for s, _, e in spans)  # noqa: E731, B023
+        out += [(seen, 1) for at, seen in windows(text, a, b) if b - a <= INSIDE or shows(at) >= RUN_LEAST]
+    return out
 
 
 def generated(n: int, seed: int = 11) -> list[tuple[bytes, int]]:
-    """Labelled findings by rule: keys of several alphabets in several settings; numbers, dates, paths and long names."""
+    """Labelled findings by rule: keys of several alphabets in several settings, also late in a long run; numbers, dates, paths and long names."""
     rng = np.random.default_rng(seed)
     letters, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
     pick = lambda alphabet, k: "".join(alphabet[i] for i in rng.integers(0, len(alphabet), k))
     word = lambda: pick("etaoinshrdlucm", int(rng.integers(2, 9)))
     number = lambda k: pick(digits, k)
+    both = letters + letters.upper()
+    onset = "b c d f g h k l m n p r s t v w z j qu x y st sch ch th tr pl br ph gr".split()
+    coda = "n r s t l m d ng st ck rt y nd tz pf".split() + [""] * 12
+    name = lambda k: "".join(onset[rng.integers(0, len(onset))] + "aeiouaeioue"[rng.integers(0, 11)] + coda[rng.integers(0, len(coda))] for _ in range(k))
+    some = lambda: name(int(rng.integers(1, 4)))
+    path = lambda: "/".join(some() for _ in range(int(rng.integers(6, 16)))) + "/" * int(rng.integers(0, 2))
     out = []
     for i in range(n):
         size = int(rng.integers(18, 56))
         if i % 2:
             key = [lambda: pick(letters + letters.upper() + digits, size), lambda: pick(letters + letters.upper() + digits + "+/", size) + "=",
                    lambda: pick(digits + "ABCDEF", size), lambda: "sk_live_" + pick(letters + digits, size), lambda: "ghp_" + pick(letters + letters.upper() + digits, 36),
-                   lambda: "eyJ" + pick(letters + letters.upper() + digits + "_-", size)][i // 2 % 6]()
+                   lambda: "eyJ" + pick(letters + letters.upper() + digits + "_-", size), lambda: pick(both, int(rng.integers(16, 24))), lambda: pick(both + digits, int(rng.integers(16, 24)))][i // 2 % 8]()
         else:
             key = [lambda: number(16), lambda: f"20{number(2)}-{number(2)}-{number(2)}T{number(2)}-{number(2)}-{number(2)}", lambda: f"/{word()}/{word()}{number(1)}/{word()}-{word()}",
                    lambda: f"{word()}-{number(2)}-{word()}-{number(3)}-{word()}", lambda: f"{word()}{word()}{word()}{word()}{number(1)}", lambda: f"{number(4)}-{number(4)}-{number(4)}-{number(4)}",
-                   lambda: f"{word()}_{word()}_{word()}_{number(4)}", lambda: "=" * 10 + number(2) + "-" * 10][i // 2 % 8]()
+                   lambda: f"{word()}_{word()}_{word()}_{number(4)}", lambda: "=" * 10 + number(2) + "-" * 10,
+                   lambda: (word() * 3 + name(5)).ljust(16, "e")[:28], lambda: name(6).ljust(16, "e"), lambda: name(6).capitalize().ljust(16, "e"), lambda: name(7).upper().ljust(16, "E"),
+                   lambda: "".join(some().capitalize() for _ in range(6)).ljust(16, "e"), path, lambda: "/" + path(), lambda: "=-_"[i // 2 % 3] * size][i // 2 % 16]()
         lead = [f"{word()} {word()} ", f"{word()}: ", f'{word()} = "', f"Authorization: Bearer ", f"\n{word()} {word()}, ", f"({word()} "][int(rng.integers(0, 6))]
-        text = f"{word()} {word()} {lead}{key} {word()}. {word()}"
-        at = text.index(key)
-        out.append((window(text, at, at + len(key)), i % 2))
+        ahead = f"{path()}{'/-_='[i // 2 % 4]}" if i % 8 == 1 else ""
+        text = f"{word()} {word()} {lead}{ahead}{key} {word()}. {word()}"
+        at = text.index(ahead + key)
+        begin, end = at + len(ahead), at + len(ahead) + len(key)
+        seen = windows(text, at, end)
+        # The window that shows most of the key, or any of those on no key.
+        seen = max(seen, key=lambda w: min(end, w[0] + INSIDE) - max(begin, w[0])) if i % 2 else seen[int(rng.integers(0, len(seen)))]
+        out.append((seen[1], i % 2))
     return out
 
 
@@ -197,12 +240,12 @@ def fit(docs: DataFrame, recall: float = 0.97, sample_docs: int = SAMPLE_DOCS, s
     own = docs.select("text", F.xxhash64("doc_id").alias("h")).filter(F.pmod(F.xxhash64("h"), F.lit(max(1, n // sample_docs))) == 0)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [(window(t, a, b), int(known)) for t in batch.column(0).to_pylist() if t for a, b, known in candidates(t)[1]]
+        found = [f for t in batch.column(0).to_pylist() if t for f in labelled(t)]
         return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.int32())], ["seen", "label"])
 
     rows = map_batches(own, run, "seen binary, label int").orderBy(F.xxhash64("seen"), "label").limit(sample_findings).collect()
-    labelled = [(bytes(r.seen), r.label) for r in rows] + generated(GENERATED)
-    return Network().train([w for w, _ in labelled], [y for _, y in labelled], recall)
+    known = [(bytes(r.seen), r.label) for r in rows] + generated(GENERATED)
+    return Network().train([w for w, _ in known], [y for _, y in known], recall)
 
 
 _networks: dict[str, Network] = {}
@@ -221,15 +264,23 @@ def scan(docs: DataFrame, network: Network) -> DataFrame:
         if key not in _networks:
             _networks.clear()
             _networks[key] = held.value
-        own, found, shown = _networks[key], [], []
+        own, found, shown, hits = _networks[key], [], [], set()
+
+        def judge():
+            hits.update(s[0] for s, p in zip(shown, own.probability([s[1] for s in shown])) if p >= own.threshold)
+            shown.clear()
+
         for i, text in enumerate(batch.column(names.index("text"))):
             text = text.as_py() or ""
-            spans, runs = candidates(text)
+            spans, free, left = candidates(text)
             found.append(spans)
-            shown += [(i, a, b, window(text, a, b)) for a, b, known in runs if not known]
-        for (i, a, b, _), p in zip(shown, own.probability([s[3] for s in shown])):
-            if p >= own.threshold:
-                found[i].append((a, 3, b))
+            for a, b in free + left:
+                shown += [((i, a, b), seen) for _, seen in windows(text, a, b)]
+                if len(shown) >= SHOWN:
+                    judge()
+        judge()
+        for i, a, b in hits:
+            found[i].append((a, 3, b))
         lists = [[{"kind": k, "begin": a, "end": b} for a, k, b in sorted(spans)] for spans in found]
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists, pa.list_(struct))], [*names, "findings"])
 

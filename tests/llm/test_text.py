@@ -178,6 +178,23 @@ def test_secret_scan(odd, documents):
     assert secrets.scan(odd.limit(0), secrets.fit(odd.limit(0))).count() == 0
 
 
+def test_every_candidate_is_scored(spark, documents):
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    key = lambda n, alphabet=letters + "0123456789": "".join(rng.choice(alphabet) for _ in range(n))
+    path = "/srv/content/pages/about/the/company/history/and/people/list/"
+    keys = [("only letters", "", key(20, letters)) for _ in range(50)] + [("late", path, key(32)) for _ in range(50)]
+    keys += [("beside hex", "0123456789abcdef01234567-", key(40)) for _ in range(50)]
+    texts = [(i, f"we sent it to {ahead}{own} on monday") for i, (_, ahead, own) in enumerate(keys)]
+    texts += [(1000, f"we sent it to {path} on monday"), (1001, "eine donaudampfschifffahrtsgesellschaft here")]
+    network, found = secrets.fit(documents), collections.Counter()
+    for r in secrets.scan(spark.createDataFrame(texts, "doc_id bigint, text string"), network).collect():
+        end = r.text.index(" on monday") if r.doc_id < 1000 else 0
+        assert r.doc_id < 1000 or not r.findings
+        found[keys[r.doc_id][0] if r.doc_id < 1000 else ""] += any(f.kind == 3 and f.end == end for f in r.findings)
+    assert all(found[k] >= 45 for k in ("only letters", "late", "beside hex")), found
+
+
 # Language.
 
 
