@@ -11,6 +11,8 @@ from diagarc.plans.shared import run_dir, ship_package
 
 #: Least share of a document's words that its language must have.
 LEAST_SCORE = 0.4
+#: Words of a shingle, and the least similarity of linked documents in hundredths.
+WIDTH, LEAST = 5, 80
 
 
 def by_language(spark, docs, sf_dir):
@@ -25,7 +27,7 @@ def one_of_each_group(spark, docs, sf_dir):
     Of several rows with that id the one with the smallest text hash stays, of equal rows one.
     Documents without words are linked with nothing and stay.
     """
-    groups = jaccard.alike_groups(docs)
+    groups = jaccard.alike_groups(docs, width=WIDTH, least=LEAST)
     heads = groups.filter("n_shingles > 0 and doc_id <=> component_id")
     heads = heads.groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_rows"))
     heads = heads.groupBy("component").agg(F.min(F.struct("text_hash", "doc_id", "_rows")).alias("one"))

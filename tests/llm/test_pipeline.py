@@ -48,6 +48,13 @@ def test_one_row_of_repeated_ones(spark):
         [(1, text), (3, rows[3][1]), (3, rows[4][1]), (4, None), (4, None), (None, text + "!")])
 
 
+def test_near_copies_at_the_stage_threshold(spark):
+    words = [f"w{i}" for i in range(50)]
+    texts = [words, [*words[:25], "other", *words[26:]], [*words[:12], "other", *words[13:37], "more", *words[38:]]]
+    docs = spark.createDataFrame([(i, " ".join(t), "en", "s", 1) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert sorted(r.doc_id for r in corpus_pipeline.one_of_each_group(spark, docs, SMALL).collect()) == [0, 2]
+
+
 def test_secrets_are_gone(kept):
     before, after = ({r.doc_id: r for r in df.collect()} for df in kept[2:4])
     assert before.keys() == after.keys()
