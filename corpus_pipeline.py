@@ -45,9 +45,9 @@ def without_secrets(spark, docs, sf_dir):
 
 
 def to_mix(spark, docs, sf_dir):
-    """As many copies of each document as the mix takes of it, to the nearest whole copy; none where it takes less than half."""
+    """As many copies of each document as the mix takes of it, to the nearest whole copy; none where it takes less than half or the document has no words."""
     taken = mixing.mix(docs).groupBy("doc_id", "text_hash").agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
-    copies = taken.withColumn("_copies", F.round(F.col("_taken") / F.col("_size")).cast("int")).filter("_copies > 0")
+    copies = taken.withColumn("_copies", F.round(F.try_divide("_taken", "_size")).cast("int")).filter("_copies > 0")
     copies = copies.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_copies")
     met = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")))
     return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)

@@ -74,6 +74,12 @@ def test_mix_is_near_its_targets(kept):
     assert abs(sum(n * words(before[d].text) for d, n in copies.items()) - 1.5 * total) < 0.1 * total
 
 
+def test_mix_without_words(spark):
+    rows = [(1, None, "en", "s", 0), (2, "", "en", "s", 0), (3, " \n", "en", "t", 2), (4, "some words are here", "en", "s", 19)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert {r.doc_id for r in corpus_pipeline.to_mix(spark, docs, SMALL).collect()} == {4}
+
+
 def test_sequences(kept):
     places = collections.defaultdict(list)
     for r in kept[5].collect():
