@@ -13,6 +13,7 @@ paths of its marked words one after the other, and each distinct word is searche
 from __future__ import annotations
 
 import re
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -96,10 +97,10 @@ class Counter(dict):
         return got & 0xFFFFFFFF, got >> 32
 
 
-_counters: dict[int, Counter] = {}
+_counters: dict[str, Counter] = {}
 
 
-def counter(key: int, pieces) -> Counter:
+def counter(key: str, pieces) -> Counter:
     if key not in _counters:
         _counters[key] = Counter(pieces)
     return _counters[key]
@@ -111,7 +112,7 @@ def token_counts(docs: DataFrame, model: str | None = None, doc_id: str = "doc_i
     Repeated rows and null ids stay rows of their own; other columns are ignored.
     """
     pieces = docs.sparkSession.sparkContext.broadcast(vocabulary(model))
-    key = hash(tuple(pieces.value[:50])) ^ len(pieces.value)
+    key = blake2b(repr(pieces.value).encode("utf-8", "surrogatepass")).hexdigest()
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = counter(key, pieces.value)

@@ -475,6 +475,14 @@ def test_token_counts(odd, documents):
     assert token_counts.token_counts(odd.limit(0)).count() == 0
 
 
+def test_models_alike_at_first(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "xyxy")], "doc_id bigint, text string").coalesce(1)
+    first = [("▁", -1.0), *((chr(0x4E00 + i), -1.0) for i in range(60)), ("x", -1.0), ("y", -1.0)]
+    for last, n in (("xy", 3), ("xyxy", 2), ("zz", 5)):
+        monkeypatch.setattr(token_counts, "vocabulary", lambda model, last=last: [*first, (last, -1.0)])
+        assert token_counts.token_counts(docs).first().n_tokens == n
+
+
 def test_ties_and_bytes():
     own = token_counts.Counter([("a", -1.0), ("b", -1.0), ("ab", -2.0), ("abc", -3.0), ("c", -1.0), ("▁", -1.0)])
     assert own.word("abc") == (1, 0, -3.0)  # of equal paths the piece that starts earliest
