@@ -51,28 +51,20 @@ def chunk_boundaries(rows: DataFrame, keys: list[str], order: list[str], schema_
         F.min_by(schema, place).alias("head"), F.max_by(schema, place).alias("tail"), F.max("_run").alias("runs"),
         F.sum((F.col("_run") == 1).cast("bigint")).alias("first"), (F.max_by("_at", place) + 1).alias("last"),
         F.sum(((F.col("_run") > 1) & (F.col("_at") % max_samples == 0)).cast("bigint")).alias("begun"))
-    one = F.struct(F.col(SLICE).alias("slice"), "head", "tail", "runs", "first", "last", "begun")
-    groups = ends.groupBy(*keys).agg(F.array_sort(F.collect_list(one)).alias("all")).filter(F.size("all") > 1)
-    tail_type = ends.schema["tail"].dataType
-    none = F.lit(None)
-    start = F.struct(none.cast(tail_type).alias("tail"), F.lit(0).cast("bigint").alias("length"), F.lit(0).cast("bigint").alias("docs"))
-    entry = F.struct(F.lit(-1).alias("slice"), start["tail"].alias("tail"), start["length"].alias("length"), start["docs"].alias("docs"))
-
-    def follow(states, e):
-        s = F.element_at(states, -1)
-        before = F.when(s["tail"]["v"].eqNullSafe(e["head"]["v"]) & s["tail"].isNotNull(), s["length"]).otherwise(F.lit(0).cast("bigint"))
-        chunks = int_div(before + e["first"] + (max_samples - 1), max_samples) - int_div(before + (max_samples - 1), max_samples)
-        length = F.when(e["runs"] == 1, before + e["first"]).otherwise(e["last"])
-        mine = F.struct(e["slice"].alias("slice"), e["tail"].alias("tail"), length.alias("length"), (s["docs"] + chunks + e["begun"]).alias("docs"))
-        return F.concat(states, F.array(mine))
-
-    states = F.aggregate("all", F.array(entry), follow)
-    carried = groups.select(*keys, F.col("all"), states.alias("states")).select(
-        *[F.col(k).alias(f"_c_{k}") for k in keys],
-        F.explode(F.zip_with("all", F.slice("states", 1, F.size("all")), lambda e, s: F.struct(
-            e["slice"].alias("slice"), F.when(s["tail"]["v"].eqNullSafe(e["head"]["v"]) & s["tail"].isNotNull(), s["length"]).otherwise(
-                F.lit(0).cast("bigint")).alias("before"), s["docs"].alias("docs")))).alias("c"))
-    carried = carried.select("*", F.col("c.slice").alias("_cs"), "c.before", "c.docs").drop("c")
+    # Few rows, one per group and slice, in windows over a group's slices. A slice goes on with the
+    # run before it if its head equals that slice's tail; lengths add up over slices of one run.
+    by_slice = W.partitionBy(*keys).orderBy(SLICE)
+    earlier = by_slice.rowsBetween(W.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
+    fold = ends.withColumn("_goes_on", F.lag("tail").over(by_slice).isNotNull() & F.lag("tail").over(by_slice)["v"].eqNullSafe(F.col("head")["v"]))
+    fold = fold.withColumn("_anew", ~F.col("_goes_on") | (F.lag("runs").over(by_slice) > 1))
+    fold = fold.withColumn("_ahead", F.coalesce(F.sum("first").over(earlier), zero))
+    base = F.when(F.col("_goes_on"), F.lag("last").over(by_slice)).otherwise(zero)
+    fold = fold.withColumn("_base", F.last(F.when(F.col("_anew"), base - F.col("_ahead")), ignorenulls=True).over(by_slice))
+    fold = fold.withColumn("before", F.col("_base") + F.col("_ahead"))
+    chunks = int_div(F.col("before") + F.col("first") + (max_samples - 1), max_samples) - int_div(F.col("before") + (max_samples - 1), max_samples)
+    fold = fold.withColumn("docs", F.coalesce(F.sum(chunks + F.col("begun")).over(earlier), zero))
+    carried = fold.select(*[F.col(k).alias(f"_c_{k}") for k in keys], F.col(SLICE).alias("_cs"), "before", "docs")
     on = local[SLICE] == carried["_cs"]
     for k in keys:
         on = on & local[k].eqNullSafe(carried[f"_c_{k}"])

@@ -52,7 +52,7 @@ def _walk(c: Column, t: T.DataType, field: Column, name: Column | None) -> list[
             below = _walk(x, t.elementType, F.concat(field, F.array(n)), F.concat(name, F.lit(SEPARATOR), n))
             return F.concat(*below) if below else F.array().cast(_LEAF)
 
-        return [F.flatten(F.transform(c, item))]
+        return [F.coalesce(F.flatten(F.transform(c, item)), F.array().cast(_LEAF))]
     leaf = _leaf(c, t)
     if leaf is None:
         return []
@@ -67,6 +67,37 @@ def leaf_fields(column: Column, schema: T.StructType) -> Column:
     return F.concat(*parts) if parts else F.array().cast(_LEAF)
 
 
+def _presence(c: Column, t: T.DataType) -> tuple[list[Column], list[Column]]:
+    """Whether each single leaf below ``c`` has a value, and a text for each array of leaves."""
+    if isinstance(t, T.StructType):
+        below = [_presence(c[f.name], f.dataType) for f in t.fields]
+        return [b for bits, _ in below for b in bits], [a for _, arrays in below for a in arrays]
+    if isinstance(t, T.ArrayType):
+        return [], [F.concat_ws(",", F.transform(c, lambda x: _signs(x, t.elementType, as_text=True)))]
+    leaf = _leaf(c, t)
+    return ([], []) if leaf is None else ([leaf[1].isNotNull()], [])
+
+
+def _signs(c: Column, t: T.DataType, as_text: bool) -> Column:
+    bits, arrays = _presence(c, t)
+    words = []
+    for at in range(0, len(bits), 62):
+        word = F.lit(0).cast("bigint")
+        for i, bit in enumerate(bits[at : at + 62]):
+            word = word + F.when(bit, F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+        words.append(word)
+    if len(words) == 1 and not arrays and not as_text:
+        return words[0]
+    return F.concat(F.lit("("), F.concat_ws("|", *[w.cast("string") for w in words], *arrays), F.lit(")"))
+
+
+def shape_sign(column: Column, schema: T.StructType) -> Column:
+    """Which leaves of a struct column have a value: equal for two rows just when ``leaf_fields`` gives
+    the same fields and types with values. One integer where at most 62 leaves and no arrays are; no
+    leaf is built for it."""
+    return _signs(column, schema, as_text=False)
+
+
 def flatten_struct(df: DataFrame, column: str, out="fields") -> DataFrame:
     """Add ``out``, the ordered numeric leaves of struct ``column``."""
     return df.withColumn(out, leaf_fields(F.col(column), df.schema[column].dataType))

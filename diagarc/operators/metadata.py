@@ -43,17 +43,12 @@ def metadata_delta(docs: DataFrame, keys: list[str], order: list[str]) -> DataFr
     a = a.withColumn("_base", F.max(F.when(F.col("_reset"), F.col("_hits"))).over(upto))
     # Until its first reset a slice goes on counting where the slices before it ended.
     ends = a.groupBy(SLICE, *keys).agg(F.max("_hits").alias("hits"), F.max("_base").alias("base"))
-    one = F.struct(F.col(SLICE).alias("slice"), "hits", "base")
-    groups = ends.groupBy(*keys).agg(F.array_sort(F.collect_list(one)).alias("all")).filter(F.size("all") > 1)
     zero = F.lit(0).cast("bigint")
-
-    def follow(counts, e):
-        return F.concat(counts, F.array(F.coalesce(e["hits"] - e["base"], F.element_at(counts, -1) + e["hits"])))
-
-    counts = F.slice(F.aggregate("all", F.array(zero), follow), 1, F.size("all"))
-    carried = groups.select(*[F.col(k).alias(f"_c_{k}") for k in keys], F.explode(F.arrays_zip(
-        F.transform("all", lambda e: e["slice"]).alias("slice"), counts.alias("count"))).alias("c"))
-    carried = carried.select("*", F.col("c.slice").alias("_cs"), F.col("c.count").alias("_count")).drop("c")
+    by_slice = W.partitionBy(*keys).orderBy(SLICE)
+    fold = ends.withColumn("_sum", F.sum("hits").over(by_slice))
+    fold = fold.withColumn("_start", F.last(F.col("_sum") - (F.col("hits") - F.col("base")), ignorenulls=True).over(by_slice))
+    fold = fold.withColumn("_count", F.lag(F.col("_sum") - F.coalesce("_start", zero)).over(by_slice))
+    carried = fold.filter("_count is not null").select(*[F.col(k).alias(f"_c_{k}") for k in keys], F.col(SLICE).alias("_cs"), "_count")
     on = a[SLICE] == carried["_cs"]
     for k in keys:
         on = on & a[k].eqNullSafe(carried[f"_c_{k}"])

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from diagarc.functions.scalar import int_div, ntz_to_ms
 from diagarc.operators.encode import MAX_SAMPLES, chunk_boundaries
-from diagarc.operators.flatten import flatten_struct
-from diagarc.sources.writer import by_chunk, collect_chunks, layout_id, pack_chunks
+from diagarc.operators.flatten import flatten_struct, shape_sign
+from diagarc.sources.writer import by_chunk, collect_chunks, pack_chunks
 
 
 def event_rows(events: DataFrame) -> DataFrame:
@@ -33,12 +33,12 @@ def capture(rows: DataFrame, order: list[str], document: Column, max_samples=MAX
 
     A chunk ends when it is full or when other fields are present than before. Rows are
     numbered as they come and turned into documents afterwards: the ordered numbering then
-    moves the small rows, and the shuffle per chunk only values.
+    moves the small rows with one sign of which fields are present, and the shuffle per chunk only values.
     """
-    shaped = flatten_struct(rows.withColumn("_document", document), "_document", "_fields")
-    shaped = shaped.withColumn("_layout", layout_id("_fields")).drop("_document", "_fields")
+    schema = rows.select(document.alias("document")).schema["document"].dataType
+    shaped = rows.withColumn("_layout", shape_sign(document, schema))
     numbered = chunk_boundaries(shaped, ["path"], order, "_layout", max_samples)
-    documents = numbered.select("path", "doc_no", "sample_no", "id_ms", document.alias("document"))
+    documents = numbered.select("path", "doc_no", "sample_no", "id_ms", F.col("_layout").alias("layout_id"), document.alias("document"))
     return pack_chunks(collect_chunks(flatten_struct(documents, "document").drop("document")))
 
 

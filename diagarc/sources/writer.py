@@ -32,13 +32,14 @@ def collect_chunks(rows: DataFrame) -> DataFrame:
     :func:`diagarc.operators.flatten.flatten_struct` makes them. Chunks are bounded by
     whoever numbered them. Only values move; the layout travels with the first sample. Absent
     values are left out of the document, and a chunk whose samples differ in layout is an
-    error: :func:`layout_id` and ``chunk_boundaries`` begin a new chunk there.
+    error: ``chunk_boundaries`` begins a new chunk there. A column ``layout_id`` that is equal just for
+    samples of the same layout is taken as it is; without one the names and types are hashed.
     """
     present = F.filter("fields", lambda f: f["value"].isNotNull())
     layout = F.transform(present, lambda f: F.struct(f["field"].alias("field"), f["bson_type"].alias("bson_type")))
     thin = rows.select(
         "path", "doc_no", "id_ms", F.struct("sample_no", F.transform(present, lambda f: f["value"]).alias("v")).alias("s"),
-        F.when(F.col("sample_no") == 0, layout).alias("layout"), layout_id("fields").alias("layout_id"),
+        F.when(F.col("sample_no") == 0, layout).alias("layout"), (F.col("layout_id") if "layout_id" in rows.columns else layout_id("fields")).alias("layout_id"),
     )
     grouped = by_chunk(thin).groupBy("path", "doc_no").agg(
         F.array_sort(F.collect_list("s")).alias("s"), F.first("layout", ignorenulls=True).alias("layout"),
@@ -50,9 +51,9 @@ def collect_chunks(rows: DataFrame) -> DataFrame:
 
 
 def layout_id(fields) -> F.Column:
-    """Digest of the names and types of the fields that have a value."""
+    """Hash of the names and types of the fields that have a value."""
     present = F.filter(fields, lambda f: f["value"].isNotNull())
-    return F.md5(F.to_json(F.transform(present, lambda f: F.struct(f["field"].alias("field"), f["bson_type"].alias("bson_type")))))
+    return F.xxhash64(F.transform(present, lambda f: F.struct(f["field"].alias("field"), f["bson_type"].alias("bson_type"))))
 
 
 def pack_chunks(chunks: DataFrame) -> DataFrame:

@@ -216,3 +216,20 @@ def test_values_that_do_not_fit_are_refused(spark):
         bad = spark.createDataFrame([("p", 0, 1, [(["x"], "int64"), (["y"], "int64")], values)], nested)
         with pytest.raises(PySparkException, match="do not fit"):
             pack_chunks(bad).collect()
+
+
+def test_shape_signs_tell_layouts_apart(spark):
+    """Signs are equal just where the fields with values and their types are."""
+    from pyspark.sql import functions as F
+
+    from diagarc.operators.flatten import leaf_fields, shape_sign
+    from diagarc.sources.writer import layout_id
+
+    schema = "d struct<a:bigint,b:struct<c:double,t:string,n:decimal(4,1)>,l:array<int>,m:array<struct<x:int,y:array<bigint>>>>"
+    bodies = [(1, (2.0, "t", None), [1], []), (1, (None, "t", None), [1], []), (1, None, [1], []), (1, (2.0, None, None), [1, 2], []), (1, (2.0, None, None), [None, 2], []),
+              (7, (9.0, "x", None), [3], []), (1, (2.0, "t", None), None, [(1, [1, 2]), (None, None)]), (1, (2.0, "t", None), None, [(1, [1]), (None, [2])]), (None, None, None, None)]
+    df = spark.createDataFrame([(b,) for b in bodies], schema)
+    rows = df.select(layout_id(leaf_fields(F.col("d"), df.schema["d"].dataType)).alias("hash"), shape_sign(F.col("d"), df.schema["d"].dataType).alias("sign")).collect()
+    assert all((a["hash"] == b["hash"]) == (a["sign"] == b["sign"]) for a in rows for b in rows)
+    wide = spark.range(1).select(F.struct(*[F.when(F.col("id") == i % 2, i).alias(f"k{i}") for i in range(130)]).alias("w"))
+    assert wide.select(shape_sign(F.col("w"), wide.schema["w"].dataType)).first()[0].count("|") == 2
