@@ -20,7 +20,17 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back, so that lost executors recompute nothing above it."""
     path = run_dir(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more: what was made of them is staged itself."""
+    for df in tables:
+        jvm, session = df.sparkSession._jvm, df.sparkSession
+        at = jvm.org.apache.hadoop.fs.Path(df.staged_path)
+        at.getFileSystem(session._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:

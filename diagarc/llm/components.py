@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from diagarc.llm.common import staged
+from diagarc.llm.common import discard, staged
 
 
 def _stars(pairs: DataFrame) -> DataFrame:
@@ -19,7 +19,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each step keeps at most as many edges as there were and hangs nodes below smaller neighbours;
     a logarithmic number of rounds ends with stars. Nodes are bigints; null ends and loops are
-    ignored. Every round is written to the shared folder; the driver only sees two sums.
+    ignored. Every round is written to the shared folder and the one before deleted; the driver only sees two sums.
     """
     edges = staged(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     seen = None
@@ -33,4 +33,5 @@ def components(edges: DataFrame) -> DataFrame:
         large = _stars(both).filter("v > u").select(F.col("v").alias("u"), F.col("least").alias("v")).distinct()
         hung = _stars(large)
         small = hung.filter("v <> least").select(F.col("v").alias("u"), F.col("least").alias("v"))
-        edges = staged(small.unionByName(hung.select("u", F.col("least").alias("v"))).distinct(), "edges")
+        before, edges = edges, staged(small.unionByName(hung.select("u", F.col("least").alias("v"))).distinct(), "edges")
+        discard(before)

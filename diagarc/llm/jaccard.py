@@ -1,9 +1,11 @@
 """Documents whose sets of word shingles are alike, exactly, and the groups that such links make.
 
-Texts with equal sets become one node. Candidates are found without comparing pairs: under one
-order of all shingles, rare ones first, two sets can only reach the threshold if they share a
-shingle among the first few of both. Nodes that share such a shingle, directly or over others,
-form a candidate group; for most documents those shingles occur nowhere else, and they are done.
+Texts with equal sets become one node. Candidates are found without comparing pairs. Sets that reach
+the threshold differ in at most D shingles, D by the size band of the smaller one. Cut the range of
+hashes into more than D parts, and some part holds just the same shingles of both. So every node
+has a key per part, the digest of what it has there, and nodes that share a key, directly or over
+others, form a candidate group. Passages in common make no group unless they fill a part, so for
+most documents all keys occur nowhere else, and they are done.
 
 Groups are compared in tiles: blocks of nodes of one size band against blocks of the same or the
 next band, since sets of more different sizes cannot be alike enough. In a tile, hashed bitmaps
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from diagarc.llm.common import map_batches, staged, table
+from diagarc.llm.common import discard, map_batches, staged, table
 from diagarc.llm.components import components
 from diagarc.llm.repeats import _sums
 from diagarc.llm.sketches import _mixed
@@ -33,8 +35,6 @@ from diagarc.llm.sketches import _mixed
 SHINGLE = 4
 #: Similarity in hundredths.
 LEAST = 85
-#: Share of the hash range whose shingles are ordered by how many nodes have them.
-COUNTED = 0.2
 SMALL, BLOCK = 512, 256
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
@@ -57,9 +57,40 @@ def shingle_set(text: str | None, width: int = SHINGLE) -> np.ndarray:
     return np.unique(runs)
 
 
-def prefix_size(n: int, least: int = LEAST) -> int:
-    """So many of a set's n shingles, first in any common order, contain one that every set alike enough also has among its own."""
-    return n - -(-least * n // 100) + 1
+def band_of(n: int, least: int = LEAST) -> int:
+    """Size band: sets that are alike enough lie in the same or in neighbouring bands."""
+    return int(math.log(n) / math.log(100 / least) + 1e-9)
+
+
+def parts_of(band: int, least: int = LEAST) -> tuple[int, int]:
+    """D and the number of parts for sets of which the smaller is in ``band``.
+
+    Alike sets of sizes a <= b have at most (100 - least) (a + b) / (100 + least) shingles in one
+    of them only, and b <= 100 a / least. Some more than D + 1 parts leave room for empty ones.
+    """
+    differ = math.floor(math.exp((band + 1) * math.log(100 / least)) * (100 - least) / least + 1e-6)
+    return differ, differ + 2 + differ // 6
+
+
+def part_keys(own: np.ndarray, least: int = LEAST) -> np.ndarray:
+    """Keys of a sorted set, of which any set alike enough but not equal has one too.
+
+    At most D parts differ, so there is an equal part that is not empty if more than D parts of
+    either set are not empty. Sets that have no more than that get keys for empty parts as well,
+    which they share with each other.
+    """
+    keys, mixed = [], _mixed(own)
+    for band in (band_of(len(own), least) - 1, band_of(len(own), least)):
+        differ, parts = parts_of(band, least)
+        if not differ:
+            continue
+        part = (own >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+        first = np.append(0, np.flatnonzero(part[1:] != part[:-1]) + 1)
+        salt = np.uint64((band + 1) << 40)
+        keys.append(_mixed(np.add.reduceat(mixed, first) ^ _mixed(part[first] + salt)))
+        if len(first) <= differ:
+            keys.append(_mixed(np.setdiff1d(np.arange(parts, dtype=np.uint64), part[first]) + salt + np.uint64(1 << 39)))
+    return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
 def _digest(hashes: np.ndarray) -> bytes:
@@ -67,40 +98,25 @@ def _digest(hashes: np.ndarray) -> bytes:
 
 
 def _sets(docs: DataFrame, width: int, least: int) -> DataFrame:
-    limit = np.uint64(int(COUNTED * 2**64))
-
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sizes, nodes, counted, first = [], [], [], []
+        sizes, nodes, keys = [], [], []
         for text in batch.column(1).to_pylist():
             own = shingle_set(text, width)
-            below = int(np.searchsorted(own, limit))
             sizes.append(len(own))
             nodes.append(_digest(own))
-            counted.append(below)
-            first.append(own[: max(below, prefix_size(len(own), least))].view(np.int64) if len(own) else [])
-        columns = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(counted, pa.int32()), pa.array(first, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], ["d", "text_hash", "n", "set", "counted", "first"])
+            keys.append(part_keys(own, least).view(np.int64) if len(own) else [])
+        columns = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], ["d", "text_hash", "n", "set", "keys"])
 
     rows = docs.select(F.col("doc_id").alias("d"), "text", F.xxhash64("text").alias("text_hash"))
-    return map_batches(rows, run, "d bigint, text_hash bigint, n bigint, set binary, counted int, first array<bigint>")
-
-
-def _candidate_groups(sets: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
-    """(node, label) of nodes that share a shingle among the first of both, rare ones first."""
-    limit = int(COUNTED * 2**64)
-    limit = limit if limit < 2**63 else limit - 2**64
-    have = staged(sets.join(nodes, F.col("sid") == F.col("node")).select("node", F.explode("first").alias("shingle")), "first")
-    often = have.groupBy("shingle").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1")
-    shared = have.join(often, "shingle").groupBy("node").agg(F.collect_list(F.struct("nodes", "shingle")).alias("shared"))
-    known = shared.join(sets.select(F.col("sid").alias("node"), "n", "counted"), "node")
-    known = known.withColumn("prefix", F.expr(f"n - (({least} * n + 99) div 100) + 1"))
-    # Shingles in the counted range that no other node has come first of all.
-    low = F.filter("shared", lambda s: (s["shingle"] >= 0) & (s["shingle"] < limit))
-    left = F.col("prefix") - (F.col("counted") - F.size(low))
-    own = F.when(F.col("counted") < F.col("prefix"), F.col("shared")).when(left > 0, F.slice(F.array_sort(low), F.lit(1), left.cast("int")))
-    firsts = staged(known.select("node", F.explode(F.transform(own, lambda s: s["shingle"])).alias("shingle")), "prefixes")
-    hubs = firsts.groupBy("shingle").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("nodes")).filter("nodes > 1")
-    return components(firsts.join(hubs, "shingle").select(F.col("node").alias("u"), "v").filter("u <> v"))
+    return map_batches(rows, run, "d bigint, text_hash bigint, n bigint, set binary, keys array<bigint>")
+
+
+def _candidate_groups(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, label) of nodes that share a key, directly or over others."""
+    have = sets.join(nodes, F.col("sid") == F.col("node")).select("node", F.explode("keys").alias("key"))
+    hubs = have.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("other")).filter("v < other")
+    return components(have.join(hubs.select("key", "v"), "key").select(F.col("node").alias("u"), "v").filter("u <> v"))
 
 
 def _linked(sets: list[np.ndarray], start: list, left: np.ndarray, least: int) -> list[tuple[int, int]]:
@@ -155,8 +171,8 @@ def _tile_links(rows: DataFrame, width: int, least: int) -> DataFrame:
     return rows.select("tile", "node", "text", "label", "is_left").groupBy("tile").applyInArrow(run, "u bigint, v bigint")
 
 
-def _tiles(texts: DataFrame, width: int, least: int) -> DataFrame:
-    """Links among candidates (node, n, grp, text)."""
+def _tiles(texts: DataFrame, width: int, least: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Links among candidates (node, n, grp, text), and the tables staged for them."""
     step = math.log(100 / least)
     rows = texts.withColumn("band", F.floor(F.log("n") / step + 1e-9).cast("int"))
     sizes = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("members"))
@@ -202,7 +218,7 @@ def _tiles(texts: DataFrame, width: int, least: int) -> DataFrame:
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)
-    return links
+    return links, [large, counts, found[1], marked, rest, parts]
 
 
 def alike_groups(docs: DataFrame, width: int = SHINGLE, least: int = LEAST) -> DataFrame:
@@ -218,7 +234,7 @@ def alike_groups(docs: DataFrame, width: int = SHINGLE, least: int = LEAST) -> D
     filled = sets.filter("n > 0")
     nodes = staged(filled.groupBy("set").agg(F.min("sid").alias("node"), F.min("d").alias("least")), "nodes")
     # By way of the staged row: its id and set lead back to its text.
-    groups = _candidate_groups(filled, nodes.select("node"), least)
+    groups = _candidate_groups(filled, nodes.select("node"))
     homes = filled.select(F.col("sid").alias("node"), "d", "n", "set")
     wanted = groups.withColumnRenamed("label", "grp").join(homes, "node")
     met = docs.select(F.col("doc_id").alias("own"), "text").join(wanted, F.col("own").eqNullSafe(F.col("d"))).select("node", "n", "grp", "set", "text")
@@ -229,7 +245,9 @@ def alike_groups(docs: DataFrame, width: int = SHINGLE, least: int = LEAST) -> D
 
     texts = map_batches(met, same, "node bigint, n bigint, grp bigint, set binary, text string").drop("set")
     texts = staged(texts, "texts")
-    labels = components(_tiles(texts, width, least)).withColumnRenamed("label", "component")
+    links, tables = _tiles(texts, width, least)
+    labels = components(links).withColumnRenamed("label", "component")
+    discard(texts, *tables)
     named = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = staged(named, "named")
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))

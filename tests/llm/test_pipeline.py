@@ -36,7 +36,7 @@ def test_one_of_each_group(kept):
     from test_text import alike
 
     rows = [(r.doc_id, r.text) for r in kept[1].collect()]
-    assert sorted(r.doc_id for r in kept[2].collect()) == sorted({g for _, _, g in alike(rows)})
+    assert sorted(r.doc_id for r in kept[2].collect()) == sorted({g for _, _, g in alike(rows, corpus_pipeline.WIDTH, corpus_pipeline.LEAST)})
 
 
 def test_one_row_of_repeated_ones(spark):

@@ -398,11 +398,12 @@ def test_repeats(spark, odd, documents):
 # Jaccard groups.
 
 
-def alike(rows):
+def alike(rows, width=4, least=85):
+    """(id, set size, smallest id of the group) by comparing all pairs."""
     sets = []
     for _, text in rows:
         words = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(b"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
-        sets.append({tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3))} if words else set())
+        sets.append({tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set())
     group = list(range(len(rows)))
 
     def top(x):
@@ -412,7 +413,7 @@ def alike(rows):
 
     for i, s in enumerate(sets):
         for j in range(i):
-            if s and sets[j] and 100 * len(s & sets[j]) >= 85 * len(s | sets[j]):
+            if s and sets[j] and 100 * len(s & sets[j]) >= least * len(s | sets[j]):
                 group[top(i)] = top(j)
     members = collections.defaultdict(list)
     for i, (d, _) in enumerate(rows):
@@ -443,6 +444,25 @@ def test_jaccard_of_documents(documents, odd):
     assert in_any_order(r[:3] for r in jaccard.alike_groups(odd).collect()) == alike(pairs(odd)) and jaccard.alike_groups(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("least", [60, 80, 85, 95])
+def test_alike_sets_share_a_part(least):
+    """Sets at the threshold share a key, however small and whatever parts stay empty; sets with half in common hardly ever do."""
+    draw = np.random.default_rng(least)
+    for _ in range(3000):
+        a = np.unique(draw.integers(0, 2**64, int(draw.integers(1, draw.choice([4, 20, 300]))), np.uint64))
+        gone = int(draw.integers(0, len(a)))
+        b = np.unique(np.append(a[gone:], draw.integers(0, 2**64, int(draw.integers(0, 1 + max(0, 100 * (len(a) - gone) // least - len(a)))), np.uint64)))
+        union = len(np.union1d(a, b))
+        if 100 * len(np.intersect1d(a, b)) >= least * union and len(a) != len(np.intersect1d(a, b)):
+            assert abs(jaccard.band_of(len(a), least) - jaccard.band_of(len(b), least)) <= 1
+            assert len(np.intersect1d(jaccard.part_keys(a, least), jaccard.part_keys(b, least)))
+    shared = 0
+    for _ in range(100):
+        both, own, other = (draw.integers(0, 2**64, 200, np.uint64) for _ in range(3))
+        shared += bool(len(np.intersect1d(jaccard.part_keys(np.unique(np.append(both, own)), 85), jaccard.part_keys(np.unique(np.append(both, other)), 85))))
+    assert shared < 100
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(200)] + [(1000, x) for x in range(1001, 1100)] + [(rng.randint(2000, 2400), rng.randint(2000, 2400)) for _ in range(150)]
