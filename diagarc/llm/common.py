@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -26,11 +27,18 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete staged tables that nothing reads any more: what was made of them is staged itself."""
+    """Delete staged tables that nothing reads any more: what was made of them is staged itself.
+
+    Spark removes the shuffle files of plans that are gone when the driver collects garbage, which
+    may be long after; so that is asked for here.
+    """
     for df in tables:
         jvm, session = df.sparkSession._jvm, df.sparkSession
         at = jvm.org.apache.hadoop.fs.Path(df.staged_path)
         at.getFileSystem(session._jsc.hadoopConfiguration()).delete(at, True)
+    gc.collect()
+    for df in tables[:1]:
+        df.sparkSession._jvm.java.lang.System.gc()
 
 
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:

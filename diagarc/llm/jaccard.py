@@ -35,7 +35,8 @@ from diagarc.llm.sketches import _mixed
 SHINGLE = 4
 #: Similarity in hundredths.
 LEAST = 85
-SMALL, BLOCK = 512, 256
+#: Nodes of a group that is one tile; shingles of a block of a larger one, and its least and most nodes.
+SMALL, BLOCK, LEAST_BLOCK, MOST_BLOCK = 512, 1 << 19, 64, 2048
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 
@@ -112,11 +113,14 @@ def _sets(docs: DataFrame, width: int, least: int) -> DataFrame:
     return map_batches(rows, run, "d bigint, text_hash bigint, n bigint, set binary, keys array<bigint>")
 
 
-def _candidate_groups(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+def _candidate_groups(sets: DataFrame) -> DataFrame:
     """(node, label) of nodes that share a key, directly or over others."""
-    have = sets.join(nodes, F.col("sid") == F.col("node")).select("node", F.explode("keys").alias("key"))
+    nodes = sets.groupBy("set").agg(F.min("sid").alias("node"), F.any_value("keys").alias("keys"))
+    # One shuffle by key serves both the hubs and those who meet there.
+    have = nodes.select("node", F.explode("keys").alias("key")).repartition("key")
     hubs = have.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("other")).filter("v < other")
-    return components(have.join(hubs.select("key", "v"), "key").select(F.col("node").alias("u"), "v").filter("u <> v"))
+    edges = have.join(hubs.select("key", "v"), "key").filter("node <> v").select(F.col("node").alias("u"), "v").distinct()
+    return components(staged(edges, "hubs"))
 
 
 def _linked(sets: list[np.ndarray], start: list, left: np.ndarray, least: int) -> list[tuple[int, int]]:
@@ -182,7 +186,10 @@ def _tiles(texts: DataFrame, width: int, least: int) -> tuple[DataFrame, list[Da
     found = [_tile_links(small, width, least)]
 
     large = staged(rows.filter(F.col("members") > SMALL).drop("members"), "large")
-    counts = large.groupBy("grp", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.min("node").alias("pivot"))
+    # The sizes of a band lie within a few hundredths, so its blocks hold about the same number of shingles.
+    each = F.greatest(F.lit(LEAST_BLOCK), F.least(F.lit(MOST_BLOCK), F.lit(BLOCK) / F.exp(F.col("band") * step)))
+    counts = large.groupBy("grp", "band").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("pivot"))
+    counts = counts.select("grp", "band", F.ceil(F.col("members") / each).cast("int").alias("blocks"), "pivot")
     counts = staged(counts, "bands")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     placed = large.join(counts.drop("pivot"), ["grp", "band"]).withColumn("block", block)
@@ -203,7 +210,8 @@ def _tiles(texts: DataFrame, width: int, least: int) -> tuple[DataFrame, list[Da
     main = marked.groupBy("grp", "label").agg(F.count(F.lit(1)).alias("size"))
     main = main.groupBy("grp").agg(F.max_by("label", F.struct("size", "label")).alias("main"))
     rest = staged(marked.join(main, "grp").filter("label <> main").drop("main"), "rest")
-    parts = rest.groupBy("grp", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+    parts = rest.groupBy("grp", "band").agg(F.count(F.lit(1)).alias("members"))
+    parts = parts.select("grp", "band", F.ceil(F.col("members") / each).cast("int").alias("parts"))
     parts = staged(parts, "parts")
     left = rest.join(parts, ["grp", "band"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     left = left.select("grp", F.col("band").alias("home"), near.alias("band"), "part", "node", "text", "label")
@@ -230,11 +238,13 @@ def alike_groups(docs: DataFrame, width: int = SHINGLE, least: int = LEAST) -> D
     columns are ignored.
     """
     # Written with the rows: later reads may be split otherwise.
-    sets = staged(_sets(docs, width, least).withColumn("sid", F.monotonically_increasing_id()), "sets")
+    keyed = staged(_sets(docs, width, least).withColumn("sid", F.monotonically_increasing_id()), "keyed")
+    groups = _candidate_groups(keyed.filter("n > 0"))
+    sets = staged(keyed.drop("keys"), "sets")
+    discard(keyed)
     filled = sets.filter("n > 0")
     nodes = staged(filled.groupBy("set").agg(F.min("sid").alias("node"), F.min("d").alias("least")), "nodes")
     # By way of the staged row: its id and set lead back to its text.
-    groups = _candidate_groups(filled, nodes.select("node"))
     homes = filled.select(F.col("sid").alias("node"), "d", "n", "set")
     wanted = groups.withColumnRenamed("label", "grp").join(homes, "node")
     met = docs.select(F.col("doc_id").alias("own"), "text").join(wanted, F.col("own").eqNullSafe(F.col("d"))).select("node", "n", "grp", "set", "text")

@@ -421,10 +421,11 @@ def alike(rows, width=4, least=85):
     return in_any_order((d, len(s), min((x for x in members[top(i)] if x is not None), default=None)) for i, ((d, _), s) in enumerate(zip(rows, sets)))
 
 
-@pytest.mark.parametrize("small, block", [(512, 256), (4, 3)])
+@pytest.mark.parametrize("small, block", [(512, 2048), (4, 3)])
 def test_jaccard_groups(spark, monkeypatch, small, block):
     monkeypatch.setattr(jaccard, "SMALL", small)
-    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "LEAST_BLOCK", min(block, 64))
+    monkeypatch.setattr(jaccard, "MOST_BLOCK", block)
     rng = random.Random(3)
     words, rows = [f"w{i}" for i in range(60)], []
     for _ in range(20):
