@@ -17,11 +17,11 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from hashlib import blake2b
 from html import unescape
 
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,14 +95,21 @@ class _Element:
         self.digest = blake2b(f"<{tag} {names}>".encode(), digest_size=8)
 
 
-def parse(html: str) -> tuple[list[tuple[str, list[int], bool, bool]], list[int], list[str]]:
-    """Blocks (text, numbers of the containers around it, refused by markup, in an article), and container hashes and tags by number."""
-    blocks, hashes, tags, parts = [], [], [], []
-    stack = [_Element("#page", "", None)]
+def parse(html: str) -> tuple[list[tuple[str, int, bool, bool]], list[int | None], list[str], list[int]]:
+    """Blocks (text, number of the innermost container or -1, refused by markup, in an article), and by number the containers' hashes, tags and outer containers.
+
+    A container around an article has no hash. Every step looks at as many open elements as it ends, so
+    pages of any nesting take time in proportion to their length.
+    """
+    blocks, hashes, tags, outer, parts = [], [], [], [], []
+    stack, opened, numbered = [_Element("#page", "", None)], Counter(), []
 
     def close(depth):
         while len(stack) > depth:
             element = stack.pop()
+            opened[element.tag] -= 1
+            if numbered and numbered[-1] is element:
+                numbered.pop()
             value = element.digest.digest()
             if element.number is not None:
                 hashes[element.number] = int.from_bytes(value, "little", signed=True)
@@ -114,7 +121,7 @@ def parse(html: str) -> tuple[list[tuple[str, list[int], bool, bool]], list[int]
             parts.clear()
             if text:
                 top = stack[-1]
-                blocks.append((text, [e.number for e in stack if e.number is not None], top.refused > 0, top.main))
+                blocks.append((text, numbered[-1].number if numbered else -1, top.refused > 0, top.main))
 
     def write(text):
         if text:
@@ -134,11 +141,14 @@ def parse(html: str) -> tuple[list[tuple[str, list[int], bool, bool]], list[int]
         if tag not in INLINE:
             block()
         if ending:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if depth and (tag not in INLINE or all(e.tag in INLINE for e in stack[depth:])):
-                close(depth)
+            for i in range(len(stack) - 1, 0, -1) if opened[tag] else ():
+                if stack[i].tag == tag:
+                    close(i)
+                    break
+                if tag in INLINE and stack[i].tag not in INLINE:
+                    break
             continue
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and opened["p"]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == "p":
                     close(i)
@@ -146,12 +156,12 @@ def parse(html: str) -> tuple[list[tuple[str, list[int], bool, bool]], list[int]
                     break
         if tag in ENDS:
             ended, limits = ENDS[tag]
-            depth = 0
+            depth, left = 0, sum(opened[t] for t in ended)
             for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in limits:
+                if not left or stack[i].tag in limits:
                     break
                 if stack[i].tag in ended:
-                    depth = i
+                    depth, left = i, left - 1
             if depth:
                 close(depth)
         if tag in VOID:
@@ -163,14 +173,18 @@ def parse(html: str) -> tuple[list[tuple[str, list[int], bool, bool]], list[int]
                 element.number = len(hashes)
                 hashes.append(0)
                 tags.append(tag)
+                outer.append(numbered[-1].number if numbered else -1)
         elif tag in MAIN:  # what holds an article is no template
-            for e in stack:
-                if e.number is not None:
-                    hashes[e.number] = None
-                    e.number = None
+            for e in numbered:
+                hashes[e.number] = None
+                e.number = None
+            numbered.clear()
         if attributes.rstrip().endswith("/") and tag in ("svg", "path", "math"):
             continue
         stack.append(element)
+        opened[tag] += 1
+        if element.number is not None:
+            numbered.append(element)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(html, at)
             stop = end.start() if end else len(html)
@@ -180,14 +194,14 @@ def parse(html: str) -> tuple[list[tuple[str, list[int], bool, bool]], list[int]
     write(html[at:])
     block()
     close(1)
-    return blocks, hashes, tags
+    return blocks, hashes, tags, outer
 
 
 def _digest(texts: list[str]) -> int:
     return int.from_bytes(blake2b("\n".join(texts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def page_parts(blocks, hashes, tags) -> tuple[list[int], int, int, int]:
+def page_parts(blocks, hashes, tags, outer) -> tuple[list[int], int, int, int]:
     """Hashes of containers that may be template, how many of them count by the whole text, and the digests of whole text and body.
 
     The whole text is the article's, or else all that markup does not refuse. The body is the
@@ -196,21 +210,39 @@ def page_parts(blocks, hashes, tags) -> tuple[list[int], int, int, int]:
     """
     kept = [b for b in blocks if not b[2]]
     main = [b for b in kept if b[3]]
-    whole = _digest([b[0] for b in main or kept])
-    size, total = [0] * len(hashes), sum(len(b[0]) for b in kept)
-    for text, numbers, _, _ in kept:
-        for n in numbers:
-            size[n] += len(text)
-    around = [] if main else max(([n for n in b[1] if 2 * size[n] > total] for b in kept), key=len, default=[])
-    safe, inside, core = {hashes[n] for n in around}, set(), whole
-    if around:
-        body = [b for b in kept if around[-1] in b[1]]
-        core = _digest([b[0] for b in body])
-        held = {n for b in blocks for n in b[1] if around[-1] in b[1]}
-        safe |= {hashes[n] for n in held if tags[n] in CONTENT}
-        safe |= {hashes[n] for b in body for n in b[1] if CONTENT.intersection(tags[m] for m in b[1][len(around) : b[1].index(n)])}
-        inside = {hashes[n] for n in held}
-    own = {hashes[n] for b in blocks for n in b[1] if hashes[n] is not None} - safe
+    whole = core = _digest([b[0] for b in main or kept])
+    n, total = len(hashes), sum(len(b[0]) for b in kept)
+    size, filled, used = [0] * n, [False] * n, [False] * n
+    for text, at, refused, _ in blocks:
+        if at >= 0:
+            used[at] = True
+            if not refused:
+                size[at] += len(text)
+                filled[at] = True
+    for i in range(n - 1, -1, -1):  # a container comes after the ones around it
+        if (above := outer[i]) >= 0:
+            size[above] += size[i]
+            filled[above] |= filled[i]
+            used[above] |= used[i]
+    body = -1 if main else max((i for i in range(n) if 2 * size[i] > total and hashes[i] is not None), default=-1)
+    safe, inside = set(), set()
+    if body >= 0:
+        at = body
+        while at >= 0:
+            inside.add(hashes[at])
+            safe.add(hashes[at])
+            at = outer[at]
+        below, content = [False] * n, [False] * n
+        for i in range(body + 1, n):
+            above = outer[i]
+            below[i] = above >= 0 and (above == body or below[above])
+            if below[i] and used[i]:
+                content[i] = above != body and (content[above] or tags[above] in CONTENT)
+                inside.add(hashes[i])
+                if tags[i] in CONTENT or content[i] and filled[i]:
+                    safe.add(hashes[i])
+        core = _digest([b[0] for b in kept if b[1] == body or b[1] >= 0 and below[b[1]]])
+    own = {hashes[i] for i in range(n) if used[i] and hashes[i] is not None} - safe
     outside = sorted(own - inside)
     return outside + sorted(own & inside), len(outside), whole, core
 
@@ -229,16 +261,18 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
     row has a result of its own; other columns are ignored.
     """
 
+    import zstandard
+
     def read(batch: pa.RecordBatch) -> pa.RecordBatch:
         hosts, blobs, found, parts = [], [], [], []
         pack = zstandard.ZstdCompressor(level=12).compress
         for own_url, own_html in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            blocks, hashes, tags = parse(own_html or "")
-            own, *part = page_parts(blocks, hashes, tags)
+            blocks, hashes, tags, outer = parse(own_html or "")
+            own, *part = page_parts(blocks, hashes, tags, outer)
             place = {h: i for i, h in enumerate(own)}
             # Containers by their place in the page's list of hashes; a refused block is only counted, so its text stays here.
-            named = [("" if refused else text, [place[hashes[n]] for n in numbers if hashes[n] in place], int(refused), int(main))
-                     for text, numbers, refused, main in blocks]
+            named = [[(above, place.get(h, -1)) for above, h in zip(outer, hashes)],
+                     [("" if refused else text, at, int(refused), int(main)) for text, at, refused, main in blocks]]
             hosts.append(host_of(own_url))
             blobs.append(pack(json.dumps(named, ensure_ascii=False, separators=(",", ":")).encode("utf-8", "surrogatepass")))
             found.append(own)
@@ -267,8 +301,11 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
         unpack = zstandard.ZstdDecompressor().decompress
         texts, template_blocks = [], []
         for blob, own in zip(batch.column(2), batch.column(3)):
-            blocks, away = json.loads(unpack(blob.as_py()).decode("utf-8", "surrogatepass")), set(own.as_py() or ())
-            left = [b for b in blocks if not away.intersection(b[1])]
+            (containers, blocks), places = json.loads(unpack(blob.as_py()).decode("utf-8", "surrogatepass")), set(own.as_py() or ())
+            away = []
+            for above, place in containers:
+                away.append(place in places or above >= 0 and away[above])
+            left = [b for b in blocks if b[1] < 0 or not away[b[1]]]
             template_blocks.append(len(blocks) - len(left))
             only_main = any(b[3] and not b[2] for b in left)
             texts.append("\n".join(b[0] for b in left if not b[2] and (b[3] or not only_main)))

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from diagarc.llm.common import map_batches, slices, table
 
@@ -243,7 +244,7 @@ def label_documents(docs: DataFrame, model) -> DataFrame:
     ``und`` and 0 for a null text, one without letters, and for all rows if nothing could be learned.
     """
     held, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
-    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    names = [c for c in docs.columns if c not in ("lang_pred", "score")]  # callers with such columns hand them over in a struct
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         if key not in _labellers:
@@ -253,9 +254,8 @@ def label_documents(docs: DataFrame, model) -> DataFrame:
         columns = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
         return pa.RecordBatch.from_arrays([*batch.columns, *columns], [*names, "lang_pred", "score"])
 
-    rows = docs.select(*names)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", lang_pred string, score double"
-    return map_batches(rows, run, schema)
+    rows = docs.select(*[F.col(f"`{c}`") for c in names])
+    return map_batches(rows, run, T.StructType([*rows.schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 
 def op4_language_id(spark, directory):

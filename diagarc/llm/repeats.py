@@ -237,11 +237,11 @@ p as (select doc_id, coalesce(lag(b) over (partition by doc_id order by a), 0) a
 k as (select p.doc_id, string_agg(substr(h, 2 * x + 1, 2 * (y - x)), '' order by x) as kept from p join t on t.doc_id = p.doc_id group by p.doc_id),
 n as (select doc_id, count(*) as spans from s group by doc_id)
 select t.doc_id, (length(h) // 2)::bigint as n_bytes, ((length(h) - length(kept)) // 2)::bigint as n_removed,
-  coalesce(spans, 0)::bigint as n_spans, sha256(unhex(kept)) as kept_sha256
+  coalesce(spans, 0)::bigint as n_spans, sha256(unhex(kept)) as kept_sha256, coalesce(spans, 0) > 0 as has_repeat
 from t join k on k.doc_id = t.doc_id left join n on n.doc_id = t.doc_id"""
 
 
 def op8_remove_repeats(spark, directory):
     kept = without_repeats(table(spark, directory, "documents"))
     return kept.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
-                       F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+                       F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), (F.size("removed") > 0).alias("has_repeat"))

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from diagarc.llm.common import map_batches, table
 
@@ -285,21 +286,37 @@ def scan(docs: DataFrame, network: Network) -> DataFrame:
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists, pa.list_(struct))], [*names, "findings"])
 
     rows = docs.select(*names)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return map_batches(rows, run, schema + ", findings array<struct<kind:int,begin:bigint,end:bigint>>")
+    findings = T.ArrayType(T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())]))
+    return map_batches(rows, run, T.StructType([*rows.schema, T.StructField("findings", findings)]))
 
 
 def redacted(docs: DataFrame, network: Network, mark: str = "[secret]") -> DataFrame:
-    """``docs`` with every finding's text replaced by ``mark`` (overlapping findings by one), and n_chars renewed if present."""
-    found = scan(docs, network)
-    gaps = F.expr(
-        """aggregate(findings, named_struct('out', '', 'at', 0L), (acc, f) -> if(f.end <= acc.at, acc, named_struct(
-        'out', concat(acc.out, if(f.begin < acc.at, '', concat(substr(text, cast(acc.at + 1 as int), cast(f.begin - acc.at as int)), '%s'))),
-        'at', f.end)), acc -> concat(acc.out, substr(text, cast(acc.at + 1 as int))))""" % mark)
-    out = found.withColumn("text", F.when(F.size("findings") > 0, gaps).otherwise(F.col("text")))
+    """``docs`` with every finding's text replaced by ``mark`` (overlapping findings by one), and n_chars renewed if present.
+
+    All other columns, of whatever name, stay as they are.
+    """
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    found = scan(own, network)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = []
+        for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            if spans:
+                at, parts = 0, []
+                for span in spans:
+                    if span["end"] > at:
+                        parts += [] if span["begin"] < at else [text[at : span["begin"]], mark]
+                        at = span["end"]
+                text = "".join([*parts, text[at:]])
+            texts.append(text)
+        changed = [bool(spans) for spans in batch.column(2).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(changed, pa.bool_())], ["row", "text", "changed"])
+
+    out = map_batches(found.select("row", "text", "findings"), run, T.StructType([*own.schema, T.StructField("changed", T.BooleanType())]))
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("findings") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.when(F.col("changed"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+    return out.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def op3_secrets(spark, directory):

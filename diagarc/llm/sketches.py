@@ -1,9 +1,11 @@
 """Document fingerprints: threshold-scaled sketches of character shingles.
 
-A sketch keeps every shingle hash below a fixed fraction of the hash range (and the smallest one,
-so that no text is without). Sizes follow the text, the same shingle is kept everywhere or
-nowhere, and the union of two sketches is the sketch of both: containment between a paragraph
-and a book can be read off directly.
+A sketch keeps every shingle hash below a fixed fraction of the hash range; a text of few different
+shingles keeps them all, and says so. Sizes follow the text, at one fraction the same shingle is
+kept everywhere or nowhere, and the sketch of two texts together comes from theirs: containment
+between a paragraph and a book can be read off directly. Two sketches are compared at the lower of
+their fractions; where a short text is too few hashes for that and the long text is at hand, as in
+the query, that one's hashes are made anew at the short one's fraction.
 
 The query compares each document with the next one by id. Ids are cut into ranges by quantiles,
 texts are moved once by range, the first document of each range is also sent to the range before,
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_right
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -25,6 +28,8 @@ from diagarc.llm.common import map_batches, table
 
 SHINGLE = 12
 FRACTION = 1 / 32
+#: A text of so many different shingles at most keeps them all.
+FEW = 256
 _R = np.uint64(0x9E3779B97F4A7C15)
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -53,43 +58,80 @@ def window_hashes(codes: np.ndarray, width: int) -> np.ndarray:
     return _mixed((sums[width:] - sums[:-width]) * down[: len(codes) - width + 1])
 
 
-def sketch(text: str, width: int = SHINGLE, fraction: float = FRACTION) -> np.ndarray:
-    """Sorted distinct shingle hashes below the fraction, and the smallest; a shorter text is one shingle; empty: none."""
+class Sketch(NamedTuple):
+    """Sorted distinct shingle hashes: all of them, or those below the fraction."""
+
+    hashes: np.ndarray
+    whole: bool
+
+
+def shingles(text: str, width: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct shingle hashes; a shorter text is one shingle; empty: none."""
     codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
-    if not len(codes):
-        return np.zeros(0, np.uint64)
-    hashes = window_hashes(codes, min(width, len(codes)))
-    return np.unique(np.append(hashes[hashes < np.uint64(int(fraction * 2**64))], hashes.min()))
+    return np.unique(window_hashes(codes, min(width, len(codes)))) if len(codes) else np.zeros(0, np.uint64)
+
+
+def _below(hashes: np.ndarray, fraction: float) -> np.ndarray:
+    return hashes[: np.searchsorted(hashes, np.uint64(int(fraction * 2**64)))]
+
+
+def sketch(text: str, width: int = SHINGLE, fraction: float = FRACTION, few: int = FEW) -> Sketch:
+    own = shingles(text, width)
+    return Sketch(own, True) if len(own) <= few else Sketch(_below(own, fraction), False)
 
 
-def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The sketch of both texts together."""
-    return np.union1d(a, b)
+def merged(a: Sketch, b: Sketch, fraction: float = FRACTION, few: int = FEW) -> Sketch:
+    """The sketch of all shingles of both, as if they had been one text."""
+    both = np.union1d(a.hashes, b.hashes)
+    if a.whole and b.whole and len(both) <= few:
+        return Sketch(both, True)
+    return Sketch(_below(both, fraction), False)
 
 
-def containment(a: np.ndarray, b: np.ndarray) -> float:
-    """Share of the smaller sketch that is in the other; two empty texts are alike, an empty and another are not."""
+def _share(a: np.ndarray, b: np.ndarray) -> float:
     if not len(a) or not len(b):
         return float(len(a) == len(b))
     return len(np.intersect1d(a, b, assume_unique=True)) / min(len(a), len(b))
 
 
+def containment(a: Sketch, b: Sketch, fraction: float = FRACTION) -> float | None:
+    """Share of the smaller sketch that is in the other, at the fraction of both.
+
+    Two empty texts are alike, an empty and another are not. None where one text keeps all
+    its hashes, the other does not, and none of the former's are below the fraction: then the sketches cannot tell.
+    """
+    if a.whole == b.whole:
+        return _share(a.hashes, b.hashes)
+    short, long = (a, b) if a.whole else (b, a)
+    if not len(short.hashes):
+        return 0.0
+    own = _below(short.hashes, fraction)
+    return _share(own, long.hashes) if len(own) else None
+
+
+def likeness(text: str, a: Sketch, other: str, b: Sketch, width: int = SHINGLE) -> float:
+    """Containment where both texts are at hand: at fraction 1 if either keeps all its hashes."""
+    if a.whole == b.whole:
+        return _share(a.hashes, b.hashes)
+    return _share(a.hashes if a.whole else shingles(text, width), b.hashes if b.whole else shingles(other, width))
+
+
 def digest(hashes: np.ndarray) -> str:
     """Fixed-width hexadecimal of each hash's upper 48 bits, in order."""
     return (hashes >> np.uint64(16)).astype(">u8").view("u1").reshape(-1, 8)[:, 2:].tobytes().hex()
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE, fraction: float = FRACTION) -> DataFrame:
-    """doc_id, n_chars, hashes (bigint array) of every row; null text counts as empty. No shuffle."""
+    """doc_id, n_chars, hashes (bigint array), whole (all hashes are kept) of every row; null text counts as empty. No shuffle."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [t or "" for t in batch.column(1).to_pylist()]
-        hashes = [sketch(t, width, fraction).view(np.int64) for t in texts]
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(map(len, texts), pa.int64()), pa.array(hashes, pa.list_(pa.int64()))], ["doc_id", "n_chars", "hashes"])
+        own = [sketch(t, width, fraction) for t in texts]
+        columns = [pa.array(map(len, texts), pa.int64()), pa.array([k.hashes.view(np.int64) for k in own], pa.list_(pa.int64())), pa.array([k.whole for k in own], pa.bool_())]
+        return pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_chars", "hashes", "whole"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return map_batches(docs.select(doc_id, text), run, f"doc_id {kind}, n_chars bigint, hashes array<bigint>")
+    return map_batches(docs.select(doc_id, text), run, f"doc_id {kind}, n_chars bigint, hashes array<bigint>, whole boolean")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -139,8 +181,8 @@ def edited_and_next(docs: DataFrame, width: int = SHINGLE, fraction: float = FRA
             n = len(last[2])
             edited = last[2][: n - n // 2] + text[: n // 2]
             changed = sketch(edited, width, fraction)
-            out.append((last[1], n, hashlib.sha256(edited.encode()).hexdigest(), digest(last[3]), digest(changed),
-                        containment(last[3], changed), containment(last[3], own)))
+            out.append((last[1], n, hashlib.sha256(edited.encode()).hexdigest(), digest(last[3].hashes), digest(changed.hashes),
+                        likeness(last[2], last[3], edited, changed, width), likeness(last[2], last[3], text, own, width)))
 
         def flush():
             rows = [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2))]

@@ -4,6 +4,7 @@ import collections
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 
@@ -96,3 +97,19 @@ def test_run_and_empty_table(spark, tmp_path):
     assert corpus_pipeline.run(spark, SMALL).count() > 0
     spark.read.parquet(f"{SMALL}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+CLASHES = ("row", "id", "hash", "text_hash", "score", "lang_pred", "findings", "changed", "copies", "copy", "times", "head", "head_hash", "taken", "size", "_id", "_rows", "_hash", "_copies", "has space", "a.b")
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Values of further columns come through every stage as they are."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    before = {r.doc_id: r.text for r in docs.collect()}
+    for i, name in enumerate(CLASHES):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{i}:"), F.col("doc_id").cast("string")))
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[c] == f"{i}:{r['doc_id']}" for r in rows for i, c in enumerate(CLASHES)) and {r["doc_id"] for r in rows} <= before.keys()

@@ -72,6 +72,17 @@ def test_template_goes(spark):
     assert html_main.main_text(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize("unit", ["<div>t", "<b>t", "<ul><li>t", "<div><p>t</b>", "<table><tr><td>t", "<section><article>t", "<div>t</i></b>", "<p><b>t", "<dl><dt>t<dd>u"])
+def test_deep_nesting_takes_linear_time(unit):
+    """50,000 open elements and more."""
+    import time
+
+    begin = time.monotonic()
+    blocks, hashes, tags, outer = html_main.parse(unit * 50_000)
+    html_main.page_parts(blocks, hashes, tags, outer)
+    assert time.monotonic() - begin < 30 and sum(b[0].count("t") for b in blocks) == 50_000
+
+
 def main_texts(spark, pages):
     return {r.page_id: r.text for r in html_main.main_text(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
 
@@ -254,14 +265,41 @@ def test_edited_texts(odd, documents):
 def test_sketches_merge_and_contain():
     rng = random.Random(1)
     book = "".join(rng.choice("abcdefgh ") for _ in range(60_000))
-    part, other = book[10_000:16_000], "".join(rng.choice("ijklmno ") for _ in range(6000))
+    part, other, line = book[10_000:16_000], "".join(rng.choice("ijklmno ") for _ in range(6000)), book[20_000:20_200]
     whole = sketches.sketch(book)
     assert sketches.containment(sketches.sketch(part), whole) > 0.98 and sketches.containment(sketches.sketch(other), whole) < 0.02
-    assert set(sketches.sketch(part)) | set(sketches.sketch(other)) == set(sketches.merged(sketches.sketch(part), sketches.sketch(other)))
+    # Merged sketches are those of the shingles of both, with few or many of them.
+    for a, b in ((part, other), (line, other), (line, book[20_100:20_300]), (line, line), ("", line), (line, book[30_000:30_200])):
+        both, got = np.union1d(sketches.shingles(a), sketches.shingles(b)), sketches.merged(sketches.sketch(a), sketches.sketch(b))
+        assert got.whole == (len(both) <= sketches.FEW) and set(got.hashes) == set(both if got.whole else both[both < np.uint64(2**64 // 32)])
     half = sketches.sketch(book[:30_000] + "".join(rng.choice("pqrstuv ") for _ in range(30_000)))
     assert abs(sketches.containment(half, whole) - 0.5) < 0.05
 
 
+def test_short_texts_in_long_ones():
+    """A line in the book that holds it, and one of which half is in it."""
+    rng = random.Random(4)
+    book = "".join(rng.choice("abcdefgh ") for _ in range(60_000))
+    for n in (13, 40, 200):
+        line = book[30_000 : 30_000 + n]
+        near = lambda text: sketches.likeness(text, sketches.sketch(text), book, sketches.sketch(book))
+        assert near(line) == 1.0 and near("".join(rng.choice("xyz") for _ in range(n))) == 0.0
+        found = sketches.containment(sketches.sketch(line), sketches.sketch(book))
+        assert found is None or found == 1.0
+    half = book[1000:1100] + "".join(rng.choice("xyz") for _ in range(100))
+    assert abs(sketches.likeness(half, sketches.sketch(half), book, sketches.sketch(book)) - 0.47) < 0.03
+
+
+def test_near_against_all_shingles(documents):
+    """What the query estimates lies near the share of all shingles, and equals it for short texts."""
+    rows = sorted((d, t or "") for d, t in pairs(documents))
+    got = {r.doc_id: r for r in sketches.edited_and_next(documents).collect()}
+    for i, (d, text) in enumerate(rows):
+        a, b = sketches.shingles(text), sketches.shingles(rows[(i + 1) % len(rows)][1])
+        want = len(np.intersect1d(a, b)) / min(len(a), len(b)) if len(a) and len(b) else float(len(a) == len(b))
+        assert abs(got[d].near_next - want) < (1e-9 if min(len(a), len(b)) <= sketches.FEW else 0.35)
+
+
 # Packing.
 
 
