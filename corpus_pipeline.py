@@ -15,10 +15,16 @@ LEAST_SCORE = 0.4
 WIDTH, LEAST = 5, 80
 
 
+def _rows(docs):
+    """row (all columns), id, text and hash of the text; a column of the documents may have any name."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(row, F.col("doc_id").alias("id"), "text", F.xxhash64("text").alias("hash"))
+
+
 def by_language(spark, docs, sf_dir):
     """Documents without letters go, and those in which no language has LEAST_SCORE of the words."""
-    labelled = langid.label_documents(docs, langid.fit(docs))
-    return labelled.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    labelled = langid.label_documents(_rows(docs).select("row", "text"), langid.fit(docs))
+    return labelled.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("row.*")
 
 
 def one_of_each_group(spark, docs, sf_dir):
@@ -29,14 +35,14 @@ def one_of_each_group(spark, docs, sf_dir):
     """
     groups = jaccard.alike_groups(docs, width=WIDTH, least=LEAST)
     heads = groups.filter("n_shingles > 0 and doc_id <=> component_id")
-    heads = heads.groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_rows"))
-    heads = heads.groupBy("component").agg(F.min(F.struct("text_hash", "doc_id", "_rows")).alias("one"))
-    heads = heads.select(F.col("one.doc_id").alias("_id"), "one.text_hash", "one._rows")
-    wordless = groups.filter("n_shingles = 0").select(F.col("doc_id").alias("_id"), "text_hash").distinct()
-    wanted = heads.unionByName(wordless.withColumn("_rows", F.lit(1).cast("bigint")))
-    kept = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("text_hash")))
-    single, several = kept.filter("_rows = 1"), kept.filter("_rows > 1").dropDuplicates(["_id", "text_hash"])
-    return single.unionByName(several).select(*docs.columns)
+    heads = heads.groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("times"))
+    heads = heads.groupBy("component").agg(F.min(F.struct("text_hash", "doc_id", "times")).alias("one"))
+    heads = heads.select(F.col("one.doc_id").alias("head"), F.col("one.text_hash").alias("head_hash"), "one.times")
+    wordless = groups.filter("n_shingles = 0").select(F.col("doc_id").alias("head"), F.col("text_hash").alias("head_hash")).distinct()
+    wanted = heads.unionByName(wordless.withColumn("times", F.lit(1).cast("bigint")))
+    kept = _rows(docs).join(wanted, F.col("id").eqNullSafe(F.col("head")) & (F.col("hash") == F.col("head_hash")))
+    single, several = kept.filter("times = 1"), kept.filter("times > 1").dropDuplicates(["head", "head_hash"])
+    return single.unionByName(several).select("row.*")
 
 
 def without_secrets(spark, docs, sf_dir):
@@ -46,11 +52,11 @@ def without_secrets(spark, docs, sf_dir):
 
 def to_mix(spark, docs, sf_dir):
     """As many copies of each document as the mix takes of it, to the nearest whole copy; none where it takes less than half or the document has no words."""
-    taken = mixing.mix(docs).groupBy("doc_id", "text_hash").agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
-    copies = taken.withColumn("_copies", F.round(F.try_divide("_taken", "_size")).cast("int")).filter("_copies > 0")
-    copies = copies.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_copies")
-    met = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")))
-    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    taken = mixing.mix(docs).groupBy("doc_id", "text_hash").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
+    copies = taken.withColumn("copies", F.round(F.try_divide("taken", "size")).cast("int")).filter("copies > 0")
+    copies = copies.select("doc_id", "text_hash", "copies")
+    met = _rows(docs).join(copies, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash")))
+    return met.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def to_sequences(spark, docs, sf_dir):
