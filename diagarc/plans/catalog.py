@@ -21,9 +21,11 @@ from diagarc.operators.routing import route_docs
 from diagarc.plans.capture import capture, capture_events, capture_user_activity, event_document, event_rows
 from diagarc.plans.shared import run_dir
 from diagarc.sources import archives
+from diagarc.sources.datasource import register
 from diagarc.sources.writer import pack_metadata, write_archives
 from diagarc.streaming.archives import start_table_sink, stream_archives
 
+SPLIT_SINCE = 1704844800000  # 2024-01-10
 DOCS_PER_FILE, SAMPLES_PER_DOC = 2, 100  # small, so that a day has several files
 
 
@@ -264,6 +266,25 @@ def file_samples(spark, d):
     return rows.select(*_day_and_file(), "doc_no", "key_no", "name", "sample_no", "ts_ms", "value")
 
 
+def split_archive_samples(spark, d):
+    """Files cut into small ranges; type and time are filters that the source takes over."""
+    register(spark)
+    docs = spark.read.format("diagarc").option("splitBytes", 4096).load(_archive_dir(spark, d))
+    docs = docs.filter((F.col("doc_type") == archives.METRIC) & (F.col("id_ms") >= SPLIT_SINCE))
+    rows = samples(decode_chunks(docs), with_ts=False)
+    return rows.select(*_day_and_file(), "key_no", "name", "sample_no", "ts_ms", "value")
+
+
+def growing_archive_samples(spark, d):
+    """The same files as a stream by bytes, in batches of bounded size, into a table."""
+    register(spark)
+    table, checkpoint = run_dir(spark, "table"), run_dir(spark, "stream")
+    docs = spark.readStream.format("diagarc").option("splitBytes", 65536).load(_archive_dir(spark, d))
+    start_table_sink(docs, table, checkpoint).awaitTermination()
+    rows = spark.read.parquet(table)
+    return rows.select(*_day_and_file(), "key_no", "name", "sample_no", "ts_ms", "value")
+
+
 def archive_file_time(spark, d):
     start, number = archives.archive_file_time("path")
     files = archives.list_archives(spark, _archive_dir(spark, d) + "/*", since="2024-01-10 00:00:00")
@@ -535,7 +556,7 @@ QUERIES = {
         decode_chunk_heads, decoded_keys, expand_zero_runs, stream_complete, delta_decode, densify, time_axis,
         series_rows, series_of_samples, samples_of_series, flatten_struct_keys, flatten_array_keys, clean_key_names,
         to_i64, split_timestamps, delta_encode, zero_run_encode, varint_size, chunk_boundaries, read_archives,
-        file_samples, archive_file_time, first_metric_docs, metric_docs, doc_outline, doc_types, route_docs_by_kind,
+        file_samples, split_archive_samples, growing_archive_samples, archive_file_time, first_metric_docs, metric_docs, doc_outline, doc_types, route_docs_by_kind,
         decode_error_classes, damaged_import, stream_archive_samples, parse_labels, with_labels, write_request_rows,
         requests_of_series, remote_write_receipts, write_samples, write_series, delete_series, delete_labelled_series, reimport,
         import_summary, check_totals, metric_examples, metric_names, import_progress, type_distribution, axis_audit,

@@ -199,6 +199,10 @@ ORACLES = {
         union all select 'n_errors', count(*)::bigint from x where class is not null
         union all select 'stored ' || f.name, count(*)::bigint from x cross join f where class is null group by f.name
         union all select class, count(*)::bigint from x where class is not null group by class""",
+    "split_archive_samples": f"""{_F}, first as (select path as p, doc_no as n, min(ts_ms) as first_ms from s group by all)
+      select path as day, {_FILE} as file_no, key_no, name, sample_no, ts_ms, value from s join first on p = path and n = doc_no
+      where first_ms >= 1704844800000""",
+    "growing_archive_samples": f"{_F} select path as day, {_FILE} as file_no, key_no, name, sample_no, ts_ms, value from s",
     "stream_archive_samples": f"{_F} select {_DAY_FILE}, key_no, name, sample_no, ts_ms, value, path as date from s",
     "parse_labels": f"""with raw as (
         select unnest([' ' || event_type || ' =' || chr(9) || props, event_type || '=a=b=', props, ' = ' || props, event_type || '='])
