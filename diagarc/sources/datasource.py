@@ -20,6 +20,7 @@ only), ``since`` and ``until`` (file name times, as in ``read_archives``), ``max
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 from collections.abc import Iterator
@@ -47,7 +48,14 @@ _SCHEMA = pa.schema([("path", pa.string()), ("doc_no", pa.int64()), ("byte_offse
 
 
 def register(spark: SparkSession) -> None:
-    """Make ``format("diagarc")`` known to the session and let Spark hand it filters."""
+    """Make ``format("diagarc")`` known to the session and let Spark hand it filters.
+
+    The driver's process that plans a stream gets no shipped packages, only the context's environment,
+    so this package's folder is put on its path there.
+    """
+    root, environment = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), spark.sparkContext.environment
+    if root not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), root]))
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(ArchiveSource)
 
