@@ -91,7 +91,8 @@ def part_keys(own: np.ndarray, least: int = LEAST) -> np.ndarray:
         keys.append(_mixed(np.add.reduceat(mixed, first) ^ _mixed(part[first] + salt)))
         if len(first) <= differ:
             keys.append(_mixed(np.setdiff1d(np.arange(parts, dtype=np.uint64), part[first]) + salt + np.uint64(1 << 39)))
-    return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+    # Six bytes tell candidates apart well enough.
+    return np.concatenate(keys) & np.uint64(2**48 - 1) if keys else np.zeros(0, np.uint64)
 
 
 def _digest(hashes: np.ndarray) -> bytes:
@@ -116,8 +117,9 @@ def _sets(docs: DataFrame, width: int, least: int) -> DataFrame:
 def _candidate_groups(sets: DataFrame) -> DataFrame:
     """(node, label) of nodes that share a key, directly or over others."""
     nodes = sets.groupBy("set").agg(F.min("sid").alias("node"), F.any_value("keys").alias("keys"))
-    # One shuffle by key serves both the hubs and those who meet there.
-    have = nodes.select("node", F.explode("keys").alias("key")).repartition("key")
+    # One shuffle by key serves both the hubs and those who meet there; Spark sees that it is the same
+    # since what a join would filter is filtered before.
+    have = nodes.select("node", F.explode("keys").alias("key")).filter("key is not null and node is not null").repartition("key")
     hubs = have.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("other")).filter("v < other")
     edges = have.join(hubs.select("key", "v"), "key").filter("node <> v").select(F.col("node").alias("u"), "v").distinct()
     return components(staged(edges, "hubs"))
