@@ -17,6 +17,7 @@ from diagarc.operators import store
 from diagarc.operators.decode import chunk_keys, chunk_tokens, change_points, decode_chunks, samples, series, value_changes
 from diagarc.operators.delivery import chunk_payloads, remote_write, requests_of, write_requests
 from diagarc.operators.flatten import explode_fields, flatten_struct, split_timestamp
+from diagarc.operators.rollup import rollup
 from diagarc.operators.routing import route_docs
 from diagarc.plans.capture import capture, capture_events, capture_user_activity, event_document, event_rows
 from diagarc.plans.shared import run_dir
@@ -26,6 +27,7 @@ from diagarc.sources.writer import pack_metadata, write_archives
 from diagarc.streaming.archives import start_table_sink, stream_archives
 
 SPLIT_SINCE = 1704844800000  # 2024-01-10
+HOUR_MS, ODD_WINDOW_MS = 3600000, 6000000  # the second cuts runs between their samples
 DOCS_PER_FILE, SAMPLES_PER_DOC = 2, 100  # small, so that a day has several files
 
 
@@ -80,6 +82,16 @@ def sparse_summary(spark, d):
     )
 
 
+def rollup_hours(spark, d):
+    """Time-weighted hourly means, extremes and last values of every counter."""
+    return rollup(_chunks(spark, d), HOUR_MS)
+
+
+def rollup_wide(spark, d):
+    """Hourly counters in windows of 100 minutes, whose borders fall between samples."""
+    return rollup(decode_chunks(capture_user_activity(_table(spark, d, "events"))), ODD_WINDOW_MS)
+
+
 def schema_change_samples(spark, d):
     """Documents without ``k`` for errors: a chunk ends wherever the shape changes."""
     rows = event_rows(_table(spark, d, "events"))
@@ -552,7 +564,7 @@ def metadata_history(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        archive_samples, archive_daily_avg, named_samples, wide_samples, sparse_summary, schema_change_samples, varint_tokens,
+        archive_samples, archive_daily_avg, named_samples, wide_samples, sparse_summary, rollup_hours, rollup_wide, schema_change_samples, varint_tokens,
         decode_chunk_heads, decoded_keys, expand_zero_runs, stream_complete, delta_decode, densify, time_axis,
         series_rows, series_of_samples, samples_of_series, flatten_struct_keys, flatten_array_keys, clean_key_names,
         to_i64, split_timestamps, delta_encode, zero_run_encode, varint_size, chunk_boundaries, read_archives,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from diagarc.functions.scalar import I64_MAX, I64_MIN, REPLACED, SEPARATOR, WHITE_SPACE
 from diagarc.operators.labels import SOURCE_LABEL
-from diagarc.plans.catalog import AS_OF_MS, DOCS_PER_FILE, SAMPLES_PER_DOC
+from diagarc.plans.catalog import AS_OF_MS, DOCS_PER_FILE, HOUR_MS, ODD_WINDOW_MS, SAMPLES_PER_DOC
 
 _SOURCE = SOURCE_LABEL[1]
 # Bytes of a base-128 number.
@@ -102,6 +102,22 @@ _REQUESTS = f"""{_E} select path, doc_no, key_no, '__name__=' || name || ',sourc
 _DAY_FILE = f"path as day, {_FILE} as file_no, doc_no % {DOCS_PER_FILE} as doc_no"
 _LABELLED = f"case when event_type = 'error' then 'other' else '{_SOURCE}' end"
 
+
+def _rollup(samples, width):
+    """Windows over dense samples ``samples`` (path, doc_no, name, sample_no, ts_ms, value): each holds until the next."""
+    return f"""
+    ho as (select *, lead(ts_ms) over (partition by path, doc_no, name order by sample_no) as next_ms from {samples}),
+    pa as (select *, unnest(range((ts_ms // {width}) * {width},
+        greatest(ts_ms, coalesce(next_ms - 1, ts_ms)) + 1, {width})) as window_ms from ho),
+    qa as (select *, greatest(ts_ms, window_ms) as from_ms,
+        greatest(ts_ms, window_ms, least(coalesce(next_ms, ts_ms), window_ms + {width})) as to_ms from pa)
+    select path, name, window_ms, sum(to_ms - from_ms)::bigint as held_ms,
+      sum(value::hugeint * (to_ms - from_ms))::double / nullif(sum(to_ms - from_ms), 0)::double as mean_value,
+      min(value)::bigint as min_value, max(value)::bigint as max_value,
+      last(value order by to_ms, doc_no, sample_no)::bigint as last_value
+    from qa group by path, name, window_ms"""
+
+
 ORACLES = {
     "archive_samples": _SAMPLES,
     "archive_daily_avg": f"{_E} select path, name, count(*)::bigint as n, avg(value) as avg_value from s group by path, name",
@@ -113,6 +129,9 @@ ORACLES = {
     "sparse_summary": f"""{_E} select path, doc_no, name, sum(value)::bigint as sum_value, count(*)::bigint as n,
         min(value) as min_value, max(value) as max_value, count(*) filter (where delta is null or delta <> 0)::bigint as n_runs
         from g group by path, doc_no, name""",
+    "rollup_hours": f"{_E}, {_rollup('s', HOUR_MS)}",
+    "rollup_wide": f"""{_WIDE}, v as (select path, doc_no, name, slot as sample_no,
+        ((doc_no * 300 + slot) * 3600000)::bigint as ts_ms, value from w), {_rollup('v', ODD_WINDOW_MS)}""",
     "schema_change_samples": f"""{_E},
         x as (select *, event_type = 'error' as bare from e),
         y as (select *, bare is distinct from lag(bare) over (partition by path order by ms, event_id) as new from x),
