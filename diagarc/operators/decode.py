@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from diagarc.errors import apply_mode
 from diagarc.functions.scalar import ms_to_ts
+from diagarc.plans.shared import qualified
 from diagarc.sources import wire
 from diagarc.sources.archives import metric_docs
+from diagarc.sources.side_files import put_once
 
 AXIS_NAME = "start"  # fixed value: the series that is the time axis
 
@@ -37,6 +39,7 @@ _HEAD_FIELDS = [
     ("n_deltas", pa.int64()), ("n_keys_found", pa.int64()), ("declared_bytes", pa.int64()),
     ("inflated_bytes", pa.int64()), ("error", pa.string()),
 ]
+_ERROR_FIELDS = [("path", pa.string()), ("doc_no", pa.int64()), ("error_class", pa.string()), ("error", pa.string())]
 _FLUSH_BYTES = 8 << 20
 
 
@@ -96,7 +99,15 @@ def _running_values(cell, delta, bases, n_deltas):
     return points, at, total + np.repeat(bases - total[first], points)
 
 
-def _decode_batches(want, names, spec_bases, validate):
+def _put_errors(target, heads):
+    """The bad rows among ``heads``, written beside the output of the task."""
+    bad = [(path, doc_no, error.split(":", 1)[0], error) for path, doc_no, *_, error in heads if error is not None]
+    if bad:
+        put_once(target, pa.Table.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*bad), _ERROR_FIELDS)],
+                                              names=[n for n, _ in _ERROR_FIELDS]))
+
+
+def _decode_batches(want, names, spec_bases, validate, errors_to=None):
     wanted = frozenset(names) if names is not None else None
 
     def chunk(body, keys):
@@ -134,6 +145,8 @@ def _decode_batches(want, names, spec_bases, validate):
         return (id_ms, n_keys, n_deltas, n_found, declared, inflated, None), axis
 
     def flush(heads, axes, keys):
+        if errors_to is not None:
+            _put_errors(errors_to, heads)
         cols = [pa.array(c, t) for c, (_, t) in zip(zip(*heads), _HEAD_FIELDS)]
         cols += [pa.array(axes, pa.list_(pa.int64())), keys.arrow()]
         return pa.RecordBatch.from_arrays(cols, names=[f[0] for f in _HEAD_FIELDS] + ["axis", "keys"])
@@ -170,18 +183,22 @@ def _docs_with_body(docs: DataFrame) -> DataFrame:
     return docs.select("path", "doc_no", "body", "error")
 
 
-def decode_chunks(docs: DataFrame, want="values", names=None, spec_bases=False, validate=True, mode="failfast"):
+def decode_chunks(docs: DataFrame, want="values", names=None, spec_bases=False, validate=True, mode="failfast",
+                  errors_to: str | None = None):
     """One nested row per metric document.
 
     ``docs`` is any table with ``path``, ``doc_no`` and ``body``. ``want`` limits what
     leaves the byte stage, since Catalyst cannot prune it: ``"keys"`` (no points),
     ``"deltas"`` (changes as stored) or ``"values"`` (changes as running values,
     and the time axis). ``names`` keeps only those metrics. With ``validate`` the
-    token stream is checked even where only keys are wanted.
+    token stream is checked even where only keys are wanted. ``errors_to`` is a folder in which the
+    tasks list bad rows (path, doc_no, error_class, error) as they meet them, each once however often a task
+    runs; what a failed job listed stays.
     """
     if want not in ("keys", "deltas", "values"):
         raise ValueError(f"want: {want!r}")
-    run = _decode_batches(want, list(names) if names is not None else None, spec_bases, validate)
+    target = None if errors_to is None else qualified(docs.sparkSession, errors_to)
+    run = _decode_batches(want, list(names) if names is not None else None, spec_bases, validate, target)
     return apply_mode(_docs_with_body(docs).mapInArrow(run, CHUNK_ROWS), mode)
 
 
