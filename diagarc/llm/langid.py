@@ -14,6 +14,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +25,7 @@ BITS = 18
 GRAMS = (2, 3, 4)
 #: The bound of the training sample: documents, and words of each (a run at a hashed place).
 SAMPLE_DOCS, SAMPLE_WORDS = 3000, 60
-_CACHE_WORDS, _WORDS_AT_ONCE = 300_000, 8192
+_CACHE_WORDS, _WORDS_AT_ONCE, _CHARS_AT_ONCE = 300_000, 8192, 1 << 20
 _START, _END = 0x110000, 0x110001
 
 
@@ -189,9 +190,11 @@ class Labeller:
         self.table = np.concatenate([self.table, *fresh_rows])
 
     def label(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        out: list[tuple[str, float]] = []
-        for begin, end in slices([t or "" for t in texts]):
-            tokens = [(t or "").split() for t in texts[begin:end]]
+        # Texts of like length advance together, so slices can be small without more steps.
+        order = sorted(range(len(texts)), key=lambda i: len(texts[i] or ""))
+        out: list[tuple[str, float]] = [("und", 0.0)] * len(texts)
+        for begin, end in slices([texts[i] or "" for i in order], _CHARS_AT_ONCE):
+            tokens = [(texts[i] or "").split() for i in order[begin:end]]
             self._learn(set().union(*tokens))
             rows = self.rows
             sizes = np.array([len(t) for t in tokens], dtype=np.int64)
@@ -207,7 +210,8 @@ class Labeller:
                 mean = sums / sizes[filled][:, None]
                 for i, row in zip(filled, mean):
                     result[i] = (self.languages[int(row.argmax())], float(min(1.0, row.max())))
-            out += result
+            for i, found in zip(order[begin:end], result):
+                out[i] = found
         return out
 
 
@@ -238,19 +242,23 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAM
 _labellers: dict[str, Labeller] = {}
 
 
-def label_documents(docs: DataFrame, model) -> DataFrame:
-    """All columns of ``docs`` and lang_pred, score.
+def label_documents(docs: DataFrame, model, text: str = "text") -> DataFrame:
+    """All columns of ``docs`` and lang_pred, score of the column ``text``, or of a struct's field given as ``struct.field``.
 
     ``und`` and 0 for a null text, one without letters, and for all rows if nothing could be learned.
     """
     held, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    column, _, field = text.partition(".")
     names = [c for c in docs.columns if c not in ("lang_pred", "score")]  # callers with such columns hand them over in a struct
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         if key not in _labellers:
             _labellers.clear()
             _labellers[key] = Labeller(held.value)
-        got = _labellers[key].label(batch.column(names.index("text")).to_pylist())
+        texts = batch.column(names.index(column))
+        if field:
+            texts = pc.struct_field(texts, field)
+        got = _labellers[key].label(texts.to_pylist())
         columns = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
         return pa.RecordBatch.from_arrays([*batch.columns, *columns], [*names, "lang_pred", "score"])
 
