@@ -23,7 +23,7 @@ def _rows(docs):
 
 def by_language(spark, docs, sf_dir):
     """Documents without letters go, and those in which no language has LEAST_SCORE of the words."""
-    labelled = langid.label_documents(_rows(docs).select("row", "text"), langid.fit(docs))
+    labelled = langid.label_documents(_rows(docs).select("row"), langid.fit(docs), text="row.text")
     return labelled.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("row.*")
 
 
