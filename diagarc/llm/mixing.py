@@ -4,7 +4,8 @@ Each source's documents are put into a fixed random order and laid end to end as
 words, cut into blocks of ``block`` words. A golden-ratio sequence of points in [0, 1) is mapped
 through the sources' cumulative weights: point i says which source supplies slot i, and the
 slot's rank among its source's slots says which block it takes. Every prefix of the slots is
-therefore close to the target weights. A source's last block is cut at its target; a source
+therefore close to the target weights. A document's words are taken where a slot takes their
+block. A source's last block is cut at its target; a source
 whose target is above its size runs through its stream again.
 
 Only DataFrame functions are used. Sums and ranks within a source are two-level, so a source
@@ -23,9 +24,10 @@ from diagarc.llm.common import buckets_of, running_before, staged, table
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 BLOCK = 256
-#: Points are multiples of 2^-31; the step is the golden ratio's fraction on that grid, made odd.
-GRID = 1 << 31
-STEP = 1327217885
+#: Points are multiples of 1 / GRID. Step and grid are neighbouring Fibonacci numbers (45th, 46th), so
+#: their ratio has the gaps of the golden ratio at every number of points up to a whole period.
+GRID = 1836311903
+STEP = 1134903170
 CELL_BITS = 19
 
 
@@ -58,40 +60,43 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: f
     return rows.withColumn("words", F.floor("target").cast("bigint"))
 
 
-def slot_schedule(targets: DataFrame, n_slots: int, block: int = BLOCK) -> DataFrame:
+def slot_schedule(targets: DataFrame, n_blocks: int, block: int = BLOCK) -> DataFrame:
     """Slots (slot, k, rank): which source and which of its blocks each place of the mix takes.
 
+    A source's share of [0, 1) is its share of the ``n_blocks`` blocks that the targets come to.
+    Gaps between n points of the golden ratio are below 1.95 / n, so among 2 * n_blocks points a
+    source meets at least as many as it has blocks: the points alone reach every target, and a
+    source takes no slot after that. Slots left out that way are gaps in the numbering.
+
     Points are matched to sources by equal cells of [0, 1), then by the exact bounds, so a
-    source with a third of the weight is spread over a third of the cells. The sequence may
-    leave a source a few slots short of its target; those are appended after the last slot.
+    source with a third of the weight is spread over a third of the cells. Every source has one
+    grid point of its own or more, however many words the others have.
     """
     spark = targets.sparkSession
     ordered = W.partitionBy().orderBy("k")
-    upto = F.sum("words").over(ordered.rowsBetween(W.unboundedPreceding, 0))
-    all_words = F.sum("words").over(W.partitionBy())
-    bounds = targets.filter("words > 0").withColumn("hi", F.floor(upto / all_words * GRID).cast("bigint"))
+    bounds = targets.filter("words > 0").withColumn("need", F.ceil(F.col("words") / block).cast("bigint"))
+    upto, number = F.sum("need").over(ordered.rowsBetween(W.unboundedPreceding, 0)), F.row_number().over(ordered)
+    room = F.lit(GRID) - F.count(F.lit(1)).over(W.partitionBy())
+    bounds = bounds.withColumn("hi", number + F.floor(upto / F.sum("need").over(W.partitionBy()) * room).cast("bigint"))
     bounds = bounds.withColumn("lo", F.coalesce(F.lag("hi").over(ordered), F.lit(0).cast("bigint")))
-    bounds = bounds.withColumn("need", F.ceil(F.col("words") / block).cast("bigint"))
-    cells = bounds.filter("hi > lo").select(
+    cells = bounds.select(
         "k", "lo", "hi", "need",
         F.explode(F.sequence(F.shiftright("lo", CELL_BITS), F.shiftright(F.col("hi") - 1, CELL_BITS))).alias("cell"))
-    points = spark.range(n_slots).select(F.col("id").alias("slot"), (F.col("id") % GRID * STEP % GRID).alias("u"))
+    points = spark.range(2 * n_blocks).select(F.col("id").alias("slot"), (F.col("id") % GRID * STEP % GRID).alias("u"))
     points = points.withColumn("cell", F.shiftright("u", CELL_BITS))
     slots = points.join(cells, "cell").filter("u >= lo and u < hi").select("slot", "k", "need")
     slots = slots.withColumn("part", F.floor(F.col("slot") / 4096)).withColumn("one", F.lit(1).cast("bigint"))
     slots = running_before(staged(slots, "slots"), ["k"], "part", ["slot"], "one", "rank")
-    slots = slots.filter("rank < need").select("slot", "k", "rank")
-    have = slots.groupBy("k").agg(F.count(F.lit(1)).alias("have"))
-    short = bounds.join(have, "k", "left").withColumn("have", F.coalesce("have", F.lit(0).cast("bigint")))
-    short = short.filter("have < need").select("k", F.explode(F.expr("sequence(have, need - 1)")).alias("rank"))
-    return slots.unionByName(short.select((F.lit(n_slots) + F.col("rank")).alias("slot"), "k", "rank"))
+    return slots.filter("rank < need").select("slot", "k", "rank")
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", weights=WEIGHTS,
         share: float = 1.5, cap: float = 2.0, block: int = BLOCK, seed: int = 17) -> DataFrame:
-    """How many words of each document the mix takes: doc_id, text_hash, size, source_size, target, taken.
+    """What the mix takes of each document: doc_id, text_hash, size, source_size, target, taken, first_slot, n_slots.
 
-    One row per input row. Null and empty texts have size 0 and are never taken; a null source is
+    ``taken`` is the words of the document in the blocks that slots took, repeats counted;
+    ``first_slot`` the earliest of these slots, the document's place in the order of the mix (null:
+    not taken), ``n_slots`` their number. One row per input row. Null and empty texts have size 0 and are never taken; a null source is
     a source of its own; repeated rows are separate documents. Other columns are ignored. The
     order within a source is a hash of id and text, so reruns agree.
     """
@@ -102,7 +107,8 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
         F.xxhash64(F.lit(seed), doc_id, text).alias("shuffled"))
     rows = staged(rows, "sizes")
     targets = staged(source_targets(rows, weights, share, cap), "targets")
-    n_docs, words = targets.agg(F.coalesce(F.sum("n_docs"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
+    blocks = F.ceil(F.col("words") / block).cast("bigint")
+    n_docs, n_blocks = targets.agg(F.coalesce(F.sum("n_docs"), F.lit(0)), F.coalesce(F.sum(blocks), F.lit(0))).first()
     rows = rows.join(targets.select("s_null", "s", "k", "source_size", "target", "words"), ["s_null", "s"])
     rows = rows.withColumn("part", F.pmod("shuffled", F.lit(buckets_of(n_docs)))).drop("s_null", "s")
     order = ["shuffled", "doc_id", "text_hash", "size"]
@@ -118,12 +124,12 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
                        - greatest(begin + e * source_size, r * {block}))),
         cast(array() as array<struct<rank:bigint,part_words:bigint>>))))""")
     pieces = placed.select("*", F.explode_outer(spans).alias("piece")).select("*", "piece.rank", "piece.part_words").drop("piece")
-    slots = slot_schedule(targets, max(1, -(-words // block)), block).select("k", "rank", F.lit(1).alias("used"))
-    met = pieces.join(slots, ["k", "rank"], "left")
-    taken = F.coalesce(F.sum(F.col("part_words") * F.col("used")), F.lit(0)).cast("bigint")
-    return (met.groupBy("k", "part", "nth", "doc_id", "text_hash", "size", "source_size", "target").agg(taken.alias("taken"))
-            .select("doc_id", "text_hash", "size", "source_size", "target", "taken"))
+    met = pieces.join(slot_schedule(targets, n_blocks, block), ["k", "rank"], "left")
+    taken = F.coalesce(F.sum(F.when(F.col("slot").isNotNull(), F.col("part_words"))), F.lit(0)).cast("bigint")
+    return (met.groupBy("k", "part", "nth", "doc_id", "text_hash", "size", "source_size", "target")
+            .agg(taken.alias("taken"), F.min("slot").alias("first_slot"), F.count("slot").alias("n_slots"))
+            .drop("k", "part", "nth"))
 
 
 def op2_mix_sources(spark, directory):
-    return mix(table(spark, directory, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(table(spark, directory, "documents")).select("doc_id", "size", "source_size", "target", "taken", "first_slot", "n_slots")

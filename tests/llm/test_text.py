@@ -151,9 +151,35 @@ def test_schedule_is_even(spark):
     order = [r.k for r in sorted(slots, key=lambda r: r.slot)]
     for n in (90, 270, 600):
         assert all(abs(order[:n].count(k) - n * share) < 6 for k, share in enumerate((5 / 9, 3 / 9, 1 / 9)))
-    for k in range(3):
+    for k, need in enumerate((500, 300, 100)):
         own = sorted((r.slot, r["rank"]) for r in slots if r.k == k)
-        assert [rank for _, rank in own] == list(range(len(own)))
+        assert [rank for _, rank in own] == list(range(need))
+
+
+def test_points_alone_reach_every_target(spark):
+    sizes = [1] * 40 + [256 * 5000] + [300] * 40 + [256 * 40 + 1] + [7]
+    table = spark.createDataFrame([(False, f"s{i:03}", n) for i, n in enumerate(sizes)], "s_null boolean, s string, size bigint")
+    need = [-(-n // 256) for n in sizes]
+    slots = mixing.slot_schedule(mixing.source_targets(table, weights=(1,), share=2.0, cap=1.0), sum(need)).collect()
+    assert collections.Counter(r.k for r in slots) == dict(enumerate(need)) and len({r.slot for r in slots}) == sum(need)
+    for k, n in enumerate(need):
+        assert sorted(r["rank"] for r in slots if r.k == k) == list(range(n))
+
+
+def test_gaps_of_the_points():
+    numbers = [2, 3]
+    while numbers[-1] < 1_500_000:
+        numbers.append(sum(numbers[-2:]))
+    assert mixing.GRID - mixing.STEP < mixing.STEP and mixing.GRID < 1 << 31
+    for n in sorted({n + d for n in numbers for d in (-1, 0, 1)} | set(range(1, 400))):
+        points = np.sort(np.arange(n) * mixing.STEP % mixing.GRID)
+        assert np.diff(points, append=mixing.GRID).max() * n < 1.95 * mixing.GRID
+
+
+def test_slots_of_documents(documents):
+    got = mixing.mix(documents, block=64).collect()
+    assert all((r.n_slots > 0) == (r.taken > 0) == (r.first_slot is not None) for r in got)
+    assert all(r.taken <= 64 * r.n_slots for r in got)
 
 
 # Secrets.
