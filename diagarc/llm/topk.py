@@ -1,10 +1,13 @@
 """Exact top-k inner products by pivot-table elimination.
 
 The inner product is turned into a distance by the norms: ``2 q.x = |q|^2 + |x|^2 - d(q, x)^2``.
-The distances of every vector to the same few dozen pivots bound d from below (triangle
-inequality), the largest bound over all pivots bounds the score from above. In each block of
-candidates every query walks its candidates by falling upper bound and stops as soon as no bound
-can reach its k-th score so far; a block returns k rows per query, and those are merged.
+A table of every vector's distances to the same few dozen pivots bounds d from below. One pivot
+gives the triangle inequality; all together say where a vector lies in the space that the pivots
+span and how far it is from it, and no lower bound that these distances allow is larger than the
+distance of two such places with their remainders turned alike. As a score that is the inner
+product of the places plus the product of the remainders' lengths. In each block of candidates
+every query walks its candidates by falling upper bound and stops as soon as no bound can reach
+its k-th score so far; a block returns k rows per query, and those are merged.
 
 Queries meet candidates block by block: query groups are sent to every candidate block. That is
 the asked search (a stated query set against all rows), not a join of all pairs; what leaves a
@@ -52,31 +55,40 @@ def _scores(q, x, exact):
     return np.array([max(-(2**63), min(2**63 - 1, sum(a * int(c) for a, c in zip(own, row)))) for row in x], dtype=np.int64)
 
 
+def _places(d2: np.ndarray, own2: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From squared distances to the pivots: places in the pivots' span, and at least the lengths of what is outside it."""
+    p2 = (pivots * pivots).sum(1)
+    spread, axes = np.linalg.eigh(pivots @ pivots.T)
+    kept = spread > 1e-8 * spread.max(initial=0)  # a direction left out counts to the remainder
+    places = (own2[:, None] + p2[None] - d2) / 2 @ (axes[:, kept] / np.sqrt(spread[kept]))
+    room = 1e-10 * (own2 + p2.max(initial=0))  # what rounding may have taken from the remainder
+    return places, np.sqrt(np.maximum(0, own2 - (places * places).sum(1)) + room)
+
+
 def _best_of_block(queries: pa.Table, cands: pa.Table, pivots: np.ndarray, k: int, step: int) -> pa.Table:
     qs, xs = _matrix(queries["v"]), _matrix(cands["v"])
     width = max(pivots.shape[1], qs.shape[1], xs.shape[1])
     qs, xs, pv = _wide(qs, width), _wide(xs, width), _wide(pivots, width)
-    exact = np.abs(qs).max(initial=0) * np.abs(xs).max(initial=0) * max(1, width) < EXACT
-    q2, x2, p2 = (qs * qs).sum(1), (xs * xs).sum(1), (pv * pv).sum(1)
-    dq = np.sqrt(np.maximum(0, q2[:, None] + p2[None] - 2 * qs @ pv.T))
-    dx = np.sqrt(np.maximum(0, x2[:, None] + p2[None] - 2 * xs @ pv.T))
-    # What rounding may have added to a bound on the distance.
-    slack = 1e-6 * (np.sqrt(q2.max(initial=0)) + np.sqrt(x2.max(initial=0)) + np.sqrt(p2.max(initial=0))) + 1e-3
+    with np.errstate(over="ignore", invalid="ignore"):
+        exact = np.abs(qs).max(initial=0) * np.abs(xs).max(initial=0) * max(1, width) < EXACT
+        pv = pv[(pv * pv).sum(1) < 1e100]  # beyond that the span can't be computed in doubles
+        q2, x2, p2 = (qs * qs).sum(1), (xs * xs).sum(1), (pv * pv).sum(1)
+        dq, dx = q2[:, None] + p2[None] - 2 * qs @ pv.T, x2[:, None] + p2[None] - 2 * xs @ pv.T
+        (cq, rq), (cx, rx) = _places(dq, q2, pv), _places(dx, x2, pv)
+        q1, x1, p1 = np.sqrt(q2), np.sqrt(x2), np.sqrt(p2.max(initial=0))
     named = ~np.asarray(cands["vec_id"].is_null())
     ids = np.asarray(cands["vec_id"].fill_null(2**63 - 1))
     out = []
-    for n, query in enumerate(queries["vec_id"].to_pylist()):
-        low = np.zeros(len(xs))
-        for p in range(len(pv)):
-            np.maximum(low, np.abs(dx[:, p] - dq[n, p]), out=low)
-        low = np.maximum(0, low - slack)
-        bound = (q2[n] + x2 - low * low) / 2
-        bound += 1e-12 * np.abs(bound) + 1e-12 * (q2[n] + x2) + 1
+    for n, query in enumerate(queries["query_id"].to_pylist()):
+        with np.errstate(over="ignore", invalid="ignore"):
+            bound = cx @ cq[n] + rx * rq[n] + 1e-9 * (q1[n] + p1) * (x1 + p1) + 1
+        bound[np.isnan(bound)] = np.inf  # too large for doubles: nothing is excluded
         bound[(ids == query) & named] = -np.inf
         first = np.argpartition(-bound, step)[:step] if len(bound) > step else np.arange(len(bound))
         own = first[bound[first] > -np.inf]
         score = _scores(qs[n], xs[own], exact)
-        best = np.lexsort((ids[own], ~named[own], -score))[:k]
+        seen = len(own)
+        best = np.lexsort((ids[own], ~named[own], ~score))[:k]  # ~: the least bigint has no negative
         own, score = own[best], score[best]
         # Only candidates whose bound reaches the k-th score are left; they are taken by falling bound.
         rest = np.setdiff1d(np.flatnonzero(bound >= (score[-1] if len(score) == k else -np.inf)), first)
@@ -86,22 +98,25 @@ def _best_of_block(queries: pa.Table, cands: pa.Table, pivots: np.ndarray, k: in
         while at < len(rest) and (len(score) < k or bound[rest[at]] >= score[-1]):
             part = rest[at : at + size]
             own, score = np.append(own, part), np.append(score, _scores(qs[n], xs[part], exact))
-            best = np.lexsort((ids[own], ~named[own], -score))[:k]
+            best = np.lexsort((ids[own], ~named[own], ~score))[:k]
             own, score = own[best], score[best]
-            at, size = at + size, 2 * size
-        out.append((np.full(len(own), query), score, ids[own], ~named[own]))
-    query, score, vec, unnamed = (np.concatenate(c) for c in zip(*out))
-    return pa.table({"query_id": pa.array(query, pa.int64()), "score": pa.array(score, pa.int64()), "vec_id": pa.array(vec, pa.int64(), mask=unnamed)})
+            at, size, seen = at + size, 2 * size, seen + len(part)
+        # The block's number of evaluated candidates stands at its first row.
+        out.append((np.full(len(own), query), score, ids[own], ~named[own], np.where(np.arange(len(own)) == 0, seen, 0)))
+    query, score, vec, unnamed, seen = (np.concatenate(c) for c in zip(*out))
+    return pa.table({"query_id": pa.array(query, pa.int64()), "score": pa.array(score, pa.int64()),
+                     "vec_id": pa.array(vec, pa.int64(), mask=unnamed), "seen": pa.array(seen, pa.int64())})
 
 
-def top_k(vectors: DataFrame, every: int = 50, k: int = 5, n_pivots: int = 32, block_rows: int = 8192,
-          query_rows: int = 2048, step: int = 64) -> DataFrame:
+def top_k(vectors: DataFrame, every: int = 50, k: int = 5, n_pivots: int = 48, block_rows: int = 8192,
+          query_rows: int = 2048, step: int = 64, counts: bool = False) -> DataFrame:
     """The k best candidates of every query: query_id, rank, vec_id, score.
 
     Queries are the distinct ids divisible by ``every`` (of repeated ids the smallest vector
     counts); candidates are all rows with another id, repeated rows included. Ties go to the
     smaller id, null ids last. Shorter vectors count as followed by zeros. A score outside bigint is
-    held at its end. Empty input: no rows.
+    held at its end. Empty input: no rows. With ``counts`` also evaluated, the number of candidates
+    whose score the query computed.
     """
     spark = vectors.sparkSession
     rows = staged(quantised(vectors), "vectors")
@@ -115,17 +130,20 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, n_pivots: int = 32, b
     # By place in the staged files: copies of a vector, and whole repeated rows, are dealt evenly.
     cands = rows.withColumn("block", F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).cast("int"))
     queries = queries.withColumn("group", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int"))
-    left = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("group", "block", "vec_id", "v")
+    left = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    # Not by the candidates' column name: Catalyst would drop a column that both sides share when a reader drops any.
+    left = left.select("group", "block", F.col("vec_id").alias("query_id"), "v")
     right = cands.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).select("group", "block", "vec_id", "v")
 
     def search(q: pa.Table, c: pa.Table) -> pa.Table:
         if q.num_rows and c.num_rows:
             return _best_of_block(q, c, pivots, k, step)
-        return pa.table({n: pa.array([], pa.int64()) for n in ("query_id", "score", "vec_id")})
+        return pa.table({n: pa.array([], pa.int64()) for n in ("query_id", "score", "vec_id", "seen")})
 
-    best = left.groupBy("group", "block").cogroup(right.groupBy("group", "block")).applyInArrow(search, "query_id bigint, score bigint, vec_id bigint")
+    best = left.groupBy("group", "block").cogroup(right.groupBy("group", "block")).applyInArrow(search, "query_id bigint, score bigint, vec_id bigint, seen bigint")
     ranked = best.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))))
-    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranked = ranked.withColumn("evaluated", F.sum("seen").over(W.partitionBy("query_id"))) if counts else ranked
+    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", *["evaluated"] * counts)
 
 
 SQL = """

@@ -407,6 +407,29 @@ def test_top_k(spark):
     assert in_any_order(topk.top_k(vectors, n_pivots=4, block_rows=40, query_rows=3, step=5).collect()) == in_any_order(want)
 
 
+def test_pivots_exclude_most_candidates(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(20, 64))
+    rows = centres[rng.integers(0, 20, 3000)] + 0.2 * rng.normal(size=(3000, 64))
+    rows[7], rows[8], rows[100], rows[9] = 0, rows[50], rows[150], rows[150] * 1000
+    vectors = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "vec_id bigint, embedding array<double>")
+    whole = np.floor(rows * 256).astype(np.int64)
+    got = topk.top_k(vectors, counts=True).collect()
+    for query in range(0, 3000, 50):
+        scores = whole @ whole[query]
+        want = sorted((i for i in range(3000) if i != query), key=lambda i: (-scores[i], i))[:5]
+        assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == query] == [(i, scores[i]) for i in want]
+    shares = [r.evaluated / 2999 for r in got if r["rank"] == 1]
+    assert np.median(shares) < 0.1 and max(shares) < 1
+
+
+def test_top_k_of_huge_and_small_numbers(spark):
+    rows = [(0, [1e200, 1.0]), (1, [1e200, 2.0]), (2, [-1e200, 0.0]), (3, [1e-3, 0.0]), (4, [0.0, 5.0]), (50, [0.0, 1.0])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), k=2).collect()
+    assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == 0] == [1, 4]
+    assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == 50] == [(4, 5 << 16), (1, 2 << 16)]
+
+
 def test_top_k_odd_rows(spark):
     rows = [(100, [1e20, 2.0]), (50, [0.5, 0.5, 0.5]), (7, None), (8, [float("nan")]), (9, [None]), (None, [0.5]), (3, [0.5]), (3, [0.5]), (4, [])]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn("score", F.lit("x")).withColumn("block", F.lit(1))
