@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from diagarc.errors import decode_errors
-from diagarc.functions.scalar import clean_key, double_to_i64, int_div, ntz_to_ms
+from diagarc.functions.scalar import I64_MAX, I64_MIN, clean_key, double_to_i64, int_div, ntz_to_ms
 from diagarc.operators import check, encode, labels, long_tables, metadata as meta
 from diagarc.operators import store
 from diagarc.operators.decode import chunk_keys, chunk_tokens, change_points, decode_chunks, samples, series, value_changes
@@ -20,7 +20,7 @@ from diagarc.operators.flatten import explode_fields, flatten_struct, split_time
 from diagarc.operators.rollup import rollup
 from diagarc.operators.routing import route_docs
 from diagarc.plans.capture import capture, capture_events, capture_user_activity, event_document, event_rows
-from diagarc.plans.shared import run_dir
+from diagarc.plans.shared import freeze, run_dir
 from diagarc.sources import archives
 from diagarc.sources.datasource import register
 from diagarc.sources.writer import pack_metadata, write_archives
@@ -425,12 +425,18 @@ def remote_write_receipts(spark, d):
         "path", "doc_no", "n_series", "n_plain_bytes", "status")
 
 
+def _value_totals(stored, *by):
+    """Rows and sum of values per group. The sums are added up beyond 64 bits and are decimals where one does not fit into a bigint."""
+    totals = freeze(stored.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(19,0)")).alias("sum_value")))
+    if totals.filter(~F.col("sum_value").between(F.lit(I64_MIN), F.lit(I64_MAX))).isEmpty():
+        return totals.withColumn("sum_value", F.col("sum_value").cast("bigint"))
+    return totals
+
+
 def write_samples(spark, d):
     table = run_dir(spark, "samples")
     store.write_samples(store.storable(_samples(spark, d), [("env", "test")]), table, rebalance=True)
-    rows = spark.read.parquet(table)
-    return rows.groupBy("source", F.col("date").cast("string").alias("date"), "name").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("value").alias("sum_value"))
+    return _value_totals(spark.read.parquet(table), "source", F.col("date").cast("string").alias("date"), "name")
 
 
 def write_series(spark, d):
@@ -455,19 +461,18 @@ def _labelled_table(spark, d):
 
 def delete_series(spark, d):
     left = store.delete_series(spark.read.parquet(_labelled_table(spark, d)))
-    return left.groupBy("source", "name").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("sum_value"))
+    return _value_totals(left, "source", "name")
 
 
 def delete_labelled_series(spark, d):
     left = store.delete_series(spark.read.parquet(_labelled_table(spark, d)), {"source": labels.SOURCE_LABEL[1], "type": "click"})
-    return left.groupBy("source", "name").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("sum_value"))
+    return _value_totals(left, "source", "name")
 
 
 def reimport(spark, d):
     table = run_dir(spark, "reimported")
     store.reimport(spark, _docs(spark, d), _labelled_table(spark, d), table, clean=True, layout="samples")
-    rows = store.read_table(spark, table)
-    return rows.groupBy("source", "name").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("sum_value"))
+    return _value_totals(store.read_table(spark, table), "source", "name")
 
 
 def import_summary(spark, d):
