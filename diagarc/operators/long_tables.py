@@ -18,11 +18,22 @@ from diagarc.operators.decode import AXIS_NAME
 from diagarc.plans.ordered import previous_row
 
 CHUNK = ["path", "doc_no"]
+CELLS_PER_TASK = 1 << 17  # a chunk with more has a task of its own
 
 
-def by_chunk(df: DataFrame) -> DataFrame:
-    """The one partitioning the chunk windows below share."""
-    return df.repartition(*CHUNK)
+def by_chunk(df: DataFrame, n: int | None = None) -> DataFrame:
+    """The one partitioning the chunk windows below share, in ``n`` tasks (:func:`chunk_tasks`).
+
+    Without a count Spark chooses it by the bytes that move. Those are compressed: rows take
+    many times as much in memory, and the windows sort them several times in one task.
+    """
+    return df.repartition(*CHUNK) if n is None else df.repartition(n, *CHUNK)
+
+
+def chunk_tasks(chunks: DataFrame) -> int:
+    """Tasks for :func:`by_chunk` by the cells of ``decode_chunks`` rows, so that more chunks are more tasks and not larger ones."""
+    cells = chunks.agg(F.sum(F.col("n_keys_found") * (F.col("n_deltas") + 1))).first()[0] or 0
+    return max(1, -(-cells // CELLS_PER_TASK))
 
 
 def delta_encode(df: DataFrame, keys: list[str], order: list[str], value="value", out="delta", bounded=False):

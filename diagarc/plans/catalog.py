@@ -39,6 +39,12 @@ def _docs(spark, d):
     return capture_events(_table(spark, d, "events"))
 
 
+def _counted_docs(spark, d):
+    """Documents, packed once, and the number of tasks for their cells."""
+    docs = freeze(_docs(spark, d))
+    return docs, long_tables.chunk_tasks(decode_chunks(docs, want="keys"))
+
+
 def _chunks(spark, d, **options):
     return decode_chunks(_docs(spark, d), **options)
 
@@ -122,7 +128,8 @@ def decoded_keys(spark, d):
 
 
 def expand_zero_runs(spark, d):
-    return long_tables.expand_zero_runs(long_tables.by_chunk(chunk_tokens(_docs(spark, d))))
+    docs, n = _counted_docs(spark, d)
+    return long_tables.expand_zero_runs(long_tables.by_chunk(chunk_tokens(docs), n))
 
 
 def stream_complete(spark, d):
@@ -132,13 +139,15 @@ def stream_complete(spark, d):
         F.when(day == 1, F.slice("tokens", F.lit(1), F.greatest(F.size("tokens") - 1, F.lit(0))))
         .when(day == 2, F.concat("tokens", F.array(F.lit(7).cast("bigint")))).otherwise(F.col("tokens"))
     )
-    rows = chunk_tokens(_docs(spark, d)).withColumn("tokens", tokens)
-    rows = long_tables.stream_complete(long_tables.by_chunk(rows))
+    docs, n = _counted_docs(spark, d)
+    rows = chunk_tokens(docs).withColumn("tokens", tokens)
+    rows = long_tables.stream_complete(long_tables.by_chunk(rows, n))
     return rows.groupBy("path", "error").agg(F.count(F.lit(1)).alias("n_chunks"))
 
 
 def _decoded_points(spark, d):
-    points = long_tables.by_chunk(change_points(chunk_keys(_docs(spark, d))))
+    docs, n = _counted_docs(spark, d)
+    points = long_tables.by_chunk(change_points(chunk_keys(docs)), n)
     return long_tables.delta_decode(points)
 
 
@@ -230,8 +239,9 @@ def delta_encode(spark, d):
 
 
 def _chunk_cells(spark, d):
+    docs, n = _counted_docs(spark, d)
     rows = long_tables.delta_encode(
-        long_tables.by_chunk(_samples(spark, d)), ["path", "doc_no", "key_no"], ["sample_no"], bounded=True)
+        long_tables.by_chunk(samples(decode_chunks(docs), with_ts=False), n), ["path", "doc_no", "key_no"], ["sample_no"], bounded=True)
     return long_tables.cells(rows.filter("delta is not null"), ["key_no", "sample_no"])
 
 

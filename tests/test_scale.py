@@ -4,6 +4,7 @@ import datetime
 
 import pytest
 
+from diagarc.operators import long_tables
 from diagarc.plans.catalog import QUERIES
 
 
@@ -29,3 +30,13 @@ def test_sums_beyond_64_bits(spark, tmp_path, query):
         assert got["event_user_id"] == (20, sum(users))
     if query != "write_samples":
         assert got["error"] == (len(errors), sum(errors))
+
+
+@pytest.mark.parametrize("query", ["zero_run_encode", "expand_zero_runs", "delta_decode"])
+def test_more_chunks_are_more_tasks(spark, tmp_path, monkeypatch, query):
+    """The windows per chunk are dealt by the cells they unfold into, however few bytes move."""
+    directory = events_of(spark, tmp_path, range(2000))
+    want = sorted(QUERIES[query](spark, directory).collect())
+    monkeypatch.setattr(long_tables, "CELLS_PER_TASK", 600)
+    rows = QUERIES[query](spark, directory)
+    assert rows.rdd.getNumPartitions() == 20 and sorted(rows.collect()) == want
