@@ -5,7 +5,9 @@ of any size are read by many tasks and no task holds more than one document and
 Documents lie back to back without marks between them. A range therefore begins at the first place
 that looks like the head of a document (a date ``_id``, then an int32 ``type``) and is followed by
 another such head or the end, and the range before it reads on to that very place: both ask the
-same question of the same bytes, so every document is read once.
+same question of the same bytes, so every document is read once. A task takes several small ranges in
+a row, since a task costs more than reading a few kilobytes: the number of tasks follows the bytes, and
+so does the number of files that a sink writes.
 
 Filters on path, type and time are taken over: files that the path excludes are never opened, and
 the bytes of documents that type or time exclude are skipped.
@@ -24,7 +26,7 @@ import os
 import re
 import struct
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyarrow import fs
@@ -37,6 +39,8 @@ from diagarc.sources import wire
 from diagarc.sources.archives import ARCHIVE_DOCS
 
 SPLIT_BYTES = 32 << 20
+#: In bytes: what small ranges of one task may cost together, and what each costs beside its own. Few ranges go to this many tasks.
+TASK_COST, RANGE_COST, LEAST_TASKS = 4 << 20, 64 << 10, 256
 _U32 = struct.Struct("<I")
 # How a document of an archive begins, and closed archives' names.
 _HEAD = re.compile(rb"....\x09_id\x00.{8}\x10type\x00[\x00-\x02]\x00\x00\x00", re.S)
@@ -101,19 +105,40 @@ def list_files(options: dict) -> list[tuple[str, int]]:
 
 @dataclass
 class ByteRange(InputPartition):
-    """Documents of ``path`` that begin in start..stop; ``size`` is where its readable bytes end; ``exact`` if a document begins at start."""
+    """Documents of ``path`` that begin in start..stop; ``size`` is where its readable bytes end; ``exact`` if a document begins at start.
+
+    The task that reads it goes on with the ranges ``then``.
+    """
 
     path: str
     start: int
     stop: int
     size: int
     exact: bool
+    then: tuple[ByteRange, ...] = ()
 
 
 def ranges_of(path: str, start: int, size: int, split: int) -> list[ByteRange]:
     return [ByteRange(path, at, min(at + split, size), size, at == start) for at in range(start, size, split)]
 
 
+def in_tasks(ranges: list[ByteRange]) -> list[ByteRange]:
+    """The ranges in their order, dealt to tasks of about equal cost; one that costs enough has a task of its own."""
+    most = min(TASK_COST, sum(map(_cost, ranges)) // LEAST_TASKS)
+    tasks, held = [], 0
+    for r in ranges:
+        if not tasks or held + _cost(r) > most:
+            tasks.append([])
+            held = 0
+        tasks[-1].append(r)
+        held += _cost(r)
+    return [replace(first, then=tuple(then)) for first, *then in tasks]
+
+
+def _cost(part: ByteRange) -> int:
+    return part.stop - part.start + RANGE_COST
+
+
 class _File:
     def __init__(self, path: str, size: int) -> None:
         store, inside, _ = _store(path)
@@ -216,13 +241,15 @@ class ArchiveReader(DataSourceReader):
 
     def partitions(self) -> list[ByteRange]:
         split = int(self.options.get("splitbytes", SPLIT_BYTES))
-        return [r for path, size in list_files(self.options) if self._passes("path", path) for r in ranges_of(path, 0, size, split)] or [ByteRange("", 0, 0, 0, True)]
+        ranges = [r for path, size in list_files(self.options) if self._passes("path", path) for r in ranges_of(path, 0, size, split)]
+        return in_tasks(ranges) or [ByteRange("", 0, 0, 0, True)]
 
     def read(self, part: ByteRange) -> Iterator[pa.RecordBatch]:
         if not part.path:
             return
         by_head = any(c != "path" for c, _, _ in self.tests)
-        yield from read_range(part, (lambda t, ms: self._passes("doc_type", t) and self._passes("id_ms", ms)) if by_head else None)
+        for r in (part, *part.then):
+            yield from read_range(r, (lambda t, ms: self._passes("doc_type", t) and self._passes("id_ms", ms)) if by_head else None)
 
 
 class GrowingReader(DataSourceStreamReader):
@@ -257,10 +284,11 @@ class GrowingReader(DataSourceStreamReader):
         for path, pos in end.items():  # after a restart, from what was read before
             self.known[path] = max(pos, self.known.get(path, 0))
         split = int(self.options.get("splitbytes", SPLIT_BYTES))
-        return [r for path, stop in sorted(end.items()) for r in ranges_of(path, start.get(path, 0), stop, split)]
+        return in_tasks([r for path, stop in sorted(end.items()) for r in ranges_of(path, start.get(path, 0), stop, split)])
 
     def read(self, part: ByteRange) -> Iterator[pa.RecordBatch]:
-        yield from read_range(part)
+        for r in (part, *part.then):
+            yield from read_range(r)
 
 
 class ArchiveSource(DataSource):

@@ -117,3 +117,12 @@ def test_bounded_batches_and_replaced_files(landing, tmp_path):
     target.write_bytes(b"1234")
     with pytest.raises(ValueError, match="replaced"):
         reader.latestOffset()
+
+
+def test_small_ranges_share_tasks():
+    """Thousands of small files are far fewer tasks, each range still in one of them; long ranges have tasks of their own."""
+    files = {f"file:/x/{i:05d}": 6000 for i in range(20000)}
+    parts = datasource.GrowingReader({"path": "/none", "splitbytes": "4096"}).partitions({}, files)
+    dealt = [(r.path, r.start, r.stop) for p in parts for r in (p, *p.then)]
+    assert 256 <= len(parts) < 1000 and dealt == [(f, a, b) for f in sorted(files) for a, b in ((0, 4096), (4096, 6000))]
+    assert len(datasource.GrowingReader({"path": "/none"}).partitions({}, {"file:/x/a": 320 << 20})) == 10
