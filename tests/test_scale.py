@@ -1,11 +1,15 @@
 """Work and memory of a task that must not grow with the tables, and sums beyond 64 bits."""
 
 import datetime
+import os
 
 import pytest
 
 from diagarc.operators import long_tables
+from diagarc.plans.capture import capture_events
 from diagarc.plans.catalog import QUERIES
+from diagarc.sources.writer import write_archives
+from diagarc.streaming.archives import start_table_sink, stream_archives
 
 
 def events_of(spark, directory, users):
@@ -40,3 +44,16 @@ def test_more_chunks_are_more_tasks(spark, tmp_path, monkeypatch, query):
     monkeypatch.setattr(long_tables, "CELLS_PER_TASK", 600)
     rows = QUERIES[query](spark, directory)
     assert rows.rdd.getNumPartitions() == 20 and sorted(rows.collect()) == want
+
+
+def test_batches_by_bytes(spark, tmp_path):
+    """Small files share a batch that is bounded by bytes; the rows are those of batches of single files."""
+    directory, landing = events_of(spark, tmp_path / "tables", range(200)), str(tmp_path / "landing")
+    write_archives(capture_events(spark.read.parquet(f"{directory}/events.parquet"), 50), landing, max_docs=1).collect()
+    stored, batches = [], []
+    for name, bound in (("files", {"max_files": 1}), ("bytes", {"max_bytes": 1 << 20})):
+        table, checkpoint = str(tmp_path / name), str(tmp_path / f"{name}-checkpoint")
+        start_table_sink(stream_archives(spark, landing + "/*", **bound), table, checkpoint).awaitTermination()
+        stored.append(sorted(map(str, spark.read.parquet(table).collect())))
+        batches.append(len([f for f in os.listdir(f"{checkpoint}/commits") if f.isdigit()]))
+    assert stored[0] == stored[1] and len(stored[0]) == 1200 and batches == [4, 1]
