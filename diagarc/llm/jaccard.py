@@ -20,14 +20,16 @@ Shingles are compared by 64-bit hashes.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from diagarc.llm.common import discard, map_batches, staged, table
+from diagarc.llm.common import discard, let_go, map_batches, slices, staged, table
 from diagarc.llm.components import components
 from diagarc.llm.repeats import _sums
 from diagarc.llm.sketches import _mixed
@@ -37,6 +39,7 @@ SHINGLE = 4
 LEAST = 85
 #: Nodes of a group that is one tile; shingles of a block of a larger one, and its least and most nodes.
 SMALL, BLOCK, LEAST_BLOCK, MOST_BLOCK = 512, 1 << 19, 64, 2048
+_CHARS_AT_ONCE = 1 << 20
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 
@@ -100,29 +103,42 @@ def _digest(hashes: np.ndarray) -> bytes:
 
 
 def _sets(docs: DataFrame, width: int, least: int) -> DataFrame:
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def some(batch: pa.RecordBatch, texts: list) -> pa.RecordBatch:
         sizes, nodes, keys = [], [], []
-        for text in batch.column(1).to_pylist():
+        for text in texts:
             own = shingle_set(text, width)
             sizes.append(len(own))
             nodes.append(_digest(own))
-            keys.append(part_keys(own, least).view(np.int64) if len(own) else [])
-        columns = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+            keys.append(part_keys(own, least).view(np.int64) if len(own) else np.zeros(0, np.int64))
+        begins = pa.array(np.cumsum([0, *map(len, keys)]), pa.int32())
+        columns = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.ListArray.from_arrays(begins, np.concatenate(keys))]
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], ["d", "text_hash", "n", "set", "keys"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
+        # The keys of a text take as much as the text, so they leave a few texts at a time.
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for begin, end in slices([t or "" for t in texts], _CHARS_AT_ONCE):
+                yield some(batch.slice(begin, end - begin), texts[begin:end])
+
     rows = docs.select(F.col("doc_id").alias("d"), "text", F.xxhash64("text").alias("text_hash"))
-    return map_batches(rows, run, "d bigint, text_hash bigint, n bigint, set binary, keys array<bigint>")
+    return rows.mapInArrow(run, "d bigint, text_hash bigint, n bigint, set binary, keys array<bigint>")
+
+
+def _hub_edges(sets: DataFrame) -> DataFrame:
+    """Edges (u, v) from nodes to the smallest node with a key of theirs."""
+    nodes = sets.groupBy("set").agg(F.min("sid").alias("node"), F.any_value("keys").alias("keys"))
+    # Nearly all keys occur once, so a hash table of them or a second sort for a join would hold a task's whole
+    # share again; one sort by key brings together who meets, and only edges go on.
+    have = nodes.select("node", F.explode("keys").alias("key"))
+    met = have.withColumn("v", F.min("node").over(W.partitionBy("key"))).filter("node <> v")
+    return met.select(F.col("node").alias("u"), "v").distinct()
 
 
 def _candidate_groups(sets: DataFrame) -> DataFrame:
     """(node, label) of nodes that share a key, directly or over others."""
-    nodes = sets.groupBy("set").agg(F.min("sid").alias("node"), F.any_value("keys").alias("keys"))
-    # One shuffle by key serves both the hubs and those who meet there; Spark sees that it is the same
-    # since what a join would filter is filtered before.
-    have = nodes.select("node", F.explode("keys").alias("key")).filter("key is not null and node is not null").repartition("key")
-    hubs = have.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("other")).filter("v < other")
-    edges = have.join(hubs.select("key", "v"), "key").filter("node <> v").select(F.col("node").alias("u"), "v").distinct()
-    return components(staged(edges, "hubs"))
+    return components(staged(_hub_edges(sets), "hubs"))
 
 
 def _linked(sets: list[np.ndarray], start: list, left: np.ndarray, least: int) -> list[tuple[int, int]]:

@@ -9,6 +9,7 @@ ranges per length; each piece takes its place by joining its rank within its len
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import zlib
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from diagarc.llm.common import buckets_of, map_batches, running_before, staged, table
+from diagarc.llm.common import buckets_of, kept, map_batches, running_before, staged, table
 
 CAPACITY = 1024
 END_ID = 2
@@ -88,26 +89,17 @@ class Encoder(dict):
         return b"".join([self.unit(u) for u in _UNIT.findall(text)])
 
 
-_encoders: dict[int, Encoder] = {}
-
-
-def encoder(description: str, pattern: str) -> Encoder:
-    key = hash(description)
-    if key not in _encoders:
-        _encoders[key] = Encoder(description, pattern)
-    return _encoders[key]
-
-
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: the pieces of every row; a null or empty text is its end id alone."""
     import public_tokenizers
 
     with open(tokenizer or public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
-        description = docs.sparkSession.sparkContext.broadcast(f.read())
+        text = f.read()
+    description, key = docs.sparkSession.sparkContext.broadcast(text), f"encoder {hashlib.sha256(text.encode()).hexdigest()}"
     pattern, end = public_tokenizers.PATTERN, np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = encoder(description.value, pattern)
+        own = kept(key, lambda: Encoder(description.value, pattern))
         row, piece, start, length, crc = [], [], [], [], []
         for i, text in enumerate(batch.column(1)):
             ids = own.encode(text.as_py() or "") + end
@@ -122,7 +114,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
              pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs.select("doc_id", "text"), cut, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
+    return map_batches(docs.select("doc_id", "text"), cut, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint", keep=key)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> dict[int, list[tuple[int, int, int, int, int]]]:

@@ -551,6 +551,41 @@ def test_alike_sets_share_a_part(least):
     assert shared < 100
 
 
+def test_hub_edges_hold_keys_once(spark):
+    """A node leads to the smallest with a key of its own; the keys are dealt and sorted once, in no hash table and no join."""
+    rows = [(b"a", 5, [1, 2]), (b"b", 3, [2, 9]), (b"b", 8, [2, 9]), (b"c", 4, [9, 2]), (b"d", 1, [7]), (b"e", 2, []), (b"f", 6, None)]
+    edges = jaccard._hub_edges(spark.createDataFrame(rows, "set binary, sid bigint, keys array<bigint>"))
+    assert sorted(map(tuple, edges.collect())) == [(4, 3), (5, 3)]
+    plan = edges._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan and not re.search(r"Aggregate\(keys=\[key", plan)
+
+
+def test_alike_texts_of_many_slices(spark):
+    """A batch whose texts together are longer than what is held at once."""
+    texts = [" ".join(f"{k}w{i}" for i in range(60_000)) for k in (0, 1, 0, 2, 1)]
+    rows = [*enumerate([*texts, None, "", texts[3] + " more"])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.alike_groups(df).collect()}
+    assert got == {0: (59_997, 0), 1: (59_997, 1), 2: (59_997, 0), 3: (59_997, 3), 4: (59_997, 1), 5: (0, 5), 6: (0, 6), 7: (59_998, 3)}
+
+
+def test_workers_let_go(documents):
+    """What packing keeps in a worker is gone when a task of another operator runs there."""
+    import pyarrow as pa
+
+    from diagarc.llm.common import map_batches
+
+    def held(batch):
+        import gc
+
+        n = sum(type(x).__name__ == "Encoder" for x in gc.get_objects())
+        return pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    rows = documents.select("doc_id", "text").repartition(8).localCheckpoint()
+    assert packing.pieces(rows).count() >= rows.count()
+    assert {r.n for r in map_batches(rows, held, "n bigint").collect()} == {0}
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(200)] + [(1000, x) for x in range(1001, 1100)] + [(rng.randint(2000, 2400), rng.randint(2000, 2400)) for _ in range(150)]
@@ -616,3 +651,20 @@ def test_sql(spark):
     for name, sql in queries.ORACLES.items():
         difference = compare.compare(queries.QUERIES[name](spark, SMALL), con, sql)
         assert difference is None, f"{name}: {difference}"
+
+
+def test_later_queries_and_sql(spark):
+    """The queries after the first ten are registered too, and match their SQL."""
+    import os
+    import sys
+
+    sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))]
+    import __spark_entry__
+    import compare
+
+    assert [name.split("_")[0] for name in __spark_entry__.queries() if name.startswith("op")] == [f"op{n}" for n in range(1, 14)]
+    assert __spark_entry__.oracle_sql().keys() >= queries.LATER_ORACLES.keys()
+    con = compare.duck(SMALL)
+    for name, sql in queries.LATER_ORACLES.items():
+        difference = compare.compare(queries.LATER_QUERIES[name](spark, SMALL), con, sql)
+        assert difference is None, f"{name}: {difference}"
