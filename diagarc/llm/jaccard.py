@@ -3,9 +3,14 @@
 Texts with equal sets become one node. Candidates are found without comparing pairs. Sets that reach
 the threshold differ in at most D shingles, D by the size band of the smaller one. Cut the range of
 hashes into more than D parts, and some part holds just the same shingles of both. So every node
-has a key per part, the digest of what it has there, and nodes that share a key, directly or over
-others, form a candidate group. Passages in common make no group unless they fill a part, so for
-most documents all keys occur nowhere else, and they are done.
+has a key per part, the digest of what it has there. Sets with E parts that are not empty share
+E - D keys at least, so a node can do without its E - D - 1 most frequent ones: the rarest key of a
+pair that is alike is still one of both. What lines in common make alike by chance is mostly among
+these, so nodes that share a key that is left, directly or over others, form a candidate group of
+hardly more than sets that are alike, however many documents there are.
+
+Keys move as six bytes each, with two for their node, in blobs by range of keys; only keys of
+several nodes leave the task that sorts a range.
 
 Groups are compared in tiles: blocks of nodes of one size band against blocks of the same or the
 next band, since sets of more different sizes cannot be alike enough. In a tile, hashed bitmaps
@@ -25,9 +30,11 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from diagarc.llm.common import discard, let_go, map_batches, slices, staged, table
 from diagarc.llm.components import components
@@ -40,6 +47,8 @@ LEAST = 85
 #: Nodes of a group that is one tile; shingles of a block of a larger one, and its least and most nodes.
 SMALL, BLOCK, LEAST_BLOCK, MOST_BLOCK = 512, 1 << 19, 64, 2048
 _CHARS_AT_ONCE = 1 << 20
+#: Bytes of text whose keys are one bucket, sorted by one task; keys that a task holds until they leave in blobs.
+BUCKET, _KEYS_AT_ONCE = 1 << 23, 1 << 19
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 
@@ -77,13 +86,18 @@ def parts_of(band: int, least: int = LEAST) -> tuple[int, int]:
 
 
 def part_keys(own: np.ndarray, least: int = LEAST) -> np.ndarray:
-    """Keys of a sorted set, of which any set alike enough but not equal has one too.
+    """Keys of a sorted set, of which any set alike enough but not equal has one too."""
+    return _part_keys(own, least)[0]
+
+
+def _part_keys(own: np.ndarray, least: int) -> tuple[np.ndarray, list[int]]:
+    """:func:`part_keys`, and how many of the even and of the odd ones the set can do without.
 
     At most D parts differ, so there is an equal part that is not empty if more than D parts of
     either set are not empty. Sets that have no more than that get keys for empty parts as well,
-    which they share with each other.
+    which they share with each other. Keys for one band are all even or all odd.
     """
-    keys, mixed = [], _mixed(own)
+    keys, spare, mixed = [], [0, 0], _mixed(own)
     for band in (band_of(len(own), least) - 1, band_of(len(own), least)):
         differ, parts = parts_of(band, least)
         if not differ:
@@ -91,39 +105,136 @@ def part_keys(own: np.ndarray, least: int = LEAST) -> np.ndarray:
         part = (own >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
         first = np.append(0, np.flatnonzero(part[1:] != part[:-1]) + 1)
         salt = np.uint64((band + 1) << 40)
-        keys.append(_mixed(np.add.reduceat(mixed, first) ^ _mixed(part[first] + salt)))
+        found = [_mixed(np.add.reduceat(mixed, first) ^ _mixed(part[first] + salt))]
         if len(first) <= differ:
-            keys.append(_mixed(np.setdiff1d(np.arange(parts, dtype=np.uint64), part[first]) + salt + np.uint64(1 << 39)))
+            found.append(_mixed(np.setdiff1d(np.arange(parts, dtype=np.uint64), part[first]) + salt + np.uint64(1 << 39)))
+        odd = band & 1
+        keys += [k & np.uint64(2**48 - 2) | np.uint64(odd) for k in found]
+        spare[odd] = max(0, len(first) - differ - 1)
     # Six bytes tell candidates apart well enough.
-    return np.concatenate(keys) & np.uint64(2**48 - 1) if keys else np.zeros(0, np.uint64)
+    return np.concatenate(keys) if keys else np.zeros(0, np.uint64), spare
 
 
 def _digest(hashes: np.ndarray) -> bytes:
     return blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
-def _sets(docs: DataFrame, width: int, least: int) -> DataFrame:
-    def some(batch: pa.RecordBatch, texts: list) -> pa.RecordBatch:
-        sizes, nodes, keys = [], [], []
-        for text in texts:
-            own = shingle_set(text, width)
-            sizes.append(len(own))
-            nodes.append(_digest(own))
-            keys.append(part_keys(own, least).view(np.int64) if len(own) else np.zeros(0, np.int64))
-        begins = pa.array(np.cumsum([0, *map(len, keys)]), pa.int32())
-        columns = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.ListArray.from_arrays(begins, np.concatenate(keys))]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], ["d", "text_hash", "n", "set", "keys"])
+_KEYED = pa.schema([
+    ("d", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("set", pa.binary()), ("sid", pa.int64()), ("even", pa.int64()),
+    ("odd", pa.int64()), ("base", pa.int64()), ("bucket", pa.int64()), ("keys", pa.binary()), ("at", pa.binary())])
+
+
+def _key_blobs(base: int, counts: list[int], keys: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    """Keys of consecutive nodes from ``base`` on: a row per bucket with six bytes of each key and two of its node less the base."""
+    key, at = np.concatenate(keys), np.repeat(np.arange(len(counts), dtype="<u2"), counts)
+    bucket = (key % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    key, at, bucket = key[order], at[order], bucket[order]
+    begin = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(key) else np.zeros(0, np.int64)
+    edges = np.append(begin, len(key))
+    six = np.ascontiguousarray(key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+    blobs = [pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer((edges * width).astype(np.int32)), pa.py_buffer(data)])
+             for width, data in ((6, six), (2, at))]
+    none = [pa.nulls(len(begin), f.type) for f in list(_KEYED)[:7]]
+    return pa.RecordBatch.from_arrays([*none, pa.array([base] * len(begin), pa.int64()), pa.array(bucket[begin]), *blobs], schema=_KEYED)
+
+
+def _sets(docs: DataFrame, width: int, least: int, buckets: int) -> DataFrame:
+    """A row per document with its set's size, digest, own number ``sid`` and keys to spare; and rows (base, bucket, keys, at) of :func:`_key_blobs`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
-        # The keys of a text take as much as the text, so they leave a few texts at a time.
+        sid = TaskContext.get().partitionId() << 33
+        base, counts, held, total = sid, [], [], 0
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for begin, end in slices([t or "" for t in texts], _CHARS_AT_ONCE):
-                yield some(batch.slice(begin, end - begin), texts[begin:end])
+                sizes, nodes, spares, bases = [], [], [], []
+                for text in texts[begin:end]:
+                    if total >= _KEYS_AT_ONCE or len(counts) == 1 << 16:
+                        yield _key_blobs(base, counts, held, buckets)
+                        base, counts, held, total = sid + len(sizes), [], [], 0
+                    own = shingle_set(text, width)
+                    keys, spare = _part_keys(own, least) if len(own) else (np.zeros(0, np.uint64), [0, 0])
+                    counts.append(len(keys))
+                    held.append(keys)
+                    total += len(keys)
+                    sizes.append(len(own))
+                    nodes.append(_digest(own))
+                    spares.append(spare)
+                    bases.append(base)
+                n, some = len(sizes), batch.slice(begin, end - begin)
+                even, odd = zip(*spares)
+                columns = [some.column(0), some.column(2), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()),
+                           pa.array(np.arange(sid, sid + n)), pa.array(even, pa.int64()), pa.array(odd, pa.int64()), pa.array(bases, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*columns, *[pa.nulls(n, f.type) for f in list(_KEYED)[8:]]], schema=_KEYED)
+                sid += n
+        if counts:
+            yield _key_blobs(base, counts, held, buckets)
 
     rows = docs.select(F.col("doc_id").alias("d"), "text", F.xxhash64("text").alias("text_hash"))
-    return rows.mapInArrow(run, "d bigint, text_hash bigint, n bigint, set binary, keys array<bigint>")
+    return rows.mapInArrow(run, from_arrow_schema(_KEYED))
+
+
+def _without_copies(keyed: DataFrame, copies: DataFrame) -> DataFrame:
+    """Blobs (base, bucket, keys, at) without the keys of the rows ``copies`` (sid, base), whose set another row has too.
+
+    So a set's keys move once however many rows have it. What every task must know for that is a bit per row at most.
+    """
+
+    def bits(group: pa.Table) -> pa.Table:
+        gone = np.zeros(1 << 16, bool)
+        gone[np.asarray(group["at"])] = True
+        return pa.table({"base": group["base"][:1], "gone": pa.array([np.packbits(gone[: gone.nonzero()[0][-1] + 1]).tobytes()], pa.binary())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
+            keys, places = [], []
+            for own, at, gone in zip(*(batch.column(c).to_pylist() for c in ("keys", "at", "gone"))):
+                if gone is not None:
+                    node = np.frombuffer(at, "<u2")
+                    flags = np.unpackbits(np.frombuffer(gone, np.uint8)).astype(bool)
+                    keep = (node >= len(flags)) | ~flags[np.minimum(node, len(flags) - 1)]
+                    own, at = np.frombuffer(own, np.uint8).reshape(-1, 6)[keep].tobytes(), node[keep].tobytes()
+                keys.append(own)
+                places.append(at)
+            yield pa.RecordBatch.from_arrays([batch.column("base"), batch.column("bucket"), pa.array(keys, pa.binary()), pa.array(places, pa.binary())],
+                                             ["base", "bucket", "keys", "at"])
+
+    gone = copies.select("base", (F.col("sid") - F.col("base")).alias("at")).groupBy("base").applyInArrow(bits, "base bigint, gone binary")
+    blobs = keyed.filter("bucket is not null").select("base", "bucket", "keys", "at")
+    return blobs.join(F.broadcast(gone), "base", "left").mapInArrow(run, "base bigint, bucket bigint, keys binary, at binary")
+
+
+def _met_keys(blobs: DataFrame) -> DataFrame:
+    """(key, sid, times) of the keys that occur several times."""
+
+    def run(group: pa.Table) -> pa.Table:
+        at = [np.frombuffer(x, "<u2") for x in group["at"].to_pylist()]
+        sid = np.repeat(np.asarray(group["base"]), [len(x) for x in at]) + np.concatenate(at)
+        key = np.zeros((len(sid), 8), np.uint8)
+        key[:, :6] = np.frombuffer(b"".join(group["keys"].to_pylist()), np.uint8).reshape(-1, 6)
+        key = key.view("<i8").ravel()
+        order = np.argsort(key, kind="stable")
+        key, sid = key[order], sid[order]
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        times = np.diff(np.append(begin, len(key)))
+        times = np.repeat(times, times)
+        several = times > 1
+        return pa.table({"key": key[several], "sid": sid[several], "times": times[several]})
+
+    return blobs.groupBy("bucket").applyInArrow(run, "key bigint, sid bigint, times bigint")
+
+
+def _needed_keys(met: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(set, sid, keys): what nodes have of the keys that occur several times, less the most frequent ones that they can do without.
+
+    Two sets that are alike share more keys than either can spare, so the one of these that comes last by (times, key) is needed by both.
+    """
+    rows = met.join(nodes.select(F.col("node").alias("sid"), "set", "even", "odd"), "sid").withColumn("is_odd", F.col("key") % 2)
+    place = F.row_number().over(W.partitionBy("sid", "is_odd").orderBy(F.desc("times"), "key"))
+    rows = rows.withColumn("place", place).filter(F.col("place") > F.when(F.col("is_odd") == 1, F.col("odd")).otherwise(F.col("even")))
+    return rows.groupBy("sid").agg(F.any_value("set").alias("set"), F.collect_list("key").alias("keys"))
 
 
 def _hub_edges(sets: DataFrame) -> DataFrame:
@@ -255,13 +366,19 @@ def alike_groups(docs: DataFrame, width: int = SHINGLE, least: int = LEAST) -> D
     has the smallest other id, or null. Rows that repeat an id are rows of their own; other
     columns are ignored.
     """
-    # Written with the rows: later reads may be split otherwise.
-    keyed = staged(_sets(docs, width, least).withColumn("sid", F.monotonically_increasing_id()), "keyed")
-    groups = _candidate_groups(keyed.filter("n > 0"))
-    sets = staged(keyed.drop("keys"), "sets")
-    discard(keyed)
+    size = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET))
+    # The numbers of the rows are written with them: later reads may be split otherwise.
+    keyed = staged(_sets(docs, width, least, buckets), "keyed")
+    sets = staged(keyed.filter("bucket is null").select("d", "text_hash", "n", "set", "sid", "even", "odd", "base"), "sets")
     filled = sets.filter("n > 0")
-    nodes = staged(filled.groupBy("set").agg(F.min("sid").alias("node"), F.min("d").alias("least")), "nodes")
+    spare = [F.any_value(c).alias(c) for c in ("even", "odd")]
+    nodes = staged(filled.groupBy("set").agg(F.min("sid").alias("node"), F.min("d").alias("least"), *spare), "nodes")
+    copies = filled.join(nodes.select("set", "node"), "set").filter("sid <> node")
+    met = staged(_met_keys(_without_copies(keyed, copies)), "met")
+    discard(keyed)
+    groups = _candidate_groups(_needed_keys(met, nodes))
+    discard(met)
     # By way of the staged row: its id and set lead back to its text.
     homes = filled.select(F.col("sid").alias("node"), "d", "n", "set")
     wanted = groups.withColumnRenamed("label", "grp").join(homes, "node")

@@ -569,6 +569,71 @@ def test_alike_texts_of_many_slices(spark):
     assert got == {0: (59_997, 0), 1: (59_997, 1), 2: (59_997, 0), 3: (59_997, 3), 4: (59_997, 1), 5: (0, 5), 6: (0, 6), 7: (59_998, 3)}
 
 
+def test_common_lines_make_no_candidates(spark, monkeypatch):
+    """Texts that share a few common lines are no candidates of each other, however many there are; near copies among them are."""
+    rng, rows = random.Random(11), []
+    lines = [" ".join(f"l{k}x{i}" for i in range(8)) for k in range(4)]
+    for i in range(1500):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+        for line in rng.sample(lines, 2):
+            words.insert(rng.randrange(len(words)), line)
+        rows.append((i, " ".join(words)))
+    for i in range(12):
+        words = rows[i * 50][1].split(" ")
+        words[i * 7] = "other"
+        rows.append((2000 + i, " ".join(words)))
+    found, groups = [], jaccard._candidate_groups
+    monkeypatch.setattr(jaccard, "_candidate_groups", lambda sets: found.append(groups(sets)) or found[0])
+    got = {r.doc_id: r.component_id for r in jaccard.alike_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: i for i in range(1500)} | {2000 + i: i * 50 for i in range(12)}
+    assert 24 <= found[0].count() <= 40
+
+
+def test_alike_sets_need_a_key_in_common():
+    """Whatever else is frequent, sets that are alike keep a key in common when each drops the most frequent ones that it can do without."""
+    draw = np.random.default_rng(5)
+    for least in (60, 80, 85, 95):
+        for _ in range(600):
+            a = np.unique(draw.integers(0, 2**64, int(draw.integers(1, draw.choice([20, 300]))), np.uint64))
+            gone = int(draw.integers(0, 1 + len(a) * (100 - least) // 100))
+            more = max(0, 100 * (len(a) - gone) // least - len(a))
+            b = np.unique(np.append(a[gone:], draw.integers(0, 2**64, more, np.uint64)))
+            if not len(b) or len(a) == len(b) == len(np.intersect1d(a, b)) or 100 * len(np.intersect1d(a, b)) < least * len(np.union1d(a, b)):
+                continue
+            times, needed = {}, []
+            for own in (a, b):
+                keys, spare = jaccard._part_keys(own, least)
+                for odd in (0, 1):
+                    mine = sorted((int(k) for k in keys if k & np.uint64(1) == odd), key=lambda k: (-times.setdefault(k, int(draw.integers(1, 9))), k))
+                    needed.append(set(mine[spare[odd] :]))
+            assert needed[0] & needed[2] or needed[1] & needed[3]
+
+
+def test_keys_move_in_few_bytes(spark, monkeypatch):
+    """Only keys of several sets leave the ranges, with their nodes, and copies of a set bring no keys."""
+    monkeypatch.setattr(jaccard, "_KEYS_AT_ONCE", 300)
+    monkeypatch.setattr(jaccard, "_CHARS_AT_ONCE", 2000)
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["a b c d e f g h", f"w{rng.randrange(10**6)}"]) for _ in range(rng.randint(0, 60))) for _ in range(80)]
+    texts = [*texts, None, *texts[:30]]
+    rows = spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    keyed = jaccard._sets(rows, 4, 80, 5).localCheckpoint()
+    sets = {r.sid: (bytes(r.set), r.n, r.base) for r in keyed.filter("bucket is null").collect()}
+    assert len(sets) == 111 and all(0 <= sid - base < 1 << 16 for sid, (_, _, base) in sets.items())
+    node = {s: min(sid for sid, x in sets.items() if x[0] == s) for s, n, _ in sets.values() if n}
+    copies = spark.createDataFrame([(sid, base) for sid, (s, n, base) in sets.items() if n and node[s] != sid], "sid bigint, base bigint")
+    blobs = jaccard._without_copies(keyed, copies).localCheckpoint()
+    have = {}
+    for text in texts:
+        own = jaccard.shingle_set(text)
+        if len(own):
+            have.setdefault(node[jaccard._digest(own)], jaccard.part_keys(own, 80).view(np.int64).tolist())
+    times = collections.Counter(k for keys in have.values() for k in keys)
+    want = sorted((k, n, times[k]) for n, keys in have.items() for k in keys if times[k] > 1)
+    assert want and sorted(map(tuple, jaccard._met_keys(blobs).collect())) == want
+    assert sum(len(r["keys"]) + len(r["at"]) for r in blobs.collect()) == 8 * sum(map(len, have.values()))
+
+
 def test_workers_let_go(documents):
     """What packing keeps in a worker is gone when a task of another operator runs there."""
     import pyarrow as pa
