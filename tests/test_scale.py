@@ -57,3 +57,16 @@ def test_batches_by_bytes(spark, tmp_path):
         stored.append(sorted(map(str, spark.read.parquet(table).collect())))
         batches.append(len([f for f in os.listdir(f"{checkpoint}/commits") if f.isdigit()]))
     assert stored[0] == stored[1] and len(stored[0]) == 1200 and batches == [4, 1]
+
+
+def test_a_batch_is_one_job(spark, tmp_path):
+    """However many small files a batch has, no job with a task per file looks them up, and they share tasks."""
+    directory, landing = events_of(spark, tmp_path / "tables", range(200)), str(tmp_path / "landing")
+    write_archives(capture_events(spark.read.parquet(f"{directory}/events.parquet"), 4), landing, max_docs=1).collect()
+    query = start_table_sink(stream_archives(spark, landing + "/*", max_files=40), str(tmp_path / "table"), str(tmp_path / "checkpoint"))
+    query.awaitTermination()
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(str(query.runId))]
+    tasks = [tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds]
+    assert len(jobs) == 2 and max(tasks) <= 16
+    assert spark.read.parquet(str(tmp_path / "table")).count() == 1200
